@@ -68,15 +68,12 @@ def plan_dimension(spark: SparkSession, catalogue=None) -> DataFrame:
 
     Built from literals inside the plan, so Spark knows how small it is and broadcasts it.
     """
-    names = ["plan_id", "plan_code", "plan_name", "billing_interval", "tier_level",
-             "base_price_usd", "seat_limit"]
-    rows = [
-        F.struct(F.lit(sk).alias("plan_sk"),
-                 *[F.lit(v).alias(n) for n, v in zip(names, plan)],
-                 F.lit(True).alias("is_active"))
+    rows = ", ".join(
+        "({}, '{}', '{}', '{}', '{}', {}, {}, {}, true)".format(sk, *plan)
         for sk, plan in enumerate(catalogue or PLAN_CATALOGUE, start=1)
-    ]
-    return enforce_schema(spark.range(1).select(F.inline(F.array(*rows))), DIM_PLAN)
+    )
+    names = ", ".join(DIM_PLAN.names)
+    return enforce_schema(spark.sql(f"SELECT * FROM VALUES {rows} AS plans({names})"), DIM_PLAN)
 
 
 def user_versions(states: DataFrame, hot: HotKeys | None = None) -> DataFrame:

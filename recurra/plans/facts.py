@@ -34,11 +34,11 @@ def number_events(resolved: DataFrame) -> DataFrame:
     return enforce_schema(number_rows(resolved, _ORDER, "event_sk"), FACT_EVENTS)
 
 
-def monthly_states(events: DataFrame, users: DataFrame, start_year: int, end_year: int,
+def monthly_states(events: DataFrame, users: DataFrame | None, start_year: int, end_year: int,
                    hot: HotKeys | None = None) -> DataFrame:
     """Recurring revenue of each user at each month end, without numbers.
 
-    ``events`` is the event fact, with or without the user id. Within a month only what
+    ``events`` is the event fact; ``users`` is needed when it lacks the user id. Within a month only what
     is paid after the last cancellation survives, and everything held before it churns;
     so one aggregate row per user and month is enough to carry the state forward.
     """

@@ -12,7 +12,7 @@ from recurra.functions.calendar import months_of_sk
 from recurra.functions.money import percent, ratio, rounded
 
 _MONTH = ["snapshot_month_sk", "snapshot_date"]
-_ACTIVE = F.col("is_active_subscriber")
+_ACTIVE = "is_active_subscriber"
 
 
 def _monthly(snapshot: DataFrame) -> DataFrame:
@@ -87,7 +87,7 @@ def cohort_retention(snapshot: DataFrame) -> DataFrame:
     is short); everything after that works on cohort x month rows.
     """
     user = Window.partitionBy("user_id")
-    first_active = F.min(F.when(_ACTIVE, F.col("snapshot_month_sk"))).over(user)
+    first_active = F.min(F.when(F.col(_ACTIVE), F.col("snapshot_month_sk"))).over(user)
     activity = (
         snapshot.select("user_id", *_MONTH, "is_active_subscriber", "mrr_usd")
         .withColumn("cohort_month_sk", first_active)
@@ -95,7 +95,7 @@ def cohort_retention(snapshot: DataFrame) -> DataFrame:
         .groupBy("cohort_month_sk", "snapshot_month_sk")
         .agg(
             F.count_if(_ACTIVE).alias("active_users"),
-            F.sum(F.when(_ACTIVE, F.col("mrr_usd")).otherwise(0)).alias("active_mrr"),
+            F.sum(F.when(F.col(_ACTIVE), F.col("mrr_usd")).otherwise(0)).alias("active_mrr"),
         )
     )
     cohort = Window.partitionBy("cohort_month_sk")

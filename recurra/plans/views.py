@@ -45,8 +45,9 @@ def active_subscriptions(users: DataFrame, events: DataFrame, plans: DataFrame,
 def customer_journey(events: DataFrame, users: DataFrame, plans: DataFrame,
                      dates: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """Every event of every user in order, with running MRR, cash and a sequence number."""
-    if not {"user_id", "email"} <= set(events.columns):
-        events = lookup(events, users.select("user_sk", "user_id", "email"), "user_sk")
+    missing = [c for c in ("user_id", "email") if c not in events.columns]
+    if missing:
+        events = lookup(events, users.select("user_sk", *missing), "user_sk")
     joined = (
         events.join(plans.select("plan_sk", "plan_name", "billing_interval"), "plan_sk")
         .join(dates.select("date_sk", "calendar_date"), "date_sk")

@@ -15,6 +15,8 @@ def build_session(app: str = "recurra", master: str | None = None, **conf: str)
     settings = {
         "spark.ui.enabled": "false",
         "spark.sql.session.timeZone": "UTC",
+        # Call-site tracking costs a round trip per expression while plans are built.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",

@@ -7,12 +7,12 @@ out of one ordered scan per user.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from recurra.functions.pricing import monthly_mrr, tier_of
-from recurra.operators.hotkeys import HotKeys, find_hot_keys
+from recurra.operators.hotkeys import HotKeys, find_hot_keys, lookup
 from recurra.operators.ordered import Earlier, Ordered, RunningSum, ordered
 from recurra.plans.dimensions import plan_dimension
 from recurra.schemas import MONEY
@@ -36,37 +36,46 @@ KIND_OF_PENDING = {
 ORDER = ["event_timestamp", "event_id"]
 
 
-@dataclass(frozen=True)
 class BillingInputs:
-    events: DataFrame
-    user_states: DataFrame
-    hot_users: HotKeys
-
-
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
-
-
-def billing_inputs(spark: SparkSession, folder: str, amounts: bool = True,
-                   refunds: bool = False) -> BillingInputs:
     """Raw billing events and user states of a folder of order tables.
 
     ``amounts=False`` leaves the line items unread and all amounts but the MRR delta
     zero; ``refunds=True`` gives refund events their negative net amount.
     """
-    orders = _orders(spark, folder)
-    hot = find_hot_keys(orders, ["user_id"])
-    plans = plan_dimension(spark)
-    if amounts:
-        totals = _invoice_totals(spark, folder)
-        billed = orders.join(totals, orders["o_orderkey"] == totals["l_orderkey"], "left")
-    else:
-        billed = orders.withColumns({c: F.lit(0) for c in ("gross", "discount", "tax")})
-    return BillingInputs(
-        _events(_in_order(billed, plans, hot), refunds),
-        _states(_in_order(orders, plans, hot), _customers(spark, folder)),
-        hot,
-    )
+
+    def __init__(self, spark: SparkSession, folder: str, amounts: bool = True,
+                 refunds: bool = False):
+        self._spark, self._folder = spark, folder
+        self._amounts, self._refunds = amounts, refunds
+        self._orders = _orders(spark, folder)
+
+    @cached_property
+    def hot_users(self) -> HotKeys:
+        return find_hot_keys(self._orders, ["user_id"])
+
+    @cached_property
+    def events(self) -> DataFrame:
+        if self._amounts:
+            totals = _invoice_totals(self._spark, self._folder)
+            billed = self._orders.join(
+                totals, self._orders["o_orderkey"] == totals["l_orderkey"], "left"
+            )
+        else:
+            nothing = {c: F.lit(0) for c in ("gross", "discount", "tax")}
+            billed = self._orders.withColumns(nothing)
+        return _events(self._in_order(billed), self._refunds)
+
+    @cached_property
+    def user_states(self) -> DataFrame:
+        profiles = customers(self._spark, self._folder)
+        return _states(self._in_order(self._orders), profiles, self.hot_users)
+
+    def _in_order(self, orders: DataFrame) -> DataFrame:
+        return _in_order(orders, plan_dimension(self._spark), self.hot_users)
+
+
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def _orders(spark: SparkSession, folder: str) -> DataFrame:
@@ -78,7 +87,7 @@ def _orders(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("o_orderdate") + F.make_dt_interval(zero, zero, zero, seconds)).alias(
             "event_timestamp"
         ),
-        "o_custkey", "o_orderkey", "o_orderstatus", "o_orderpriority",
+        "o_orderkey", "o_orderstatus", "o_orderpriority",
     )
 
 
@@ -154,7 +163,7 @@ def _events(history: DataFrame, refunds: bool) -> DataFrame:
     )
 
 
-def _states(history: DataFrame, customers: DataFrame) -> DataFrame:
+def _states(history: DataFrame, profiles: DataFrame, hot: HotKeys) -> DataFrame:
     """One row per signup, payment and cancellation: the state it leaves the user in."""
     kind = F.col("kind")
     tier = (
@@ -169,23 +178,23 @@ def _states(history: DataFrame, customers: DataFrame) -> DataFrame:
     )
     states = history.where(kind.isin("signup", "paid", "cancellation")).select(
         "user_id",
-        "o_custkey",
         tier.alias("subscription_tier"),
         status.alias("account_status"),
         F.col("event_timestamp").alias("effective_ts"),
     )
-    return states.join(customers, states["o_custkey"] == customers["c_custkey"]).select(
+    return lookup(states, profiles, "user_id", hot=hot).select(
         "user_id", "email", "country", "acquisition_channel", "billing_currency",
         "subscription_tier", "account_status", "effective_ts",
     )
 
 
-def _customers(spark: SparkSession, folder: str) -> DataFrame:
+def customers(spark: SparkSession, folder: str) -> DataFrame:
+    """User profiles."""
     return (
         table(spark, folder, "customer")
         .join(table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .select(
-            "c_custkey",
+            F.concat(F.lit("usr_"), F.col("c_custkey").cast("string")).alias("user_id"),
             F.concat(F.lower("c_name"), F.lit("@example.com")).alias("email"),
             F.col("n_name").alias("country"),
             F.lower("c_mktsegment").alias("acquisition_channel"),

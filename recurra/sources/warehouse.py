@@ -24,9 +24,11 @@ def with_month_keys(events: DataFrame) -> DataFrame:
     )
 
 
-def write_table(df: DataFrame, root: str, name: str) -> str:
+def write_table(df: DataFrame, root: str, name: str, months_only: bool = False) -> str:
     """Replace a table with ``df`` as ZSTD Parquet; events go by year and month.
 
+    With ``months_only`` just the months found in ``df`` are replaced.
+
     Event rows are range partitioned by time before the write. A hot month is then
     spread over many tasks, quiet months share one, and every file covers a short time
     span, which its row-group statistics let a filter use.
@@ -42,7 +44,7 @@ def write_table(df: DataFrame, root: str, name: str) -> str:
         .sortWithinPartitions(*order)
         .write.mode("overwrite")
         .option("compression", "zstd")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "dynamic" if months_only else "static")
         .partitionBy(*PARTITIONED_BY)
         .parquet(path)
     )
