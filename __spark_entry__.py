@@ -70,11 +70,13 @@ def _states(spark: SparkSession, sf_dir: str, refunds: bool = False) -> DataFram
     return monthly_states(events, None, FIRST_YEAR, LAST_YEAR, inputs.hot_users)
 
 
-def _keyed(spark: SparkSession, sf_dir: str):
+def _keyed(spark: SparkSession, sf_dir: str, columns=("user_sk",)):
     """Billing inputs, user dimension and events with their user version."""
     inputs = BillingInputs(spark, sf_dir)
     users = users_dimension(inputs.user_states, inputs.hot_users)
-    events = resolved_events(inputs.events, users, plan_dimension(spark), inputs.hot_users)
+    events = resolved_events(
+        inputs.events, users, plan_dimension(spark), inputs.hot_users, columns
+    )
     return inputs, users, events
 
 
@@ -297,7 +299,7 @@ def active_subscriptions(spark, sf_dir):
 
 @_query
 def customer_journey(spark, sf_dir):
-    inputs, users, events = _keyed(spark, sf_dir)
+    inputs, users, events = _keyed(spark, sf_dir, ("user_sk", "email"))
     return views.customer_journey(
         events, users, plan_dimension(spark), _calendar(spark), inputs.hot_users
     )
@@ -336,8 +338,7 @@ def ltv_report(spark, sf_dir):
 
 @_query
 def headline(spark, sf_dir):
-    states = _states(spark, sf_dir)
-    return views.headline(kpis.mrr_waterfall(states), kpis.saas_metrics(states))
+    return kpis.headline(_states(spark, sf_dir))
 
 
 @_query

@@ -351,10 +351,6 @@ _cte("terms", ("kinds",), """
   FROM kinds""")
 
 
-def _full_day(d: str) -> str:
-    return f"""({d}.year * 10000 + {d}.month * 100 + {d}.day)"""
-
-
 _CALENDAR_COLUMNS = """
   (year(d) * 10000 + month(d) * 100 + day(d))::BIGINT AS date_sk,
   strftime(d, '%Y-%m-%d') AS calendar_date, year(d)::BIGINT AS year,
@@ -462,7 +458,8 @@ QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
     "plan_mrr": (("plans", "kinds"), """
       SELECT plan_id, p.tier, p.mrr::DOUBLE AS monthly_mrr_usd, count(*) AS payments,
              (p.mrr * count(*))::DOUBLE AS listed_mrr_usd
-      FROM plans p JOIN kinds k USING (plan_id) WHERE kind = 'paid' GROUP BY ALL"""),
+      FROM plans p JOIN kinds k USING (plan_id) WHERE kind = 'paid'
+      GROUP BY plan_id, p.tier, p.mrr"""),
     "invoice_pricing": ((), """
       SELECT country, count(*) AS lines, sum(gross)::DOUBLE AS gross_amount_usd,
              sum(disc)::DOUBLE AS discount_amount_usd, sum(gross - disc)::DOUBLE AS net_amount_usd,

@@ -14,10 +14,13 @@ FLOOR, CEILING = 100_000, 5_000_000
 
 
 class HotKeys:
-    """The keys holding more than ``rows`` rows; at most ``total / rows`` of them."""
+    """The keys holding more than ``rows`` rows; at most ``total / rows`` of them.
 
-    def __init__(self, key: Sequence[str], rows: int, keys: DataFrame | None):
-        self.key, self.rows, self.keys = list(key), rows, keys
+    ``slices`` is how many cuts bring their rows back under that limit.
+    """
+
+    def __init__(self, key: Sequence[str], rows: int, keys: DataFrame | None, slices: int = 0):
+        self.key, self.rows, self.keys, self.slices = list(key), rows, keys, slices
 
     def __bool__(self) -> bool:
         return self.keys is not None
@@ -54,9 +57,11 @@ def find_hot_keys(df: DataFrame, key: Sequence[str], rows: int | None = None) ->
         rows = int(named) if named else min(CEILING, max(FLOOR, share))
     if largest <= rows:
         return HotKeys(key, rows, None)
-    found = sizes.where(F.col("__rows") > rows).select(*key)
-    listed = [tuple(r) for r in found.collect()]  # at most total / rows entries
-    return HotKeys(key, rows, spark.createDataFrame(listed, found.schema))
+    found = sizes.where(F.col("__rows") > rows)
+    listed = found.collect()  # at most total / rows entries
+    slices = -(-sum(r["__rows"] for r in listed) // rows)
+    keys = spark.createDataFrame([tuple(r)[:-1] for r in listed], found.drop("__rows").schema)
+    return HotKeys(key, rows, keys, slices)
 
 
 def lookup(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner",

@@ -27,6 +27,12 @@ class RunningSum:
     value: Column
 
 
+@dataclass(frozen=True)
+class First:
+    """Value on the first row of the key; it must not be NULL."""
+    value: Column
+
+
 @dataclass(frozen=True)
 class Earlier:
     """Nearest non-NULL value on an earlier row."""
@@ -45,7 +51,7 @@ class Later:
     value: Column
 
 
-Op = RunningSum | Earlier | Latest | Later
+Op = RunningSum | First | Earlier | Latest | Later
 
 
 class Ordered:
@@ -107,7 +113,7 @@ def ordered(df: DataFrame, key: Sequence[str], order: Sequence[str],
         return Ordered(df, None, key, order)
     cut = (
         hot.hot(df)
-        .repartitionByRange(*key, *order)
+        .repartitionByRange(hot.slices, *key, *order)
         .withColumn(SLICE, F.spark_partition_id())
     )
     # Written once, so that slice numbers stay the same for every later read.
@@ -122,6 +128,8 @@ def _scan(df: DataFrame, key: list[str], order: list[str], ops: dict[str, Op]) -
         value = F.col(name)
         if isinstance(op, RunningSum):
             outputs[name] = F.sum(value).over(w.rowsBetween(_START, _NOW))
+        elif isinstance(op, First):
+            outputs[name] = F.first(value).over(w.rowsBetween(_START, _NOW))
         elif isinstance(op, Earlier):
             outputs[name] = F.last(value, ignorenulls=True).over(w.rowsBetween(_START, -1))
         elif isinstance(op, Latest):
@@ -135,12 +143,16 @@ def _slice_total(op: Op, position: Column) -> Column:
     if isinstance(op, RunningSum):
         return F.sum(op.value)
     at = F.when(op.value.isNotNull(), position)
-    return F.min_by(op.value, at) if isinstance(op, Later) else F.max_by(op.value, at)
+    if isinstance(op, (First, Later)):
+        return F.min_by(op.value, at)
+    return F.max_by(op.value, at)
 
 
 def _carry(name: str, op: Op, by_slice, before) -> Column:
     if isinstance(op, RunningSum):
         return F.sum(name).over(before)
+    if isinstance(op, First):
+        return F.first(name).over(before)
     if isinstance(op, Later):
         return F.expr(f"lead(`{name}`) ignore nulls").over(by_slice)
     return F.last(name, ignorenulls=True).over(before)
@@ -150,4 +162,6 @@ def _merge(op: Op, local: Column, carried: Column) -> Column:
     if isinstance(op, RunningSum):
         both = F.coalesce(local, F.lit(0)) + F.coalesce(carried, F.lit(0))
         return F.when(local.isNotNull() | carried.isNotNull(), both)
+    if isinstance(op, First):
+        return F.coalesce(carried, local)
     return F.coalesce(local, carried)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from recurra.functions.calendar import (
@@ -17,10 +19,14 @@ _ORDER = ["event_timestamp", "event_id"]
 
 
 def resolved_events(raw: DataFrame, users: DataFrame, plans: DataFrame,
-                    hot: HotKeys | None = None) -> DataFrame:
-    """Raw events with user, plan and date keys; the user id is kept, no number given."""
+                    hot: HotKeys | None = None,
+                    columns: Sequence[str] = ("user_sk",)) -> DataFrame:
+    """Raw events with user, plan and date keys; the user id is kept, no number given.
+
+    ``columns`` names what to take from the user version besides its key.
+    """
     keyed = resolve_plan_sk(enforce_schema(raw, RAW_EVENT), plans)
-    keyed = resolve_versions(keyed, users, "event_timestamp", tie=["event_id"], hot=hot)
+    keyed = resolve_versions(keyed, users, "event_timestamp", columns, ["event_id"], hot)
     return keyed.withColumn("date_sk", date_sk(F.col("event_timestamp")))
 
 

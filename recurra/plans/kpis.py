@@ -13,6 +13,8 @@ from recurra.functions.money import percent, ratio, rounded
 
 _MONTH = ["snapshot_month_sk", "snapshot_date"]
 _ACTIVE = "is_active_subscriber"
+METRICS = ["arpa_usd", "saas_quick_ratio", "gross_revenue_churn_pct",
+           "net_revenue_retention_nrr_pct", "logo_churn_pct"]
 
 
 def _monthly(snapshot: DataFrame) -> DataFrame:
@@ -29,23 +31,44 @@ def _monthly(snapshot: DataFrame) -> DataFrame:
     )
 
 
-def mrr_waterfall(snapshot: DataFrame) -> DataFrame:
-    """Per month: MRR at the start (end of the previous month present), its movements,
-    MRR at the end and growth."""
-    months = Window.orderBy("snapshot_month_sk")
-    before = F.lag("ending_mrr").over(months)
+def monthly_kpis(snapshot: DataFrame) -> DataFrame:
+    """All monthly figures in one pass; the starting values are those of the previous
+    month present, NULL in the first."""
+    months = Window.orderBy("month_id")
+    start, ending = F.col("starting_mrr"), F.col("ending_mrr")
+    gained = F.col("new_mrr") + F.col("expansion_mrr")
+    lost = F.col("churned_mrr") + F.col("contraction_mrr")
     return (
         _monthly(snapshot)
-        .withColumn("before", before)
-        .select(
-            F.col("snapshot_month_sk").alias("month_id"),
-            "snapshot_date",
-            F.coalesce("before", F.lit(0)).alias("starting_mrr"),
-            "new_mrr", "expansion_mrr", "contraction_mrr", "churned_mrr",
-            "net_mrr_movement", "ending_mrr", "ending_arr", "active_subscribers",
-            percent(F.col("ending_mrr") - F.col("before"), F.col("before")).alias(
-                "mrr_growth_rate_pct"
+        .withColumnRenamed("snapshot_month_sk", "month_id")
+        .withColumns({
+            "starting_mrr": F.lag("ending_mrr").over(months),
+            "starting_subscribers": F.lag("active_subscribers").over(months),
+        })
+        .withColumns({
+            "mrr_growth_rate_pct": percent(ending - start, start),
+            "arpa_usd": ratio(ending, F.col("active_subscribers")),
+            "saas_quick_ratio": ratio(gained, lost),
+            "gross_revenue_churn_pct": percent(F.col("churned_mrr"), start),
+            "net_revenue_retention_nrr_pct": percent(
+                start + F.col("expansion_mrr") - lost, start
+            ),
+            "logo_churn_pct": percent(
+                F.col("churned_subscribers"), F.col("starting_subscribers")
             ),
+        })
+    )
+
+
+def mrr_waterfall(snapshot: DataFrame) -> DataFrame:
+    """Per month: MRR at the start, its movements, MRR at the end and growth."""
+    return (
+        monthly_kpis(snapshot)
+        .withColumn("starting_mrr", F.coalesce("starting_mrr", F.lit(0)))
+        .select(
+            "month_id", "snapshot_date", "starting_mrr", "new_mrr", "expansion_mrr",
+            "contraction_mrr", "churned_mrr", "net_mrr_movement", "ending_mrr", "ending_arr",
+            "active_subscribers", "mrr_growth_rate_pct",
         )
         .orderBy("month_id")
     )
@@ -53,33 +76,32 @@ def mrr_waterfall(snapshot: DataFrame) -> DataFrame:
 
 def saas_metrics(snapshot: DataFrame) -> DataFrame:
     """Per month with starting MRR: ARPA, quick ratio, revenue and logo churn, NRR."""
-    months = Window.orderBy("snapshot_month_sk")
-    start, users = F.col("starting_mrr"), F.col("starting_subscribers")
-    gained = F.col("new_mrr") + F.col("expansion_mrr")
-    lost = F.col("churned_mrr") + F.col("contraction_mrr")
-    retained = start + F.col("expansion_mrr") - lost
     return (
-        _monthly(snapshot)
-        .withColumns({
-            "starting_mrr": F.lag("ending_mrr").over(months),
-            "starting_subscribers": F.lag("active_subscribers").over(months),
-        })
-        .where(start > 0)
-        .select(
-            F.col("snapshot_month_sk").alias("month_id"),
-            "snapshot_date",
-            "ending_mrr",
-            "active_subscribers",
-            ratio(F.col("ending_mrr"), F.col("active_subscribers")).alias("arpa_usd"),
-            ratio(gained, lost).alias("saas_quick_ratio"),
-            percent(F.col("churned_mrr"), start).alias("gross_revenue_churn_pct"),
-            percent(retained, start).alias("net_revenue_retention_nrr_pct"),
-            percent(F.col("churned_subscribers"), users).alias("logo_churn_pct"),
-        )
+        monthly_kpis(snapshot)
+        .where(F.col("starting_mrr") > 0)
+        .select("month_id", "snapshot_date", "ending_mrr", "active_subscribers", *METRICS)
         .orderBy("month_id")
     )
 
 
+def headline(snapshot: DataFrame) -> DataFrame:
+    """The latest month's figures and the ending MRR of the month before it."""
+    figures = ["ending_mrr", "ending_arr", "active_subscribers", "net_mrr_movement",
+               "mrr_growth_rate_pct"]
+    ratios = [m for m in METRICS if m != "logo_churn_pct"]
+    measured = F.when(F.col("starting_mrr") > 0, F.col("month_id"))
+    latest = monthly_kpis(snapshot).agg(
+        F.max_by(F.struct("month_id", "starting_mrr", *figures), "month_id").alias("now"),
+        F.max_by(F.struct(*ratios), measured).alias("measured"),
+    )
+    return latest.select(
+        "now.month_id",
+        *[f"now.{c}" for c in figures],
+        F.coalesce("now.starting_mrr", "now.ending_mrr").alias("previous_ending_mrr"),
+        *[f"measured.{c}" for c in ratios],
+    )
+
+
 def cohort_retention(snapshot: DataFrame) -> DataFrame:
     """Users and MRR still active per first-active-month cohort and month offset.
 

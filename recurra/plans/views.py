@@ -124,28 +124,6 @@ def ltv_report(ltv: DataFrame) -> DataFrame:
     )
 
 
-def headline(waterfall: DataFrame, metrics: DataFrame) -> DataFrame:
-    """The latest month's figures, with the month before it for comparison."""
-    months = waterfall.orderBy(F.desc("month_id")).limit(2)
-    latest = F.max_by(F.struct("*"), "month_id")
-    cards = months.agg(
-        latest.alias("now"),
-        F.min_by("ending_mrr", "month_id").alias("previous_ending_mrr"),
-    ).select(
-        F.col("now.month_id").alias("month_id"),
-        *[F.col(f"now.{c}").alias(c) for c in
-          ("ending_mrr", "ending_arr", "active_subscribers", "net_mrr_movement",
-           "mrr_growth_rate_pct")],
-        "previous_ending_mrr",
-    )
-    ratios = metrics.orderBy(F.desc("month_id")).limit(1).select(
-        "saas_quick_ratio", "net_revenue_retention_nrr_pct", "gross_revenue_churn_pct",
-        "arpa_usd", F.lit(1).alias("one"),
-    )
-    # Both sides are one row.
-    return cards.withColumn("one", F.lit(1)).join(ratios, "one", "left").drop("one")
-
-
 def mrr_movement_long(waterfall: DataFrame) -> DataFrame:
     """One row per month and movement; what reduces MRR is negative."""
     signed = waterfall.select(

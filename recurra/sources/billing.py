@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from recurra.functions.pricing import monthly_mrr, tier_of
 from recurra.operators.hotkeys import HotKeys, find_hot_keys, lookup
-from recurra.operators.ordered import Earlier, Ordered, RunningSum, ordered
+from recurra.operators.ordered import Earlier, First, ordered
 from recurra.plans.dimensions import plan_dimension
 from recurra.schemas import MONEY
 
@@ -105,34 +105,41 @@ def _in_order(orders: DataFrame, plans: DataFrame, hot: HotKeys) -> DataFrame:
             "plan_id",
         )
     )
-    seen: Ordered = ordered(priced, ["user_id"], ORDER, hot).scan(nth=RunningSum(F.lit(1)))
+    # What an order is by itself; the first one of a user turns into the signup below.
     pending = F.when(
         F.col("o_orderstatus") == "P", _mapped(F.col("o_orderpriority"), KIND_OF_PENDING)
     )
-    kind = F.when(F.col("nth") == 1, F.lit("signup")).otherwise(
-        F.coalesce(pending, F.lit("paid"))
-    )
-    paid, cancelled = F.col("kind") == "paid", F.col("kind") == "cancellation"
+    own = F.coalesce(pending, F.lit("paid"))
+    paid, cancelled = F.col("own") == "paid", F.col("own") == "cancellation"
     # The MRR an event leaves behind; a cancellation ends the segment at zero.
-    left = F.when(
-        paid | cancelled,
-        F.struct(
-            F.when(paid, F.col("mrr")).otherwise(F.lit(0)).cast(MONEY).alias("mrr"),
-            paid.alias("open"),
-        ),
+    left = F.struct(
+        "event_id",
+        F.when(paid, F.col("mrr")).otherwise(F.lit(0)).cast(MONEY).alias("mrr"),
+        paid.alias("open"),
     )
     scanned = (
-        seen.apply(lambda d: d.withColumn("kind", kind).withColumn("left", left))
+        ordered(priced.withColumn("own", own), ["user_id"], ORDER, hot)
         .scan(
-            before=Earlier(F.col("left")),
-            tier_before=Earlier(F.when(paid, F.col("tier"))),
+            first_id=First(F.col("event_id")),
+            before=Earlier(F.when(paid | cancelled, left)),
+            paid_before=Earlier(F.when(paid, F.struct("event_id", "tier"))),
         )
         .frame()
     )
-    held = F.coalesce(F.col("before.mrr"), F.lit(0).cast(MONEY))
-    return scanned.withColumn(
-        "mrr_delta_usd", F.when(paid, F.col("mrr") - held).otherwise(F.lit(0)).cast(MONEY)
-    ).withColumn("in_segment", F.coalesce(F.col("before.open"), F.lit(False)))
+
+    def unless_signup(earlier: str, field: str) -> Column:
+        real = F.col(f"{earlier}.event_id") != F.col("first_id")
+        return F.when(real, F.col(f"{earlier}.{field}"))
+
+    signup = F.col("event_id") == F.col("first_id")
+    held = F.coalesce(unless_signup("before", "mrr"), F.lit(0).cast(MONEY))
+    return scanned.withColumns({
+        "kind": F.when(signup, F.lit("signup")).otherwise(F.col("own")),
+        "mrr_delta_usd": F.when(paid & ~signup, F.col("mrr") - held)
+        .otherwise(F.lit(0)).cast(MONEY),
+        "in_segment": F.coalesce(unless_signup("before", "open"), F.lit(False)),
+        "tier_before": unless_signup("paid_before", "tier"),
+    })
 
 
 def _events(history: DataFrame, refunds: bool) -> DataFrame:

@@ -6,7 +6,7 @@ from datetime import date
 from functools import reduce
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from recurra.schemas import STAR, enforce_schema
 
@@ -55,8 +55,8 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Read a table with its declared schema; partition columns come as integers."""
     schema = STAR[name]
     if name == EVENTS:
-        for column in PARTITIONED_BY:
-            schema = schema.add(column, "int", True) if column not in schema.names else schema
+        keys = [T.StructField(column, T.IntegerType(), True) for column in PARTITIONED_BY]
+        schema = T.StructType([*schema.fields, *keys])
     return spark.read.schema(schema).parquet(f"{root}/{name}")
 
 
