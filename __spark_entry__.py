@@ -67,7 +67,7 @@ def _states(spark: SparkSession, sf_dir: str, refunds: bool = False) -> DataFram
     """Monthly states; the revenue KPIs need neither user versions nor numbers."""
     inputs = BillingInputs(spark, sf_dir, refunds=refunds)
     events = resolve_plan_sk(inputs.events, plan_dimension(spark))
-    return monthly_states(events, None, FIRST_YEAR, LAST_YEAR, inputs.hot_users)
+    return monthly_states(events, FIRST_YEAR, LAST_YEAR, hot=inputs.hot_users)
 
 
 def _keyed(spark: SparkSession, sf_dir: str, columns=("user_sk",)):
@@ -426,7 +426,7 @@ def table_row_counts(spark, sf_dir):
         "dim_users": users,
         "fact_subscription_events": events,
         "fact_monthly_financial_snapshot": monthly_states(
-            events, users, FIRST_YEAR, LAST_YEAR, inputs.hot_users
+            events, FIRST_YEAR, LAST_YEAR, hot=inputs.hot_users
         ),
     })
 

@@ -58,8 +58,8 @@ def measure(spark: SparkSession, folder: str) -> dict[str, float]:
         "dq_waterfall_identity": lambda: quality.waterfall_gaps(snapshot),
     }
     for name, query in queries.items():
-        frame = query()
-        times[name] = timed(frame.collect)
+        # A new frame each time: a collected one would keep its shuffle results.
+        times[name] = timed(lambda: query().collect())
 
     def all_rows(query):
         return lambda: query().write.format("noop").mode("overwrite").save()

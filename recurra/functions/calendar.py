@@ -41,10 +41,5 @@ def months_of_sk(sk: Column) -> Column:
     return (F.floor(sk / 100) * 12 + sk % 100 - 1).cast("int")
 
 
-def month_end_instant(day: Column) -> Column:
-    """23:59:59 of a day, the instant a monthly state is read at."""
-    return day.cast("timestamp_ntz") + F.expr("interval 86399 seconds")
-
-
 def _split(index: Column) -> tuple[Column, Column]:
     return F.floor(index / 12).cast("int"), (index % 12 + 1).cast("int")

@@ -25,6 +25,11 @@ class HotKeys:
     def __bool__(self) -> bool:
         return self.keys is not None
 
+    def of_finer(self, key: Sequence[str]) -> "HotKeys | None":
+        """For a key that splits this one further: none is hot if none is here, else it
+        is not known."""
+        return None if self else HotKeys(key, self.rows, None)
+
     def cold(self, df: DataFrame) -> DataFrame:
         return df if self.keys is None else self._join(df, "left_anti")
 

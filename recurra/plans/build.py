@@ -33,7 +33,9 @@ def build_star(spark: SparkSession, inputs: BillingInputs, root: str,
     )
     users = read_table(spark, root, "dim_users")
     plans = read_table(spark, root, "dim_subscription_plan")
-    write_table(events_fact(inputs.events, users, plans, hot), root, "fact_subscription_events")
+    # Numbering has already cut the events into stretches of time.
+    write_table(events_fact(inputs.events, users, plans, hot), root, "fact_subscription_events",
+                time_sliced=True)
     events = read_table(spark, root, "fact_subscription_events")
     write_table(
         monthly_snapshot(events, users, start_year, end_year, hot),

@@ -6,9 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from recurra.functions.calendar import (
-    date_sk, index_of, month_end, month_end_instant, month_index, month_sk,
-)
+from recurra.functions.calendar import date_sk, index_of, month_end, month_index, month_sk
 from recurra.operators.asof import resolve_plan_sk, resolve_versions
 from recurra.operators.hotkeys import HotKeys, lookup
 from recurra.operators.numbering import number_rows
@@ -40,64 +38,124 @@ def number_events(resolved: DataFrame) -> DataFrame:
     return enforce_schema(number_rows(resolved, _ORDER, "event_sk"), FACT_EVENTS)
 
 
-def monthly_states(events: DataFrame, users: DataFrame | None, start_year: int, end_year: int,
-                   hot: HotKeys | None = None) -> DataFrame:
+def monthly_states(events: DataFrame, start_year: int, end_year: int,
+                   users: DataFrame | None = None, hot: HotKeys | None = None) -> DataFrame:
     """Recurring revenue of each user at each month end, without numbers.
 
-    ``events`` is the event fact; ``users`` is needed when it lacks the user id. Within a month only what
-    is paid after the last cancellation survives, and everything held before it churns;
-    so one aggregate row per user and month is enough to carry the state forward.
+    ``events`` is the event fact, with or without the user id. ``users`` adds the user
+    version at month end and stands in for a missing user id. Within a month only what is
+    paid after the last cancellation survives, and everything held before it churns; so
+    one aggregate row per user and month is enough to carry the state forward.
     """
     first, last = index_of(start_year, 1), index_of(end_year, 12)
     if "user_id" not in events.columns:
-        events = lookup(events, users.select("user_sk", "user_id"), "user_sk")
-    monthly = _month_totals(_in_range(events, start_year, end_year), hot)
-    moved = _carry_forward(monthly, last)
-    recorded = (F.col("churned") > 0) | (F.col("revenue") > 0) | F.col("active")
-    quiet = F.col("__step") > 0
+        versions = hot.of_finer(["user_sk"]) if hot is not None else None
+        events = lookup(events, users.select("user_sk", "user_id"), "user_sk", hot=versions)
+    moved = _carry_forward(_month_totals(_in_range(events, start_year, end_year), hot))
+    months = _spread(moved, users, first, last)
+    month, state, quiet = F.col("month"), F.col("state"), F.col("quiet")
 
     def only_in_month(name: str):
-        return F.when(quiet, F.lit(0)).otherwise(F.col(name)).cast(MONEY)
-
-    # An active user has a row for every month up to the next one with events.
-    gap = F.when(F.col("active"), F.col("next_ix") - F.col("ix") - 1).otherwise(F.lit(0))
-    states = (
-        moved.where(recorded)
-        .withColumn("__step", F.explode(F.sequence(F.lit(0), gap.cast("int"))))
-        .select(
-            month_sk(F.col("ix") + F.col("__step")).alias("snapshot_month_sk"),
-            month_end(F.col("ix") + F.col("__step")).alias("snapshot_date"),
-            "user_id",
-            "plan_sk",
-            F.col("active").alias("is_active_subscriber"),
-            F.col("mrr").cast(MONEY).alias("mrr_usd"),
-            (F.col("mrr") * 12).cast(MONEY).alias("arr_usd"),
-            only_in_month("new").alias("new_mrr_usd"),
-            only_in_month("expansion").alias("expansion_mrr_usd"),
-            only_in_month("contraction").alias("contraction_mrr_usd"),
-            only_in_month("churned").alias("churned_mrr_usd"),
-            only_in_month("movement").alias("net_mrr_movement_usd"),
-            only_in_month("discount").alias("discount_applied_usd"),
-            F.col("cumulative").cast("decimal(14,2)").alias("cumulative_revenue_usd"),
-        )
+        return F.when(quiet, F.lit(0)).otherwise(state[name]).cast(MONEY)
+
+    return months.select(
+        month_sk(month).alias("snapshot_month_sk"),
+        month_end(month).alias("snapshot_date"),
+        *(["user_sk"] if users is not None else []),
+        "user_id",
+        state["plan_sk"].alias("plan_sk"),
+        state["active"].alias("is_active_subscriber"),
+        state["mrr"].cast(MONEY).alias("mrr_usd"),
+        (state["mrr"] * 12).cast(MONEY).alias("arr_usd"),
+        only_in_month("new").alias("new_mrr_usd"),
+        only_in_month("expansion").alias("expansion_mrr_usd"),
+        only_in_month("contraction").alias("contraction_mrr_usd"),
+        only_in_month("churned").alias("churned_mrr_usd"),
+        only_in_month("movement").alias("net_mrr_movement_usd"),
+        only_in_month("discount").alias("discount_applied_usd"),
+        state["cumulative"].cast("decimal(14,2)").alias("cumulative_revenue_usd"),
     )
-    return states
 
 
 def monthly_snapshot(events: DataFrame, users: DataFrame, start_year: int = 2023,
                      end_year: int = 2025, hot: HotKeys | None = None) -> DataFrame:
     """The snapshot fact: monthly states with the user version at month end, numbered by
     month and user."""
-    states = monthly_states(events, users, start_year, end_year, hot)
-    resolved = resolve_at_month_end(states, users, hot)
-    numbered = number_rows(resolved, ["snapshot_month_sk", "user_id"], "snapshot_sk")
+    states = monthly_states(events, start_year, end_year, users, hot)
+    numbered = number_rows(states, ["snapshot_month_sk", "user_id"], "snapshot_sk")
     return enforce_schema(numbered, FACT_SNAPSHOT)
 
 
-def resolve_at_month_end(states: DataFrame, users: DataFrame,
-                         hot: HotKeys | None = None) -> DataFrame:
-    timed = states.withColumn("__month_end", month_end_instant(F.col("snapshot_date")))
-    return resolve_versions(timed, users, "__month_end", hot=hot).drop("__month_end")
+def _spread(moved: DataFrame, users: DataFrame | None, first: int, last: int) -> DataFrame:
+    """One row per user and month to record, with the state and user version it has.
+
+    Months with events and months in which a version starts are the break points of a
+    user. State and version are filled forward over those few rows only; the months in
+    between come out of the final explode, so that they are never shuffled or sorted.
+    """
+    state = [c for c in moved.columns if c not in ("user_id", "ix")]
+    rows = moved.select("user_id", "ix", F.struct(*state).alias("own"))
+    if users is not None:
+        rows = rows.unionByName(_version_months(users, first), allowMissingColumns=True)
+    rows = rows.withColumn("has_events", F.col("own").isNotNull())
+    # Two rows per month at most: the version that starts in it, then its events.
+    user = Window.partitionBy("user_id").orderBy("ix", "has_events")
+    so_far = user.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    filled = rows.withColumns({
+        "state": F.last("own", ignorenulls=True).over(so_far),
+        "next_ix": F.lead("ix", 1, last + 1).over(user),
+    })
+    if users is not None:
+        filled = filled.withColumns({
+            "current": F.last("version", ignorenulls=True).over(so_far),
+            "newest": F.max("version").over(Window.partitionBy("user_id")),
+        })
+    active = F.col("state.active")
+    recorded = (F.col("state.churned") > 0) | (F.col("state.revenue") > 0) | active
+    months = F.least(F.col("next_ix"), F.lit(last + 1)) - F.col("ix")
+    steps = (
+        F.when(F.col("has_events") & recorded, F.when(active, months - 1).otherwise(F.lit(0)))
+        .when(~F.col("has_events") & active & (months > 0), months - 1)
+    )
+    spread = (
+        filled.withColumn("steps", steps)
+        .where(F.col("steps").isNotNull())
+        .withColumn("step", F.explode(F.sequence(F.lit(0), F.col("steps").cast("int"))))
+        .withColumns({
+            "month": F.col("ix") + F.col("step"),
+            "quiet": ~F.col("has_events") | (F.col("step") > 0),
+        })
+    )
+    if users is None:
+        return spread
+    until = F.col("current.until_ix")
+    valid = F.col("current").isNotNull() & (until.isNull() | (F.col("month") < until))
+    unknown = F.concat(F.lit("no dimension record for user "), F.col("user_id"))
+    return spread.withColumn(
+        "user_sk",
+        F.coalesce(
+            F.when(valid, F.col("current.user_sk")).otherwise(F.col("newest.user_sk")),
+            F.raise_error(unknown).cast("long"),
+        ),
+    )
+
+
+def _version_months(users: DataFrame, first: int) -> DataFrame:
+    """The last version starting in each month, per user: the one valid from that month's
+    end on, until the month its own end falls into."""
+    return (
+        users.select(
+            "user_id",
+            F.greatest(month_index(F.col("start_date")), F.lit(first)).alias("ix"),
+            F.struct(
+                "start_date", "user_sk", month_index(F.col("end_date")).alias("until_ix")
+            ).alias("version"),
+        )
+        .groupBy("user_id", "ix")
+        .agg(F.max("version").alias("version"))
+        # Hashed like the states, so that both are merged without another shuffle.
+        .repartition("user_id")
+    )
 
 
 def _in_range(events: DataFrame, start_year: int, end_year: int) -> DataFrame:
@@ -139,7 +197,7 @@ def _month_totals(events: DataFrame, hot: HotKeys | None) -> DataFrame:
     )
 
 
-def _carry_forward(monthly: DataFrame, last: int) -> DataFrame:
+def _carry_forward(monthly: DataFrame) -> DataFrame:
     """State after each month with events. Groups hold one row per month at most."""
     by_user = Window.partitionBy("user_id").orderBy("ix")
     so_far = by_user.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -154,7 +212,6 @@ def _carry_forward(monthly: DataFrame, last: int) -> DataFrame:
         monthly.withColumns({
             "segment": F.sum(F.col("cancelled").cast("int")).over(so_far),
             "cumulative": F.sum("revenue").over(so_far),
-            "next_ix": F.lead("ix", 1, last + 1).over(by_user),
         })
         .withColumns({
             "level": F.sum("kept").over(in_segment),
@@ -174,4 +231,7 @@ def _carry_forward(monthly: DataFrame, last: int) -> DataFrame:
         "expansion": F.when(starting, zero).otherwise(F.col("gain")),
         "contraction": F.when(starting, zero).otherwise(F.col("loss")),
         "movement": F.col("mrr") - F.col("held"),
-    })
+    }).select(
+        "user_id", "ix", "plan_sk", "active", "mrr", "new", "expansion", "contraction",
+        "churned", "movement", "revenue", "discount", "cumulative",
+    )

@@ -31,8 +31,8 @@ def quarterly_plan_revenue(events: DataFrame, dates: DataFrame, plans: DataFrame
                            users_as: str, revenue_as: str) -> DataFrame:
     """Distinct paying user versions and revenue per quarter and plan.
 
-    Grouped on the fact's own keys first: calendar days collapse to quarters and plans
-    to names only after versions are de-duplicated, and both dimensions stay small.
+    Both dimensions are small enough for Spark to broadcast; the distinct count is spread
+    over (group, version) before it comes down to the groups.
     """
     return (
         events.join(dates.select("date_sk", "year", "quarter_name"), "date_sk")

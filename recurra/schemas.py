@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 PRICE = T.DecimalType(10, 2)
 MONEY = T.DecimalType(12, 2)
@@ -87,6 +87,12 @@ DEFAULTS = {
 }
 
 
+def with_load_time(df: DataFrame, loaded_at: Column | None = None) -> DataFrame:
+    """Add ``created_at``: the load time given, else the time the query runs."""
+    now = F.localtimestamp() if loaded_at is None else loaded_at
+    return df.withColumn("created_at", now.cast("timestamp_ntz"))
+
+
 def enforce_schema(df: DataFrame, schema: T.StructType, defaults: dict | None = None) -> DataFrame:
     """Project ``df`` onto ``schema``: order, types and defaults for missing or NULL values."""
     defaults = DEFAULTS if defaults is None else defaults

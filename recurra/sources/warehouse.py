@@ -24,10 +24,12 @@ def with_month_keys(events: DataFrame) -> DataFrame:
     )
 
 
-def write_table(df: DataFrame, root: str, name: str, months_only: bool = False) -> str:
+def write_table(df: DataFrame, root: str, name: str, months_only: bool = False,
+                time_sliced: bool = False) -> str:
     """Replace a table with ``df`` as ZSTD Parquet; events go by year and month.
 
-    With ``months_only`` just the months found in ``df`` are replaced.
+    With ``months_only`` just the months found in ``df`` are replaced. ``time_sliced``
+    says that each partition of ``df`` already covers a stretch of time of its own.
 
     Event rows are range partitioned by time before the write. A hot month is then
     spread over many tasks, quiet months share one, and every file covers a short time
@@ -38,10 +40,11 @@ def write_table(df: DataFrame, root: str, name: str, months_only: bool = False)
         df.write.mode("overwrite").option("compression", "zstd").parquet(path)
         return path
     order = [*PARTITIONED_BY, "event_timestamp", "event_id"]
+    keyed = with_month_keys(df)
+    if not time_sliced:
+        keyed = keyed.repartitionByRange(*order)
     (
-        with_month_keys(df)
-        .repartitionByRange(*order)
-        .sortWithinPartitions(*order)
+        keyed.sortWithinPartitions(*order)
         .write.mode("overwrite")
         .option("compression", "zstd")
         .option("partitionOverwriteMode", "dynamic" if months_only else "static")

@@ -28,7 +28,7 @@ def _plain(value):
     if value is None or (isinstance(value, float) and math.isnan(value)):
         return "null"
     if isinstance(value, float):
-        return repr(value + 0.0)
+        return repr(value)
     return f"{type(value).__name__}:{value}"
 
 

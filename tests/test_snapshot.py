@@ -10,14 +10,14 @@ from recurra.plans.dimensions import plan_dimension, users_dimension
 from recurra.plans.facts import events_fact, monthly_snapshot, monthly_states, resolved_events
 from samples import (
     CANCEL, PAID, SIGNUP, UPGRADE, event, loop_snapshot, one_state_per_user, raw_events,
-    snapshot_rows,
+    snapshot_rows, state, states,
 )
 
 
 def built(spark, events, start=2023, end=2023):
     users = users_dimension(one_state_per_user(spark, events))
     fact = resolved_events(raw_events(spark, events), users, plan_dimension(spark))
-    return snapshot_rows(monthly_states(fact, users, start, end))
+    return snapshot_rows(monthly_states(fact, start, end))
 
 
 def money(*values):
@@ -122,3 +122,25 @@ def test_numbers_are_dense_and_stored_fact_suffices(spark):
             .select("snapshot_sk").collect()]
     assert keys == list(range(1, len(keys) + 1))
     assert snapshot_rows(snapshot) == loop_snapshot(events, 2023, 2024)
+
+
+def test_version_at_month_end(spark):
+    events = [event("u", "2023-01-10", PAID, 29), event("u", "2023-06-10", CANCEL)]
+    users = users_dimension(states(spark, [
+        state("u", "2023-01-10", "free", "trial"),
+        state("u", "2023-02-28T23:59:59", "pro", "active"),
+        state("u", "2023-04-01", "pro", "paused"),
+        state("u", "2023-04-20", "pro", "active"),
+        state("u", "2024-05-01", "free", "active"),
+    ]))
+    fact = resolved_events(raw_events(spark, events), users, plan_dimension(spark))
+    keys = {
+        r["snapshot_month_sk"]: r["user_sk"] for r in monthly_states(fact, 2023, 2023, users).collect()
+    }
+    assert keys == {202301: 1, 202302: 2, 202303: 2, 202304: 4, 202305: 4, 202306: 4}
+    # With the version of February to March taken out, the newest one stands in.
+    gap = users.where("user_sk <> 2")
+    keys = {
+        r["snapshot_month_sk"]: r["user_sk"] for r in monthly_states(fact, 2023, 2023, gap).collect()
+    }
+    assert keys == {202301: 1, 202302: 5, 202303: 5, 202304: 4, 202305: 4, 202306: 4}

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from conftest import DATA
 from recurra.plans import quality, rollups
 from recurra.plans.build import build_star, build_summary, register_star
-from recurra.schemas import STAR
+from recurra.schemas import RAW_EVENT, STAR, enforce_schema, with_load_time
 from recurra.sources.billing import BillingInputs
 from recurra.sources.warehouse import (
     EVENTS, insert_absent, month_slice, read_table, run_sql_file, write_table,
@@ -87,6 +87,19 @@ def test_insert_absent(spark):
     assert [tuple(r) for r in rows] == [(1, "a"), (2, "b"), (3, "c")]
 
 
+def test_defaults_and_load_time(spark):
+    given = spark.createDataFrame(
+        [("e", "u", "plan_free", "signup", datetime(2023, 1, 1))],
+        "event_id string, user_id string, plan_id string, event_type string, "
+        "event_timestamp timestamp_ntz")
+    loaded = with_load_time(enforce_schema(given, RAW_EVENT), F.lit("2023-02-01"))
+    row = loaded.first()
+    assert row["quantity"] == 1 and row["net_amount_usd"] == 0
+    assert row["created_at"] == datetime(2023, 2, 1)
+    with pytest.raises(ValueError, match="user_id"):
+        enforce_schema(given.drop("user_id"), RAW_EVENT)
+
+
 def test_checks_return_the_broken_rows(spark, star):
     users, snap = star["dim_users"], star["fact_monthly_financial_snapshot"]
     # A second copy of everything, a day later: duplicates, overlaps and two currents.
