@@ -18,7 +18,7 @@ from recurra.plans.dimensions import (
     date_dimension, merge_users, plan_dimension, users_dimension,
 )
 from recurra.plans.facts import (
-    events_fact, monthly_snapshot, monthly_states, resolved_events,
+    events_fact, monthly_snapshot, monthly_states, resolved_events, with_mrr_deltas,
 )
 from recurra.session import shared_dir
 from recurra.sources.billing import BillingInputs, activity_events, customers, table
@@ -185,6 +185,13 @@ def billing_events(spark, sf_dir):
     return BillingInputs(spark, sf_dir).events
 
 
+@_query
+def mrr_deltas(spark, sf_dir):
+    inputs = BillingInputs(spark, sf_dir, amounts=False)
+    priced = with_mrr_deltas(inputs.events, plan_dimension(spark), inputs.hot_users)
+    return priced.select("event_id", "event_type", "mrr_delta_usd")
+
+
 @_query
 def invoice_pricing(spark, sf_dir):
     country = lookup(

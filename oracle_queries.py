@@ -479,6 +479,14 @@ QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
              tax::DOUBLE AS tax_amount_usd, net::DOUBLE AS net_amount_usd,
              delta::DOUBLE AS mrr_delta_usd, {_ts('ts')} AS event_timestamp
       FROM raw"""),
+    "mrr_deltas": (("raw", "plans"), """
+      SELECT event_id, event_type, (coalesce(target - held, 0))::DOUBLE AS mrr_delta_usd
+      FROM (SELECT *, coalesce(last_value(target IGNORE NULLS) OVER (
+                        PARTITION BY user_id ORDER BY ts, event_id
+                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS held
+            FROM (SELECT r.*, CASE WHEN event_type IN ('invoice_paid', 'upgrade') THEN p.mrr
+                                   WHEN event_type = 'cancellation' THEN 0 END AS target
+                  FROM raw r JOIN plans p USING (plan_id)))"""),
     "users_scd2": (("users",), f"SELECT {_USER_COLUMNS} FROM users"),
     "scd2_merge": (("merged",), f"SELECT {_USER_COLUMNS} FROM merged"),
     "scd2_merge_rejects": (("batch",), f"""

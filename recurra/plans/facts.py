@@ -7,10 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from recurra.functions.calendar import date_sk, index_of, month_end, month_index, month_sk
+from recurra.functions.pricing import monthly_mrr
 from recurra.operators.asof import resolve_plan_sk, resolve_versions
 from recurra.operators.hotkeys import HotKeys, lookup
 from recurra.operators.numbering import number_rows
-from recurra.operators.ordered import Later, ordered
+from recurra.operators.ordered import Earlier, Later, ordered
 from recurra.schemas import FACT_EVENTS, FACT_SNAPSHOT, MONEY, RAW_EVENT, enforce_schema
 
 _ORDER = ["event_timestamp", "event_id"]
@@ -28,6 +29,31 @@ def resolved_events(raw: DataFrame, users: DataFrame, plans: DataFrame,
     return keyed.withColumn("date_sk", date_sk(F.col("event_timestamp")))
 
 
+def with_mrr_deltas(events: DataFrame, plans: DataFrame,
+                    hot: HotKeys | None = None) -> DataFrame:
+    """Set ``mrr_delta_usd`` from the plans: a payment moves the user from the MRR held to
+    that of its plan, a cancellation to zero; other events move nothing."""
+    priced = events.drop("mrr_delta_usd").join(
+        plans.select(
+            "plan_id", monthly_mrr(F.col("base_price_usd"), F.col("billing_interval")).alias("mrr")
+        ),
+        "plan_id", "left",
+    )
+    paid = F.col("event_type").isin("invoice_paid", "upgrade")
+    target = F.when(paid, F.col("mrr")).when(
+        F.col("event_type") == "cancellation", F.lit(0).cast(MONEY)
+    )
+    held = F.coalesce(F.col("held"), F.lit(0).cast(MONEY))
+    delta = F.coalesce(F.col("target") - held, F.lit(0)).cast(MONEY)
+    return (
+        ordered(priced.withColumn("target", target), ["user_id"], _ORDER, hot)
+        .scan(held=Earlier(F.col("target")))
+        .frame()
+        .withColumn("mrr_delta_usd", delta)
+        .drop("mrr", "target", "held")
+    )
+
+
 def events_fact(raw: DataFrame, users: DataFrame, plans: DataFrame,
                 hot: HotKeys | None = None) -> DataFrame:
     """The event fact, numbered in time order."""

@@ -10,7 +10,7 @@ from skewed import write_skewed
 NAMES = sorted(registered.queries())
 
 # Queries whose per-user scans take the sliced path once a user is hot.
-SCANNED = ["users_scd2", "scd2_merge", "asof_user_version", "billing_events",
+SCANNED = ["mrr_deltas", "users_scd2", "scd2_merge", "asof_user_version", "billing_events",
            "monthly_snapshot", "customer_journey", "dunning_recovery", "dq_scd2_intervals",
            "invoice_pricing", "activity_journey"]
 
