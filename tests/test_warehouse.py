@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import DATA
-from recurra.plans import quality, rollups
+from recurra.plans import quality, rollups, views
 from recurra.plans.build import build_star, build_summary, register_star
 from recurra.schemas import RAW_EVENT, STAR, enforce_schema, with_load_time
 from recurra.sources.billing import BillingInputs
@@ -82,6 +82,14 @@ def test_sql_over_registered_names(spark, star, tmp_path):
         spark.sql("SELECT * FROM no_such_table").collect()
 
 
+def test_journey_over_the_stored_star_with_hot_versions(star, hot_limit):
+    tables = star[EVENTS], star["dim_users"], star["dim_subscription_plan"], star["dim_date"]
+    plain = {tuple(r) for r in views.customer_journey(*tables).collect()}
+    hot_limit(4)
+    assert {tuple(r) for r in views.customer_journey(*tables).collect()} == plain
+    assert len(plain) == 1500
+
+
 def test_insert_absent(spark):
     old = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     new = spark.createDataFrame([(2, "x"), (3, "c")], "k int, v string")
