@@ -502,6 +502,28 @@ def dq_outside_ranges(spark, sf_dir):
     return events.where(outside).select("event_id", "event_timestamp")
 
 
+# --- training-data operators, present only with their subpackage ---------------------------
+
+try:
+    import corpus_pipeline
+    from recurra.llm import queries as llm_queries
+except ImportError:
+    corpus_pipeline = llm_queries = None
+
+
+def _llm_queries() -> dict[str, Query]:
+    if llm_queries is None:
+        return {}
+    return llm_queries.queries() | {"pipeline": corpus_pipeline.run}
+
+
+def _llm_sql() -> dict[str, str]:
+    if llm_queries is None:
+        return {}
+    own = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return llm_queries.oracle_sql() | own
+
+
 # --- contract -----------------------------------------------------------------------------
 
 
@@ -511,8 +533,8 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {name.rstrip("_"): run for name, run in _QUERIES.items()}
+    return {name.rstrip("_"): run for name, run in _QUERIES.items()} | _llm_queries()
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle_queries.oracle_sql()
+    return oracle_queries.oracle_sql() | _llm_sql()
