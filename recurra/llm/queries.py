@@ -7,13 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from recurra.llm import byte_bpe, packing, quality, token_counts
+from recurra.llm import byte_bpe, html_text, packing, quality, token_counts
 from recurra.llm.common import read
 
 PIECES = "piece_bpe_32k.model"
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read(spark, sf_dir, "pages")).drop("path", "votes")
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.token_counts(
         read(spark, sf_dir, "documents"), public_tokenizers.path(PIECES)
@@ -41,7 +45,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op2_token_counts, op5_byte_bpe, op6_quality, op10_packing)
+        for f in (op1_html_text, op2_token_counts, op5_byte_bpe, op6_quality, op10_packing)
     }
 
 
