@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recurra.llm import byte_bpe, html_text, packing, quality, token_counts
+from recurra.llm import ann, byte_bpe, html_text, packing, quality, token_counts
 from recurra.llm.common import read
 
 PIECES = "piece_bpe_32k.model"
@@ -25,6 +25,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.drop("prefix_steps")
 
 
+def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(read(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_digests(
         read(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN
@@ -45,7 +49,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op1_html_text, op2_token_counts, op5_byte_bpe, op6_quality, op10_packing)
+        for f in (op1_html_text, op2_token_counts, op3_nearest, op5_byte_bpe, op6_quality, op10_packing)
     }
 
 
