@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
@@ -43,3 +43,9 @@ def map_batches(
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """The texts of a batch; null counts as empty."""
     return [x or "" for x in batch.column(name).to_pylist()]
+
+
+def row_key(*columns: str) -> Column:
+    """96 bits that stand for a row's columns, nulls included; rows alike in them are alike."""
+    given = [F.coalesce(F.col(c).cast("string"), F.lit("\x00null")) for c in columns]
+    return F.struct(F.xxhash64(*given).alias("a"), F.hash(*given).alias("b"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recurra.llm import ann, byte_bpe, html_text, packing, quality, token_counts
+from recurra.llm import ann, byte_bpe, decontaminate, html_text, packing, quality, token_counts
 from recurra.llm.common import read
 
 PIECES = "piece_bpe_32k.model"
@@ -29,6 +29,12 @@ def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(read(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(
+        read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
+    )
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_digests(
         read(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN
@@ -49,9 +55,46 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op1_html_text, op2_token_counts, op3_nearest, op5_byte_bpe, op6_quality, op10_packing)
+        for f in (op1_html_text, op2_token_counts, op3_nearest, op4_decontamination, op5_byte_bpe, op6_quality, op10_packing)
     }
 
 
+#: Weighted Jaccard similarity of every window that begins with a shingle of the item.
+DECONTAMINATION_SQL = r"""
+WITH words AS (
+    SELECT doc_id AS id, 'd' AS kind,
+           list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w
+    FROM documents
+    UNION ALL
+    SELECT item_id, 'i',
+           list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '')
+    FROM benchmark
+),
+shingles AS (
+    SELECT kind, id, i AS pos, array_to_string(w[i : i + 4], ' ') AS x
+    FROM (SELECT *, unnest(range(1, len(w) - 3)) AS i FROM words WHERE len(w) >= 5)
+),
+items AS (
+    SELECT id AS item_id, x, count(*) AS c, sum(count(*)) OVER (PARTITION BY id) AS n
+    FROM shingles WHERE kind = 'i' GROUP BY id, x
+),
+docs AS (SELECT id AS doc_id, pos, x FROM shingles WHERE kind = 'd'),
+starts AS (SELECT DISTINCT d.doc_id, d.pos AS start, item_id, n FROM docs d JOIN items USING (x)),
+parts AS (
+    SELECT s.doc_id, s.start, s.item_id, s.n, d.x, count(*) AS c
+    FROM starts s JOIN docs d ON d.doc_id = s.doc_id AND d.pos >= s.start AND d.pos < s.start + s.n
+    GROUP BY ALL
+),
+sized AS (
+    SELECT p.doc_id, p.item_id, p.start, max(p.n) AS n, sum(p.c) AS size,
+           sum(least(p.c, coalesce(i.c, 0))) AS shared
+    FROM parts p LEFT JOIN items i ON i.item_id = p.item_id AND i.x = p.x
+    GROUP BY ALL
+)
+SELECT doc_id, item_id, max(shared / (size + n - shared)) AS similarity
+FROM sized WHERE shared / (size + n - shared) >= 0.8 GROUP BY doc_id, item_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_decontamination": DECONTAMINATION_SQL}
