@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recurra.llm import ann, byte_bpe, decontaminate, html_text, packing, quality, token_counts
+from recurra.llm import ann, byte_bpe, decontaminate, html_text, neardup, packing, personal_data, quality, token_counts
 from recurra.llm.common import read
 
 PIECES = "piece_bpe_32k.model"
@@ -47,6 +47,15 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(docs, model)
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data.find_personal_data(read(spark, sf_dir, "documents"))
+    return personal_data.digests(found)
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
     return packed.withColumnRenamed("keys", "doc_ids")
@@ -55,7 +64,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op1_html_text, op2_token_counts, op3_nearest, op4_decontamination, op5_byte_bpe, op6_quality, op10_packing)
+        for f in (op1_html_text, op2_token_counts, op3_nearest, op4_decontamination, op5_byte_bpe, op6_quality, op7_near_duplicates,
+            op9_personal_data, op10_packing)
     }
 
 
@@ -96,5 +106,49 @@ FROM sized WHERE shared / (size + n - shared) >= 0.8 GROUP BY doc_id, item_id
 """
 
 
+#: All pairs of texts that share a shingle, their exact similarity, and what links reach.
+NEAR_DUPLICATES_SQL = r"""
+WITH RECURSIVE texts AS (
+    SELECT coalesce(text, '') AS text, min(doc_id) AS node FROM documents GROUP BY 1
+),
+words AS (
+    SELECT node, list_filter(
+        regexp_split_to_array(lower(text), '[^\p{L}\p{N}_]+'), lambda x: x <> '') AS w
+    FROM texts
+),
+shingles AS (
+    SELECT node, x, count(*) AS c FROM (
+        SELECT node, unnest(CASE WHEN len(w) BETWEEN 1 AND 4 THEN [array_to_string(w, ' ')]
+            ELSE [array_to_string(w[i : i + 4], ' ') FOR i IN range(1, len(w) - 3)] END) AS x
+        FROM words
+    ) GROUP BY node, x
+),
+sizes AS (SELECT node, sum(c) AS n FROM shingles GROUP BY node),
+shared AS (
+    SELECT a.node AS u, b.node AS v, sum(least(a.c, b.c)) AS common
+    FROM shingles a JOIN shingles b ON a.x = b.x AND a.node < b.node GROUP BY 1, 2
+),
+links AS (
+    SELECT u, v FROM shared JOIN sizes p ON p.node = u JOIN sizes q ON q.node = v
+    WHERE common >= 0.8 * (p.n + q.n - common)
+),
+edges AS (SELECT u, v FROM links UNION ALL SELECT v, u FROM links),
+reach AS (
+    SELECT node AS root, node FROM texts
+    UNION
+    SELECT root, v FROM reach JOIN edges ON u = node
+),
+named AS (SELECT node, min(root) AS class_id FROM reach GROUP BY node),
+labelled AS (
+    SELECT doc_id, class_id FROM documents d JOIN texts t ON t.text = coalesce(d.text, '')
+    JOIN named USING (node)
+)
+SELECT doc_id, class_id, count(*) OVER (PARTITION BY class_id) AS n_class FROM labelled
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_decontamination": DECONTAMINATION_SQL}
+    return {
+        "op4_decontamination": DECONTAMINATION_SQL,
+        "op7_near_duplicates": NEAR_DUPLICATES_SQL,
+    }
