@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recurra.llm import ann, byte_bpe, decontaminate, html_text, neardup, packing, personal_data, quality, token_counts
+from recurra.llm import ann, brown_lm, byte_bpe, decontaminate, html_text, neardup, packing, personal_data, quality, token_counts
 from recurra.llm.common import read
 
 PIECES = "piece_bpe_32k.model"
@@ -51,6 +51,10 @@ def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op8_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown_lm.score(read(spark, sf_dir, "documents"))
+
+
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = personal_data.find_personal_data(read(spark, sf_dir, "documents"))
     return personal_data.digests(found)
@@ -64,7 +68,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op1_html_text, op2_token_counts, op3_nearest, op4_decontamination, op5_byte_bpe, op6_quality, op7_near_duplicates,
+        for f in (op1_html_text, op2_token_counts, op3_nearest, op4_decontamination, op5_byte_bpe, op6_quality, op7_near_duplicates, op8_brown_lm,
             op9_personal_data, op10_packing)
     }
 
