@@ -6,7 +6,8 @@ import math
 
 import duckdb
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+          "documents", "benchmark"]
 
 
 def duck(folder: str) -> duckdb.DuckDBPyConnection:
