@@ -49,3 +49,10 @@ def row_key(*columns: str) -> Column:
     """96 bits that stand for a row's columns, nulls included; rows alike in them are alike."""
     given = [F.coalesce(F.col(c).cast("string"), F.lit("\x00null")) for c in columns]
     return F.struct(F.xxhash64(*given).alias("a"), F.hash(*given).alias("b"))
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    while name.lower() in map(str.lower, df.columns):
+        name += "_"
+    return name

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from recurra.llm.common import row_key
+from recurra.llm.common import free_name, row_key
 from recurra.session import stage
 
 WORDS = 5
@@ -105,12 +105,14 @@ def contaminated(
 
 
 def drop_contaminated(
-    docs: DataFrame, items: DataFrame, threshold: float = 0.8, key: str = "doc_id",
-    text: str = "text",
+    docs: DataFrame, items: DataFrame, threshold: float = 0.8, text: str = "text"
 ) -> DataFrame:
     """The rows of ``docs``, all columns, that hold no item; see ``contaminated``."""
-    found = _matches(docs, items, threshold, [], text, "item_id", "text").select("_row").distinct()
-    return docs.withColumn("_row", row_key(text)).join(found, "_row", "left_anti").drop("_row")
+    row = free_name(docs, "_row")
+    found = _matches(docs, items, threshold, [], text, "item_id", "text").select(
+        F.col("_row").alias(row)
+    ).distinct()
+    return docs.withColumn(row, row_key(text)).join(found, row, "left_anti").select(docs.columns)
 
 
 def _matches(docs, items, threshold, keys, text, item_key, item_text) -> DataFrame:

@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from recurra.llm.common import free_name
 from recurra.session import stage
 
 # The patterns, in linear-time form (possessive, and only from where the leftmost
@@ -285,9 +286,7 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
 
     Overlapping spans become one, named after the first. Null texts stay null.
     """
-    name = "_spans"
-    while name in docs.columns:
-        name += "_"
+    name = free_name(docs, "_spans")
     model = fit_spans(docs.select(candidates(text).alias(name)), name)
     found = docs.withColumn(name, candidates(text)).withColumn(name, kept(model, name))
     merged = f"""aggregate(

@@ -16,7 +16,7 @@ from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 
-from recurra.llm.common import map_batches, texts_of
+from recurra.llm.common import free_name, map_batches, texts_of
 from recurra.session import stage
 
 #: Labelled rows to fit on, at most about; chosen by a hash of the id from all labelled rows.
@@ -185,8 +185,6 @@ def keep_good(
     docs: DataFrame, model: RuleModel, threshold: float = 0.3, text: str = "text"
 ) -> DataFrame:
     """The rows of ``docs``, all columns, that score ``threshold`` or more."""
-    name = "_stats"
-    while name in docs.columns:
-        name += "_"
+    name = free_name(docs, "_stats")
     scored = with_statistics(docs, name, text)
     return scored.where(model.score(name) >= threshold).select(docs.columns)

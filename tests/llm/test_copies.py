@@ -62,7 +62,7 @@ def classes(rows):
 
 
 def corpus():
-    rows, key = [], 0
+    rows, key = [], 1000
     for base in range(6):
         words = prose(80 + 20 * base, base)
         for copy in range(25):
