@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 import oracle_queries
 from recurra.functions.pricing import monthly_mrr, price_invoice, tier_of
 from recurra.operators.asof import resolve_plan_sk, resolve_versions
-from recurra.operators.hotkeys import lookup
 from recurra.operators.ordered import RunningSum, ordered
 from recurra.plans import kpis, quality, rollups, views
 from recurra.plans.dimensions import (
@@ -26,7 +25,6 @@ from recurra.sources.warehouse import (
     EVENTS, insert_absent, register, row_counts, slice_name, write_table,
 )
 
-FIRST_YEAR, LAST_YEAR = oracle_queries.FIRST_YEAR, oracle_queries.LAST_YEAR
 SLICES = date(1996, 1, 1), date(2000, 1, 1)
 AS_OF = date(2002, 1, 1)
 
@@ -67,7 +65,15 @@ def _states(spark: SparkSession, sf_dir: str, refunds: bool = False) -> DataFram
     """Monthly states; the revenue KPIs need neither user versions nor numbers."""
     inputs = BillingInputs(spark, sf_dir, refunds=refunds)
     events = resolve_plan_sk(inputs.events, plan_dimension(spark))
-    return monthly_states(events, FIRST_YEAR, LAST_YEAR, hot=inputs.hot_users)
+    return monthly_states(events, *_years(spark, sf_dir), hot=inputs.hot_users)
+
+
+def _years(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
+    """The first and the last year of the billing events."""
+    span = table(spark, sf_dir, "orders").agg(
+        F.min(F.year("o_orderdate")), F.max(F.year("o_orderdate"))
+    ).first()
+    return (1970, 1970) if span[0] is None else (span[0], span[1])
 
 
 def _keyed(spark: SparkSession, sf_dir: str, columns=("user_sk",)):
@@ -80,8 +86,10 @@ def _keyed(spark: SparkSession, sf_dir: str, columns=("user_sk",)):
     return inputs, users, events
 
 
-def _calendar(spark: SparkSession) -> DataFrame:
-    return date_dimension(spark, f"{FIRST_YEAR - 1}-01-01", f"{LAST_YEAR + 1}-12-31")
+def _calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All days from the year before the first event to the year after the last one."""
+    first, last = _years(spark, sf_dir)
+    return date_dimension(spark, f"{first - 1}-01-01", f"{last + 1}-12-31")
 
 
 def _calendar_of(spark: SparkSession, rows: DataFrame, ts: str) -> DataFrame:
@@ -194,17 +202,16 @@ def mrr_deltas(spark, sf_dir):
 
 @_query
 def invoice_pricing(spark, sf_dir):
-    country = lookup(
-        table(spark, sf_dir, "orders").select(
-            "o_orderkey",
-            F.concat(F.lit("usr_"), F.col("o_custkey").cast("string")).alias("user_id"),
-        ),
-        customers(spark, sf_dir).select("user_id", "country"),
-        "user_id",
-    ).select(F.col("o_orderkey").alias("l_orderkey"), "country")
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("l_orderkey"),
+        F.concat(F.lit("usr_"), F.col("o_custkey").cast("string")).alias("user_id"),
+    )
+    # Plain equi joins, whose skewed partitions Spark splits; what matches nothing is kept.
+    profiles = customers(spark, sf_dir).select("user_id", "country")
+    country = orders.join(profiles, "user_id", "left").select("l_orderkey", "country")
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_extendedprice", "l_discount")
     priced = price_invoice(
-        lookup(lines, country, "l_orderkey"),
+        lines.join(country, "l_orderkey", "left"),
         F.col("l_extendedprice"), F.col("l_discount"), F.col("country"),
         taxed=("NATION_2", "NATION_7"),
     )
@@ -248,7 +255,7 @@ def events_fact_(spark, sf_dir):
 @_query
 def monthly_snapshot_(spark, sf_dir):
     inputs, users, events = _keyed(spark, sf_dir)
-    return monthly_snapshot(events, users, FIRST_YEAR, LAST_YEAR, inputs.hot_users)
+    return monthly_snapshot(events, users, *_years(spark, sf_dir), inputs.hot_users)
 
 
 # --- KPIs ---------------------------------------------------------------------------------
@@ -277,7 +284,9 @@ def cohort_first_rows(spark, sf_dir):
 
 @_query
 def cohort_matrix(spark, sf_dir):
-    return views.cohort_matrix(kpis.cohort_retention(_states(spark, sf_dir)), range(13))
+    first, last = _years(spark, sf_dir)
+    retention = kpis.cohort_retention(_states(spark, sf_dir))
+    return views.cohort_matrix(retention, range(12 * (last - first + 1)))
 
 
 def _ltv(spark, sf_dir):
@@ -308,7 +317,7 @@ def active_subscriptions(spark, sf_dir):
 def customer_journey(spark, sf_dir):
     inputs, users, events = _keyed(spark, sf_dir, ("user_sk", "email"))
     return views.customer_journey(
-        events, users, plan_dimension(spark), _calendar(spark), inputs.hot_users
+        events, users, plan_dimension(spark), _calendar(spark, sf_dir), inputs.hot_users
     )
 
 
@@ -377,13 +386,13 @@ def activity_month_rollup(spark, sf_dir):
 @_query
 def annual_plan_revenue(spark, sf_dir):
     _, _, events = _keyed(spark, sf_dir)
-    return rollups.annual_plan_revenue(events, _calendar(spark), plan_dimension(spark), 1998)
+    return rollups.annual_plan_revenue(events, _calendar(spark, sf_dir), plan_dimension(spark), 1998)
 
 
 @_query
 def paid_revenue_top15(spark, sf_dir):
     _, _, events = _keyed(spark, sf_dir)
-    return rollups.paid_revenue_top(events, _calendar(spark), plan_dimension(spark))
+    return rollups.paid_revenue_top(events, _calendar(spark, sf_dir), plan_dimension(spark))
 
 
 @_query
@@ -391,7 +400,7 @@ def star_sql(spark, sf_dir):
     """Ad-hoc SQL over registered names."""
     _, _, events = _keyed(spark, sf_dir)
     register({
-        EVENTS: events, "dim_date": _calendar(spark),
+        EVENTS: events, "dim_date": _calendar(spark, sf_dir),
         "dim_subscription_plan": plan_dimension(spark),
     })
     return spark.sql(
@@ -429,11 +438,12 @@ def billing_dunning(spark, sf_dir):
 def table_row_counts(spark, sf_dir):
     inputs, users, events = _keyed(spark, sf_dir)
     return row_counts({
+        "dim_date": _calendar(spark, sf_dir),
         "dim_subscription_plan": plan_dimension(spark),
         "dim_users": users,
         "fact_subscription_events": events,
         "fact_monthly_financial_snapshot": monthly_states(
-            events, FIRST_YEAR, LAST_YEAR, hot=inputs.hot_users
+            events, *_years(spark, sf_dir), hot=inputs.hot_users
         ),
     })
 

@@ -7,7 +7,9 @@ month spine, a different route from the one the library takes.
 
 from __future__ import annotations
 
-FIRST_YEAR, LAST_YEAR = 1995, 2001
+# Years of the order tables, which fix the columns of the cohort matrix; all else takes its span
+# from the data.
+YEARS = 7
 
 CTE: dict[str, tuple[tuple[str, ...], str]] = {}
 
@@ -105,9 +107,10 @@ _cte("kinds", ("plans",), """
                      CASE o_orderpriority WHEN '1-URGENT' THEN 'plan_ent_m'
                        WHEN '2-HIGH' THEN 'plan_pro_m' WHEN '3-MEDIUM' THEN 'plan_starter_m'
                        WHEN '4-NOT SPECIFIED' THEN 'plan_starter_a'
-                       WHEN '5-LOW' THEN 'plan_pro_a' END AS plan_id
+                       WHEN '5-LOW' THEN 'plan_pro_a'
+                       ELSE CAST(error('no plan for priority') AS VARCHAR) END AS plan_id
               FROM orders)) o
-  JOIN plans p USING (plan_id)""")
+  LEFT JOIN plans p USING (plan_id)""")
 
 _cte("moves", ("kinds",), """
   SELECT event_id,
@@ -141,7 +144,7 @@ _raw("raw_refunds", "coalesce(t.discount - t.gross, 0)")
 
 _cte("states", ("kinds",), """
   SELECT k.user_id, lower(c.c_name) || '@example.com' AS email, n.n_name AS country,
-         lower(c.c_mktsegment) AS channel, 'USD' AS currency, k.ts,
+         lower(c.c_mktsegment) AS channel, 'USD' AS currency, k.ts, k.event_id AS seq,
          CASE kind WHEN 'paid' THEN k.tier
                    WHEN 'cancellation' THEN coalesce(k.tier_before, 'free')
                    ELSE 'free' END AS tier,
@@ -151,20 +154,21 @@ _cte("states", ("kinds",), """
                     PARTITION BY user_id ORDER BY ts, event_id
                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS tier_before
         FROM kinds) k
-  JOIN customer c ON c.c_custkey = k.o_custkey
-  JOIN nation n ON n.n_nationkey = c.c_nationkey
+  LEFT JOIN customer c ON c.c_custkey = k.o_custkey
+  LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey
   WHERE kind IN ('signup', 'paid', 'cancellation')""")
 
 
 def _versions(name: str, source: str, where: str) -> None:
     _cte(name, (source,), f"""
-  SELECT *, row_number() OVER (ORDER BY user_id, start_date, is_current, end_date) AS user_sk
+  SELECT *, row_number() OVER (
+           ORDER BY user_id, start_date, is_current, end_date, seq) AS user_sk
   FROM (SELECT *, end_date IS NULL AS is_current
-        FROM (SELECT user_id, email, country, channel, currency, tier, status,
+        FROM (SELECT user_id, email, country, channel, currency, tier, status, seq,
                      ts AS start_date,
-                     lead(ts) OVER (PARTITION BY user_id ORDER BY ts, tier, status) AS end_date
+                     lead(ts) OVER (PARTITION BY user_id ORDER BY ts, seq) AS end_date
               FROM (SELECT *, lag(tier || '/' || status) OVER (
-                                PARTITION BY user_id ORDER BY ts, tier, status) AS before
+                                PARTITION BY user_id ORDER BY ts, seq) AS before
                     FROM {source} WHERE {where})
               WHERE before IS DISTINCT FROM tier || '/' || status))""")
 
@@ -189,12 +193,13 @@ _cte("dates", (), """
   SELECT (year(d) * 10000 + month(d) * 100 + day(d))::BIGINT AS date_sk, d AS calendar_date,
          year(d) AS year, quarter(d) AS quarter,
          'Q' || quarter(d) || '-' || year(d) AS quarter_name
-  FROM (SELECT unnest(generate_series(DATE '1994-01-01', DATE '2002-12-31',
-                                      INTERVAL 1 DAY))::DATE AS d)""")
+  FROM (SELECT unnest(generate_series(low, high, INTERVAL 1 DAY))::DATE AS d
+        FROM (SELECT make_date(year(min(o_orderdate)) - 1, 1, 1) AS low,
+                     make_date(year(max(o_orderdate)) + 1, 12, 31) AS high FROM orders))""")
 
 
 def _snapshot(suffix: str, raw: str) -> None:
-    first, last = FIRST_YEAR * 12, LAST_YEAR * 12 + 11
+    last = "(SELECT max(year(o_orderdate)) * 12 + 11 FROM orders)"
     _cte(f"m_ev{suffix}", (raw,), f"""
   SELECT *, CASE WHEN cancel THEN 1 ELSE 0 END AS c,
          coalesce(sum(CASE WHEN cancel THEN 1 ELSE 0 END) OVER (
@@ -204,7 +209,7 @@ def _snapshot(suffix: str, raw: str) -> None:
                event_type IN ('invoice_paid', 'upgrade') AS paid,
                year(ts + INTERVAL 999999 MICROSECONDS) * 12
                  + month(ts + INTERVAL 999999 MICROSECONDS) - 1 AS ix
-        FROM {raw}) WHERE ix BETWEEN {first} AND {last}""")
+        FROM {raw})""")
     _cte(f"m_seg{suffix}", (f"m_ev{suffix}",), f"""
   SELECT user_id, ix, seg, sum(CASE WHEN paid THEN delta ELSE 0 END) AS x,
          max(c) AS closed, bool_or(paid) AS anyp
@@ -221,8 +226,8 @@ def _snapshot(suffix: str, raw: str) -> None:
          last_value(m.open_seg IGNORE NULLS) OVER w AS open_seg,
          last_value(m.plan_sk IGNORE NULLS) OVER w AS plan_sk,
          sum(coalesce(m.revenue, 0)) OVER w AS cumulative
-  FROM (SELECT user_id, unnest(generate_series(min(ix), {last})) AS ix
-        FROM m_mon{suffix} GROUP BY user_id) s
+  FROM (SELECT user_id, unnest(generate_series(low, {last})) AS ix
+        FROM (SELECT user_id, min(ix) AS low FROM m_mon{suffix} GROUP BY user_id)) s
   LEFT JOIN m_mon{suffix} m USING (user_id, ix)
   WINDOW w AS (PARTITION BY s.user_id ORDER BY s.ix
                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
@@ -404,7 +409,7 @@ _cte("batch", ("states", "old_users"), f"""
 _cte("applied", ("batch",), """
   SELECT * FROM (
     SELECT *, coalesce(lag(tier || '/' || status) OVER (
-                         PARTITION BY user_id ORDER BY ts, tier, status),
+                         PARTITION BY user_id ORDER BY ts, seq),
                        o_tier || '/' || o_status) AS before
     FROM batch WHERE opened IS NULL OR ts >= opened)
   WHERE before IS DISTINCT FROM tier || '/' || status""")
@@ -418,10 +423,10 @@ _cte("merged", ("applied", "old_users"), """
   FROM old_users o
   UNION ALL
   SELECT (SELECT max(user_sk) FROM old_users)
-           + row_number() OVER (ORDER BY user_id, ts, end_date IS NULL, end_date),
+           + row_number() OVER (ORDER BY user_id, ts, end_date IS NULL, end_date, seq),
          user_id, email, country, channel, currency, tier, status, ts, end_date,
          end_date IS NULL
-  FROM (SELECT *, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, tier, status) AS end_date
+  FROM (SELECT *, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, seq) AS end_date
         FROM applied)""")
 
 _SNAP_COLUMNS = f"""row_number() OVER (ORDER BY month_sk, user_id) AS snapshot_sk,
@@ -469,9 +474,9 @@ QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
       FROM (SELECT country, gross,
                    round(gross * l_discount::DECIMAL(4,2), 2)::DECIMAL(12,2) AS disc
             FROM (SELECT n_name AS country, l_discount, l_extendedprice::DECIMAL(12,2) AS gross
-                  FROM lineitem JOIN orders ON o_orderkey = l_orderkey
-                  JOIN customer ON c_custkey = o_custkey
-                  JOIN nation ON n_nationkey = c_nationkey))
+                  FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey
+                  LEFT JOIN customer ON c_custkey = o_custkey
+                  LEFT JOIN nation ON n_nationkey = c_nationkey))
       GROUP BY country"""),
     "billing_events": (("raw",), f"""
       SELECT event_id, user_id, plan_id, event_type, quantity::BIGINT AS quantity,
@@ -510,7 +515,7 @@ QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
       SELECT * FROM cohorts ORDER BY cohort_month_sk, month_offset LIMIT 25"""),
     "cohort_matrix": (("cohorts",), "SELECT cohort_month_sk, " + ", ".join(
         f"max(CASE WHEN month_offset = {k} THEN user_retention_rate_pct END) AS m{k}"
-        for k in range(0, 13)) + " FROM cohorts GROUP BY cohort_month_sk"),
+        for k in range(12 * YEARS)) + " FROM cohorts GROUP BY cohort_month_sk"),
     "ltv_arpu": (("ltv",), "SELECT * FROM ltv"),
     "ltv_charted": (("ltv",), """
       SELECT subscription_tier, modeled_ltv_usd FROM ltv WHERE modeled_ltv_usd > 0"""),
@@ -612,8 +617,9 @@ QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
             FROM raw f LEFT JOIN raw p ON p.user_id = f.user_id AND p.event_type = 'invoice_paid'
                  AND p.ts > f.ts AND p.ts <= f.ts + INTERVAL 60 DAY
             WHERE f.event_type = 'payment_failed' GROUP BY f.event_id)"""),
-    "table_row_counts": (("plans", "users", "ev", "snap"), """
-      SELECT 'dim_subscription_plan' AS table_name, count(*) AS rows FROM plans
+    "table_row_counts": (("dates", "plans", "users", "ev", "snap"), """
+      SELECT 'dim_date' AS table_name, count(*) AS rows FROM dates
+      UNION ALL SELECT 'dim_subscription_plan', count(*) FROM plans
       UNION ALL SELECT 'dim_users', count(*) FROM users
       UNION ALL SELECT 'fact_subscription_events', count(*) FROM ev
       UNION ALL SELECT 'fact_monthly_financial_snapshot', count(*) FROM snap"""),

@@ -35,8 +35,10 @@ def resolve_versions(
     newest = versions.groupBy("user_id").agg(
         F.max_by(picked, F.struct("start_date", "user_sk")).alias("__last")
     )
-    # Both version inputs are hashed by user, so that rows which already are (the
-    # usual case, after another scan) are merged with them without a second shuffle.
+    if hot is None:
+        hot = find_hot_keys(
+            df.select("user_id").unionAll(versions.select("user_id")), ["user_id"]
+        )
     rows = df.withColumns({_AT: F.col(at), _KIND: F.lit(2)})
     changes = versions.select(
         "user_id",
@@ -44,16 +46,19 @@ def resolve_versions(
         F.lit(1).alias(_KIND),
         F.col("user_sk").alias(_SEQ),
         F.struct(F.col("end_date").alias("until"), picked.alias("row")).alias("__version"),
-    ).repartition("user_id")
+    )
+    # The versions of ordinary users are hashed by user, so that rows which already are (the
+    # usual case, after another scan) are merged with them without a second shuffle. Those of
+    # a hot user would meet in one task, and go to their slices straight away.
+    changes = (
+        hot.cold(changes).repartition("user_id").unionByName(hot.hot(changes)) if hot
+        else changes.repartition("user_id")
+    )
     # Sorted ahead of everything, so that every row of the user can fall back to it.
     fallback = newest.select("user_id", F.lit(0).alias(_KIND), "__last")
     merged = rows.unionByName(changes, allowMissingColumns=True).unionByName(
         fallback, allowMissingColumns=True
     )
-    if hot is None:
-        hot = find_hot_keys(
-            df.select("user_id").unionAll(versions.select("user_id")), ["user_id"]
-        )
     scanned = (
         ordered(merged, ["user_id"], [_AT, _KIND, _SEQ, *tie], hot)
         .scan(__version=Latest(F.col("__version")), __last=Latest(F.col("__last")))

@@ -10,7 +10,9 @@ from recurra.functions.calendar import date_sk
 from recurra.operators.hotkeys import HotKeys, find_hot_keys
 from recurra.operators.numbering import number_rows
 from recurra.operators.ordered import Earlier, Latest, Later, ordered
-from recurra.schemas import DIM_DATE, DIM_PLAN, DIM_USERS, USER_STATE, enforce_schema
+from recurra.schemas import (
+    DIM_DATE, DIM_PLAN, DIM_USERS, SEQUENCED_STATE, USER_STATE, enforce_schema,
+)
 
 # The plan catalogue, in surrogate-key order
 # (id, code, name, interval, tier level, price, seats).
@@ -26,6 +28,9 @@ PLAN_CATALOGUE = [
 
 _TRACKED = ("subscription_tier", "account_status")
 
+# States of one instant follow their sequence; without one, their tier and status as text.
+_WITHIN_INSTANT = ("sequence", *_TRACKED)
+
 
 def date_dimension(spark: SparkSession, start: str = "2022-01-01",
                    end: str = "2026-12-31") -> DataFrame:
@@ -78,11 +83,11 @@ def plan_dimension(spark: SparkSession, catalogue=None) -> DataFrame:
 
 def user_versions(states: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """Versions of each user: states that change tier or status, each closed where the
-    next one starts."""
-    states = enforce_schema(states, USER_STATE)
+    next one starts. A column ``sequence`` of the states orders those of one instant."""
+    states = enforce_schema(states, SEQUENCED_STATE)
     tracked = F.struct(*_TRACKED)
     kept = (
-        ordered(states, ["user_id"], ["effective_ts", *_TRACKED], hot)
+        ordered(states, ["user_id"], ["effective_ts", *_WITHIN_INSTANT], hot)
         .scan(__before=Earlier(tracked))
         .apply(lambda d: d.where(~F.col("__before").eqNullSafe(tracked)).drop("__before"))
         .scan(end_date=Later(F.col("effective_ts")))
@@ -97,7 +102,7 @@ def users_dimension(states: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """``user_versions`` with surrogate keys in (user, start) order."""
     versions = user_versions(states, hot)
     # Two versions may start at one instant; the one that ends there comes first.
-    order = ["user_id", "start_date", "is_current", "end_date", *_TRACKED]
+    order = ["user_id", "start_date", "is_current", "end_date", *_WITHIN_INSTANT]
     return enforce_schema(number_rows(versions, order, "user_sk"), DIM_USERS)
 
 
@@ -115,7 +120,7 @@ def merge_users(dimension: DataFrame, changes: DataFrame,
     version and opens one; anything else leaves the dimension as it is. Changes dated
     before the start of the user's current version come back as rejects.
     """
-    changes = enforce_schema(changes, USER_STATE)
+    changes = enforce_schema(changes, SEQUENCED_STATE)
     if hot is None:
         hot = find_hot_keys(changes, ["user_id"])
     touched = changes.select("user_id").distinct()
@@ -129,7 +134,7 @@ def merge_users(dimension: DataFrame, changes: DataFrame,
     rows = open_rows.withColumn("__at", F.lit(None).cast("timestamp_ntz")).unionByName(
         batch.withColumn("__at", F.col("effective_ts")), allowMissingColumns=True
     )
-    dated = ordered(rows, ["user_id"], ["__at", "__new", *_TRACKED], hot).scan(
+    dated = ordered(rows, ["user_id"], ["__at", "__new", *_WITHIN_INSTANT], hot).scan(
         __opened=Latest(F.when(F.col("__new") == 0, F.col("effective_ts")))
     )
     late = (F.col("__new") == 1) & F.coalesce(
@@ -147,12 +152,11 @@ def merge_users(dimension: DataFrame, changes: DataFrame,
         .withColumn("is_current", F.col("end_date").isNull())
     )
     added = versions.where(F.col("__new") == 1).select(
-        *[f.name for f in DIM_USERS.fields if f.name != "user_sk"]
+        *[f.name for f in DIM_USERS.fields if f.name != "user_sk"], "sequence"
     )
     first = (dimension.agg(F.max("user_sk")).first()[0] or 0) + 1
-    numbered = number_rows(
-        added, ["user_id", "start_date", "is_current", "end_date", *_TRACKED], "user_sk", first
-    )
+    order = ["user_id", "start_date", "is_current", "end_date", *_WITHIN_INSTANT]
+    numbered = number_rows(added, order, "user_sk", first)
     untouched = dimension.where(~F.col("is_current")).unionByName(
         current.join(touched, "user_id", "left_anti")
     )

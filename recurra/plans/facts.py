@@ -32,7 +32,8 @@ def resolved_events(raw: DataFrame, users: DataFrame, plans: DataFrame,
 def with_mrr_deltas(events: DataFrame, plans: DataFrame,
                     hot: HotKeys | None = None) -> DataFrame:
     """Set ``mrr_delta_usd`` from the plans: a payment moves the user from the MRR held to
-    that of its plan, a cancellation to zero; other events move nothing."""
+    that of its plan, a cancellation to zero; other events move nothing. A payment for an
+    unknown plan fails the job."""
     priced = events.drop("mrr_delta_usd").join(
         plans.select(
             "plan_id", monthly_mrr(F.col("base_price_usd"), F.col("billing_interval")).alias("mrr")
@@ -40,7 +41,10 @@ def with_mrr_deltas(events: DataFrame, plans: DataFrame,
         "plan_id", "left",
     )
     paid = F.col("event_type").isin("invoice_paid", "upgrade")
-    target = F.when(paid, F.col("mrr")).when(
+    unknown = F.raise_error(
+        F.concat(F.lit("unknown plan "), F.coalesce("plan_id", F.lit("NULL")))
+    ).cast(MONEY)
+    target = F.when(paid, F.coalesce("mrr", unknown)).when(
         F.col("event_type") == "cancellation", F.lit(0).cast(MONEY)
     )
     held = F.coalesce(F.col("held"), F.lit(0).cast(MONEY))

@@ -67,8 +67,15 @@ def customer_journey(events: DataFrame, users: DataFrame, plans: DataFrame,
     )
 
 
-def cohort_matrix(retention: DataFrame, offsets: Sequence[int]) -> DataFrame:
-    """Retention rates with one row per cohort and one column ``m<offset>`` per offset."""
+def cohort_matrix(retention: DataFrame, offsets: Sequence[int] | None = None) -> DataFrame:
+    """Retention rates with one row per cohort and one column ``m<offset>`` per offset.
+
+    Without ``offsets`` there is a column for each up to the highest; finding that runs
+    ``retention`` once more, so pass the offsets where the months are known.
+    """
+    if offsets is None:
+        highest = retention.agg(F.max("month_offset")).first()[0]
+        offsets = range(0 if highest is None else highest + 1)
     cells = retention.groupBy("cohort_month_sk").pivot("month_offset", list(offsets)).agg(
         F.first("user_retention_rate_pct")
     )

@@ -39,6 +39,9 @@ USER_STATE = _schema({
     "effective_ts": _TS,
 })
 
+# The same with what orders states of one instant, such as the event's id.
+SEQUENCED_STATE = T.StructType([*USER_STATE.fields, T.StructField("sequence", _STR, True)])
+
 DIM_USERS = T.StructType([
     T.StructField("user_sk", _LONG, False),
     *[f for f in USER_STATE.fields if f.name != "effective_ts"],

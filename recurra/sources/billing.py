@@ -92,8 +92,13 @@ def _orders(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _in_order(orders: DataFrame, plans: DataFrame, hot: HotKeys) -> DataFrame:
-    """Orders with kind, plan, MRR delta and the tier last paid for."""
-    plan_id = _mapped(F.col("o_orderpriority"), PLAN_OF_PRIORITY)
+    """Orders with kind, plan, MRR delta and the tier last paid for; an unknown priority
+    fails the job."""
+    priority = F.col("o_orderpriority")
+    unknown = F.raise_error(
+        F.concat(F.lit("no plan for priority "), F.coalesce(priority, F.lit("NULL")))
+    ).cast("string")
+    plan_id = F.coalesce(_mapped(priority, PLAN_OF_PRIORITY), unknown)
     priced = (
         orders.withColumn("plan_id", plan_id)
         .join(
@@ -102,7 +107,7 @@ def _in_order(orders: DataFrame, plans: DataFrame, hot: HotKeys) -> DataFrame:
                 monthly_mrr(F.col("base_price_usd"), F.col("billing_interval")).alias("mrr"),
                 tier_of(F.col("plan_code")).alias("tier"),
             ),
-            "plan_id",
+            "plan_id", "left",
         )
     )
     # What an order is by itself; the first one of a user turns into the signup below.
@@ -188,10 +193,12 @@ def _states(history: DataFrame, profiles: DataFrame, hot: HotKeys) -> DataFrame:
         tier.alias("subscription_tier"),
         status.alias("account_status"),
         F.col("event_timestamp").alias("effective_ts"),
+        F.col("event_id").alias("sequence"),
     )
-    return lookup(states, profiles, "user_id", hot=hot).select(
+    # A user without a profile keeps the states, with an empty profile.
+    return lookup(states, profiles, "user_id", "left", hot=hot).select(
         "user_id", "email", "country", "acquisition_channel", "billing_currency",
-        "subscription_tier", "account_status", "effective_ts",
+        "subscription_tier", "account_status", "effective_ts", "sequence",
     )
 
 
@@ -199,7 +206,9 @@ def customers(spark: SparkSession, folder: str) -> DataFrame:
     """User profiles."""
     return (
         table(spark, folder, "customer")
-        .join(table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(
+            table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left"
+        )
         .select(
             F.concat(F.lit("usr_"), F.col("c_custkey").cast("string")).alias("user_id"),
             F.concat(F.lower("c_name"), F.lit("@example.com")).alias("email"),
