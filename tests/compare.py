@@ -12,13 +12,19 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 def duck(folder: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
-    for name in TABLES:
+    for name in filter(lambda t: _exists(folder, t), TABLES):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{folder}/{name}.parquet/**')"
                     if _is_dir(folder, name) else
                     f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet'")
     return con
 
 
+def _exists(folder: str, name: str) -> bool:
+    from pathlib import Path
+
+    return Path(f"{folder}/{name}.parquet").exists()
+
+
 def _is_dir(folder: str, name: str) -> bool:
     from pathlib import Path
 
