@@ -19,6 +19,7 @@ from recurra.plans.dimensions import (
 from recurra.plans.facts import (
     events_fact, monthly_snapshot, monthly_states, resolved_events, with_mrr_deltas,
 )
+from recurra.schemas import RAW_EVENT
 from recurra.session import shared_dir
 from recurra.sources.billing import BillingInputs, activity_events, customers, table
 from recurra.sources.warehouse import (
@@ -512,6 +513,67 @@ def dq_outside_ranges(spark, sf_dir):
     return events.where(outside).select("event_id", "event_timestamp")
 
 
+@_query
+def dq_expired_without_end(spark, sf_dir):
+    """Order terms of which every fifth has lost its end."""
+    lost = F.when(F.col("user_sk") % 5 != 0, F.col("end_date"))
+    terms = _terms(spark, sf_dir).withColumn("end_date", lost)
+    return quality.expired_without_end(terms).select("user_id", "user_sk")
+
+
+@_query
+def dq_ends_before_start(spark, sf_dir):
+    """Order terms of which every third ends a day early."""
+    early = F.when(
+        F.col("user_sk") % 3 == 0, F.col("start_date") - F.expr("interval 1 day")
+    ).otherwise(F.col("end_date"))
+    terms = _terms(spark, sf_dir).withColumn("end_date", early)
+    return quality.ends_before_start(terms).select("user_id", "user_sk", "start_date", "end_date")
+
+
+@_query
+def dq_snapshot_orphans(spark, sf_dir):
+    """Snapshot rows against a catalogue that lacks the annual plans."""
+    plans = plan_dimension(spark).where("billing_interval = 'monthly'")
+    return quality.orphans(_states(spark, sf_dir), plans, "plan_sk")
+
+
+@_query
+def dq_month_user_unique(spark, sf_dir):
+    """Months in which a user has more than one event."""
+    events = BillingInputs(spark, sf_dir, amounts=False).events
+    months = events.withColumn("month", F.date_format("event_timestamp", "yyyyMM").cast("int"))
+    return quality.duplicate_keys(months, ["month", "user_id"])
+
+
+@_query
+def dq_declared_nulls(spark, sf_dir):
+    """Billing events whose type is lost where it is a refund, and the plan of cancellations."""
+    kind = F.col("event_type")
+    events = BillingInputs(spark, sf_dir, amounts=False).events.select(
+        "*", F.when(kind != "refund", kind).alias("kind")
+    )
+    lost = events.withColumn("plan_id", F.when(kind != "cancellation", F.col("plan_id"))).drop(
+        "event_type"
+    ).withColumnRenamed("kind", "event_type")
+    return quality.declared_nulls(lost, RAW_EVENT)
+
+
+@_query
+def dq_natural_keys(spark, sf_dir):
+    """Days on which more than one order was placed: no natural key of orders."""
+    orders = table(spark, sf_dir, "orders")
+    return quality.duplicate_keys(
+        orders.select(F.to_date("o_orderdate").alias("calendar_date")), ["calendar_date"]
+    )
+
+
+@_query
+def dq_event_key(spark, sf_dir):
+    """Events that share the user and the kind."""
+    return quality.duplicate_keys(activity_events(spark, sf_dir), ["user_id", "event_type"])
+
+
 # --- training-data operators, present only with their subpackage ---------------------------
 
 try:

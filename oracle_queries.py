@@ -631,6 +631,32 @@ QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
       WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem) GROUP BY 1"""),
     "dq_not_null": (("users",), """
       SELECT 'end_date' AS column_name, count(*) AS nulls FROM users WHERE end_date IS NULL"""),
+    "dq_expired_without_end": (("terms",), """
+      SELECT user_id, user_sk FROM terms WHERE NOT is_current AND user_sk % 5 = 0"""),
+    "dq_ends_before_start": (("terms",), f"""
+      SELECT user_id, user_sk, {_ts('start_date')} AS start_date,
+             {_ts('(start_date - INTERVAL 1 DAY)')} AS end_date
+      FROM terms WHERE user_sk % 3 = 0"""),
+    "dq_snapshot_orphans": (("snap", "plans"), """
+      SELECT plan_sk, count(*) AS rows FROM snap
+      WHERE plan_sk IN (SELECT plan_sk FROM plans WHERE billing_interval <> 'monthly')
+      GROUP BY plan_sk"""),
+    "dq_month_user_unique": (("raw",), """
+      SELECT (year(ts) * 100 + month(ts))::BIGINT AS month, user_id, count(*) AS rows
+      FROM raw GROUP BY 1, 2 HAVING count(*) > 1"""),
+    "dq_declared_nulls": (("raw",), """
+      SELECT 'event_type' AS column_name, count(*) AS nulls FROM raw WHERE event_type = 'refund'
+      HAVING count(*) > 0
+      UNION ALL SELECT 'plan_id', count(*) FROM raw WHERE event_type = 'cancellation'
+      HAVING count(*) > 0"""),
+    "dq_natural_keys": ((), f"""
+      SELECT {_day('o_orderdate')} AS calendar_date, count(*) AS rows
+      FROM orders GROUP BY o_orderdate HAVING count(*) > 1"""),
+    "dq_event_key": ((), """
+      SELECT user_id::VARCHAR AS user_id,
+             CASE event_type WHEN 'error' THEN 'payment_failed' WHEN 'purchase' THEN 'invoice_paid'
+                  ELSE event_type END AS event_type, count(*) AS rows
+      FROM events GROUP BY 1, 2 HAVING count(*) > 1"""),
     "dq_single_current": (("terms",), """
       SELECT user_id, count(*) FILTER (is_current) AS current_versions FROM terms
       GROUP BY user_id HAVING count(*) FILTER (is_current) <> 1"""),
