@@ -23,7 +23,8 @@ from recurra.schemas import RAW_EVENT
 from recurra.session import shared_dir
 from recurra.sources.billing import BillingInputs, activity_events, customers, table
 from recurra.sources.warehouse import (
-    EVENTS, insert_absent, register, row_counts, slice_name, write_table,
+    EVENTS, PARTITIONED_BY, insert_absent, next_number, read_table, register, rewrite_table,
+    row_counts, slice_name, write_table,
 )
 
 SLICES = date(1996, 1, 1), date(2000, 1, 1)
@@ -186,6 +187,19 @@ def scd2_merge_rejects(spark, sf_dir):
     )
 
 
+@_query
+def scd2_merge_stored(spark, sf_dir):
+    """The merge into a written dimension, which takes the place of the old one."""
+    inputs = BillingInputs(spark, sf_dir, amounts=False)
+    root = f"{shared_dir(spark)}/recurra-merge-{uuid.uuid4().hex}"
+    states, ts, hot = inputs.user_states, F.col("effective_ts"), inputs.hot_users
+    cut, since = (F.lit(d).cast("timestamp_ntz") for d in ("1999-01-01", "1998-07-01"))
+    write_table(users_dimension(states.where(ts < cut), hot), root, "dim_users")
+    stored = read_table(spark, root, "dim_users")
+    rewrite_table(merge_users(stored, states.where(ts >= since), hot).dimension, root, "dim_users")
+    return read_table(spark, root, "dim_users")
+
+
 # --- facts --------------------------------------------------------------------------------
 
 
@@ -253,6 +267,22 @@ def events_fact_(spark, sf_dir):
     return events_fact(inputs.events, users, plan_dimension(spark), inputs.hot_users)
 
 
+@_query
+def events_append(spark, sf_dir):
+    """The event fact in two batches, the second appended with the numbers going on."""
+    inputs = BillingInputs(spark, sf_dir)
+    users, plans = users_dimension(inputs.user_states, inputs.hot_users), plan_dimension(spark)
+    root = f"{shared_dir(spark)}/recurra-append-{uuid.uuid4().hex}"
+    early = F.col("event_timestamp") < F.lit("1998-01-01").cast("timestamp_ntz")
+    write_table(
+        events_fact(inputs.events.where(early), users, plans, inputs.hot_users), root, EVENTS
+    )
+    first = next_number(read_table(spark, root, EVENTS), "event_sk")
+    late = events_fact(inputs.events.where(~early), users, plans, inputs.hot_users, first)
+    write_table(late, root, EVENTS, append=True)
+    return read_table(spark, root, EVENTS).drop(*PARTITIONED_BY)
+
+
 @_query
 def monthly_snapshot_(spark, sf_dir):
     inputs, users, events = _keyed(spark, sf_dir)

@@ -494,6 +494,7 @@ QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
                   FROM raw r JOIN plans p USING (plan_id)))"""),
     "users_scd2": (("users",), f"SELECT {_USER_COLUMNS} FROM users"),
     "scd2_merge": (("merged",), f"SELECT {_USER_COLUMNS} FROM merged"),
+    "scd2_merge_stored": (("merged",), f"SELECT {_USER_COLUMNS} FROM merged"),
     "scd2_merge_rejects": (("batch",), f"""
       SELECT user_id, tier AS subscription_tier, status AS account_status,
              {_ts('ts')} AS effective_ts
@@ -505,6 +506,7 @@ QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
     "asof_fallback": (("raw", "users", "newest"),
                       _asof("raw", "(e.ts - INTERVAL 400 DAY)", "e.event_id")),
     "events_fact": (("ev",), f"SELECT {_EVENT_COLUMNS} FROM ev"),
+    "events_append": (("ev",), f"SELECT {_EVENT_COLUMNS} FROM ev"),
     "monthly_snapshot": (("snap_sk",), f"SELECT {_SNAP_COLUMNS} FROM snap_sk"),
     "mrr_waterfall": (("waterfall",), f"""
       SELECT * REPLACE ({_day('snapshot_date')} AS snapshot_date) FROM waterfall"""),

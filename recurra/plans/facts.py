@@ -59,13 +59,13 @@ def with_mrr_deltas(events: DataFrame, plans: DataFrame,
 
 
 def events_fact(raw: DataFrame, users: DataFrame, plans: DataFrame,
-                hot: HotKeys | None = None) -> DataFrame:
-    """The event fact, numbered in time order."""
-    return number_events(resolved_events(raw, users, plans, hot))
+                hot: HotKeys | None = None, first: int = 1) -> DataFrame:
+    """The event fact, numbered in time order from ``first`` on."""
+    return number_events(resolved_events(raw, users, plans, hot), first)
 
 
-def number_events(resolved: DataFrame) -> DataFrame:
-    return enforce_schema(number_rows(resolved, _ORDER, "event_sk"), FACT_EVENTS)
+def number_events(resolved: DataFrame, first: int = 1) -> DataFrame:
+    return enforce_schema(number_rows(resolved, _ORDER, "event_sk", first), FACT_EVENTS)
 
 
 def monthly_states(events: DataFrame, start_year: int, end_year: int,

@@ -9,6 +9,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from recurra.schemas import STAR, enforce_schema
+from recurra.session import stage
 
 EVENTS = "fact_subscription_events"
 PARTITIONED_BY = ("event_year", "event_month")
@@ -25,19 +26,19 @@ def with_month_keys(events: DataFrame) -> DataFrame:
 
 
 def write_table(df: DataFrame, root: str, name: str, months_only: bool = False,
-                time_sliced: bool = False) -> str:
+                time_sliced: bool = False, append: bool = False) -> str:
     """Replace a table with ``df`` as ZSTD Parquet; events go by year and month.
 
-    With ``months_only`` just the months found in ``df`` are replaced. ``time_sliced``
-    says that each partition of ``df`` already covers a stretch of time of its own.
+    With ``months_only`` just the months found in ``df`` are replaced; with ``append`` its
+    rows come on top of the stored ones. ``time_sliced`` says that each partition of ``df`` already covers a stretch of time of its own.
 
     Event rows are range partitioned by time before the write. A hot month is then
     spread over many tasks, quiet months share one, and every file covers a short time
     span, which its row-group statistics let a filter use.
     """
-    path = f"{root}/{name}"
+    path, mode = f"{root}/{name}", "append" if append else "overwrite"
     if name != EVENTS:
-        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+        df.write.mode(mode).option("compression", "zstd").parquet(path)
         return path
     order = [*PARTITIONED_BY, "event_timestamp", "event_id"]
     keyed = with_month_keys(df)
@@ -45,7 +46,7 @@ def write_table(df: DataFrame, root: str, name: str, months_only: bool = False,
         keyed = keyed.repartitionByRange(*order)
     (
         keyed.sortWithinPartitions(*order)
-        .write.mode("overwrite")
+        .write.mode(mode)
         .option("compression", "zstd")
         .option("partitionOverwriteMode", "dynamic" if months_only else "static")
         .partitionBy(*PARTITIONED_BY)
@@ -54,6 +55,20 @@ def write_table(df: DataFrame, root: str, name: str, months_only: bool = False,
     return path
 
 
+def next_number(table: DataFrame, key: str) -> int:
+    """The first number that a stored table has not given yet."""
+    return (table.agg(F.max(key)).first()[0] or 0) + 1
+
+
+def rewrite_table(df: DataFrame, root: str, name: str) -> str:
+    """Replace a table with a frame that reads it.
+
+    The frame is first written whole to the shared folder, so the old table is read to the
+    end before it goes, and a job lost in between leaves one of the two complete.
+    """
+    return write_table(stage(df, name), root, name)
+
+
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Read a table with its declared schema; partition columns come as integers."""
     schema = STAR[name]
