@@ -123,9 +123,13 @@ def test_no_python_in_personal_data(spark, capsys):
     assert not re.search("Python|Arrow|Pandas|Cartesian|NestedLoop", capsys.readouterr().out)
 
 
-def test_quality_on_held_out_labels(spark):
+@pytest.fixture(scope="module")
+def model(spark):
+    return quality.fit_rules(read(spark, DATA, "documents"), read(spark, DATA, "labels"))
+
+
+def test_quality_on_held_out_labels(spark, model):
     docs, labels = read(spark, DATA, "documents"), read(spark, DATA, "labels")
-    model = quality.fit_rules(docs, labels)
     assert 0 < len(model.rules) < 100
     scored = quality.score_quality(docs, model)
     rows = scored.join(labels, "doc_id").where("held_out").collect()
@@ -138,12 +142,12 @@ def test_quality_on_held_out_labels(spark):
     assert kept.count() == sum(r.predicted for r in scored.collect())
 
 
-def test_quality_learns_only_from_rows_that_are_not_held_out(spark):
+def test_quality_learns_only_from_rows_that_are_not_held_out(spark, model):
     docs, labels = read(spark, DATA, "documents"), read(spark, DATA, "labels")
     turned = labels.withColumn(
         "quality", F.when(quality.held_out("doc_id"), 1 - F.col("quality")).otherwise(F.col("quality"))
     )
-    assert quality.fit_rules(docs, labels) == quality.fit_rules(docs, turned)
+    assert model == quality.fit_rules(docs, turned)
 
 
 def test_quality_of_odd_rows(spark):
@@ -162,9 +166,8 @@ def test_quality_of_odd_rows(spark):
     assert kept.count() == docs.count() and kept.columns == odd.clashing(docs).columns
 
 
-def test_rules_as_columns_are_the_rules(spark):
+def test_rules_as_columns_are_the_rules(spark, model):
     docs = read(spark, DATA, "documents").limit(50)
-    model = quality.fit_rules(read(spark, DATA, "documents"), read(spark, DATA, "labels"))
     got = {r.doc_id: r.score for r in quality.score_quality(docs, model).collect()}
     for r in docs.collect():
         values = dict(zip(quality.STATISTICS, quality.text_statistics(r.text)))
