@@ -51,6 +51,16 @@ def row_key(*columns: str) -> Column:
     return F.struct(F.xxhash64(*given).alias("a"), F.hash(*given).alias("b"))
 
 
+#: Rows up to which a narrow written table (a key of some bytes) is broadcast.
+SMALL_ROWS = 500_000
+
+
+def small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+    """``df`` with a broadcast hint if a count proves that it has at most ``rows`` rows; beyond,
+    the join that Spark picks stands. For narrow written tables, which are cheap to count."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` has it."""
     while name.lower() in map(str.lower, df.columns):

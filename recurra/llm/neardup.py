@@ -22,7 +22,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from recurra.llm.common import map_batches, texts_of
+from recurra.llm.common import map_batches, small, texts_of
 from recurra.llm.components import components
 from recurra.session import stage
 
@@ -31,8 +31,9 @@ BANDS, ROWS = 30, 5
 SIZE = BANDS * ROWS
 #: Standard deviations by which a signature may fall short of the similarity.
 SLACK = 4.2
-#: Characters whose signatures are made at once, members of a bucket that meet in one task.
-CHUNK_CHARS, BLOCK = 2_000_000, 1024
+#: Characters whose signatures are made at once, members of a bucket that meet in one task, and
+#: characters of theirs.
+CHUNK_CHARS, BLOCK, BLOCK_CHARS = 2_000_000, 1024, 8_000_000
 
 _WORD = re.compile(r"\w+")
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -122,7 +123,7 @@ def node_of(text: str) -> Column:
 
 
 def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: key, node (of its text) and signature (binary; null without any word)."""
+    """Per row: key, node (of its text), chars and signature (binary; null without any word)."""
     kind = docs.schema[key].dataType.simpleString()
 
     def sign(batch):
@@ -137,10 +138,13 @@ def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
                 s.tobytes() if len(b) else None for s, b in zip(bag_min_hash(bags), bags)
             ]
             at = end
-        return {key: batch.column(key), "node": batch.column("node"), "signature": signed}
+        return {
+            key: batch.column(key), "node": batch.column("node"),
+            "chars": list(map(len, texts)), "signature": signed,
+        }
 
     source = docs.select(key, text, node_of(text).alias("node"))
-    return map_batches(source, f"`{key}` {kind}, node binary, signature binary", sign)
+    return map_batches(source, f"`{key}` {kind}, node binary, chars long, signature binary", sign)
 
 
 def _agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -174,12 +178,7 @@ def _plausible(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFram
 def _verified(pairs: DataFrame, docs: DataFrame, text: str, threshold: float) -> DataFrame:
     """The pairs (a, b) whose texts have the similarity, as a written table."""
     pairs = stage(pairs, "neardup-pairs")
-    asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    texts = stage(
-        docs.select(node_of(text).alias("node"), F.col(text).alias("text"))
-        .join(asked, "node", "left_semi").dropDuplicates(["node"]),
-        "neardup-texts",
-    )
+    texts = _texts(pairs.select(F.col("a").alias("node")).union(pairs.select("b")), docs, text)
     both = pairs
     for side in "ab":
         both = both.join(
@@ -198,14 +197,26 @@ def _verified(pairs: DataFrame, docs: DataFrame, text: str, threshold: float) ->
     return stage(map_batches(both, "a binary, b binary", keep, rows=200), "neardup-links")
 
 
+def _texts(asked: DataFrame, docs: DataFrame, text: str) -> DataFrame:
+    """Rows (node, text) of the nodes asked for, written."""
+    asked = stage(asked.distinct(), "neardup-asked")
+    found = docs.select(node_of(text).alias("node"), F.col(text).alias("text"))
+    return stage(
+        found.join(small(asked), "node", "left_semi").dropDuplicates(["node"]), "neardup-texts"
+    )
+
+
 def _members(nodes: DataFrame) -> DataFrame:
     """Rows (bucket, band, node, size) of all buckets with more than one member, written."""
     banded = nodes.select("node", F.posexplode(F.expr(
         f"transform(sequence(0, {BANDS - 1}),"
         f" b -> xxhash64(b, substring(signature, b * {4 * ROWS} + 1, {4 * ROWS})))"
     )).alias("band", "bucket"))
-    sizes = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    return stage(banded.join(sizes, "bucket"), "neardup-members")
+    sizes = stage(
+        banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1"),
+        "neardup-buckets",
+    )
+    return stage(banded.join(small(sizes), "bucket"), "neardup-members")
 
 
 def _star_pairs(members: DataFrame) -> DataFrame:
@@ -224,60 +235,101 @@ def _grouped(nodes: DataFrame, groups: DataFrame) -> DataFrame:
     return nodes.join(groups, "node", "left").withColumn("group", F.coalesce("group", "node"))
 
 
-def _rest_pairs(members: DataFrame, groups: DataFrame, nodes: DataFrame, threshold: float):
-    """Pairs in one bucket but different groups that signatures do not rule out, each once.
+def _rest_links(
+    members: DataFrame, groups: DataFrame, nodes: DataFrame, docs: DataFrame, text: str,
+    threshold: float,
+) -> DataFrame:
+    """Links between members of one bucket in different groups, as a written table.
 
     Large buckets are cut into blocks and each pair of blocks meets in one task; small buckets
-    share tasks.
+    share tasks. Pairs are compared where they meet, so only links leave a task.
     """
     least = _least_agreement(threshold)
-    held = _grouped(members.where("size > 2"), groups)
-    mixed = held.groupBy("bucket").agg(
-        F.min("group").alias("low"), F.max("group").alias("high"), F.max("size").alias("n")
-    ).where("low != high").select("bucket", "n")
+    sized = nodes.select("node", "chars", "signature")
+    held = stage(
+        _grouped(members.where("size > 2"), groups).join(sized.drop("signature"), "node"),
+        "neardup-held",
+    )
+    mixed = stage(
+        held.groupBy("bucket").agg(
+            F.min("group").alias("low"), F.max("group").alias("high"),
+            F.max("size").alias("n"), F.sum("chars").alias("all_chars"),
+        ).where("low != high").select("bucket", "n", F.ceil(F.greatest(
+            F.col("n") / BLOCK, F.col("all_chars") / BLOCK_CHARS
+        )).cast("int").alias("blocks")),
+        "neardup-mixed",
+    )
     tasks = max(1, (mixed.agg(F.sum("n")).first()[0] or 0) // BLOCK)
-    signed = held.join(mixed, "bucket").join(nodes, "node")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    rows = held.join(small(mixed), "bucket")
+    texts = _texts(rows.select("node"), docs, text)
     shared = F.pmod("bucket", F.lit(tasks))
     dealt = (
-        signed.withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        rows.join(sized.drop("chars"), "node").join(texts, "node")
+        .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
-            F.when(F.col("n") > BLOCK, F.col("bucket")).otherwise(shared).alias("task"),
+            F.when(F.col("blocks") > 1, F.col("bucket")).otherwise(shared).alias("task"),
             F.least("own", "other").alias("first"), F.greatest("own", "other").alias("second"),
             (F.col("own") <= F.col("other")).alias("left"),
             (F.col("own") >= F.col("other")).alias("right"),
-            "bucket", "band", "node", "group", "signature",
+            "bucket", "band", "node", "group", "signature", "text",
         )
     )
 
     def meet(frame: pd.DataFrame) -> pd.DataFrame:
-        pairs = []
+        links = []
         for _, rows in frame.groupby("bucket", sort=False):
             left, right = rows[rows["left"]], rows[rows["right"]]
-            pairs += _candidates(left, right, int(rows["band"].iloc[0]), least)
-        return pd.DataFrame(sorted(set(pairs)), columns=["a", "b"])
+            links += _links(left, right, int(rows["band"].iloc[0]), least, threshold)
+        return pd.DataFrame(links, columns=["a", "b"])
 
-    return dealt.groupBy("task", "first", "second").applyInPandas(meet, "a binary, b binary")
+    found = dealt.groupBy("task", "first", "second").applyInPandas(meet, "a binary, b binary")
+    return stage(found, "neardup-links")
 
 
-def _candidates(left: pd.DataFrame, right: pd.DataFrame, band: int, least: float) -> list[tuple]:
-    """Pairs of different groups that agree enough and meet in no band before this one."""
+def _links(
+    left: pd.DataFrame, right: pd.DataFrame, band: int, least: float, threshold: float
+) -> list[tuple]:
+    """Links that join different groups, among the pairs that agree enough and meet in no band
+    before this one; the likeliest are compared first, and groups once joined are not again."""
     if not len(left) or not len(right):
         return []
     x, y = _unpack(left["signature"]), _unpack(right["signature"])
     names = pd.factorize(np.concatenate([left["group"], right["group"]]))[0]
-    u, v = left["node"].tolist(), right["node"].tolist()
-    pairs = []
+    found = []
     for at in range(0, len(x), 64):
         equal = x[at : at + 64, None, :] == y[None]
         bands = equal[..., : band * ROWS].reshape(*equal.shape[:2], band, ROWS)
-        apart = names[at : at + 64][: len(equal), None] != names[None, len(x) :]
-        apart &= (equal.sum(axis=2) >= least) & ~bands.all(axis=3).any(axis=2)
-        for i, j in zip(*np.nonzero(apart)):
-            p, q = u[at + i], v[j]
-            pairs.append((min(p, q), max(p, q)))
-    return pairs
+        same = equal.sum(axis=2, dtype=np.int16)
+        apart = names[at : at + len(equal), None] != names[None, len(x) :]
+        apart &= (same >= least) & ~bands.all(axis=3).any(axis=2)
+        i, j = np.nonzero(apart)
+        found.append(np.stack([same[i, j], i + at, j], axis=1))
+    pairs = np.concatenate(found)
+    joined = list(range(names.max() + 1))
+
+    def top(k: int) -> int:
+        while joined[k] != k:
+            k = joined[k]
+        return k
+
+    bags: dict[bytes, tuple] = {}
+
+    def bag(row) -> tuple:
+        if row.node not in bags:
+            bags[row.node] = weighted(row.text or "")
+        return bags[row.node]
+
+    rows = [list(side[["node", "text"]].itertuples()) for side in (left, right)]
+    links = []
+    for _, i, j in pairs[np.argsort(-pairs[:, 0], kind="stable")]:
+        p, q = top(names[i]), top(names[len(x) + j])
+        if p != q:
+            a, b = rows[0][i], rows[1][j]
+            if overlap(bag(a), bag(b)) >= threshold:
+                joined[p] = q
+                links.append((a.node, b.node))
+    return links
 
 
 def find_groups(
@@ -289,13 +341,13 @@ def find_groups(
             signatures(docs.withColumn("_key", F.lit(0)), "_key", text), "neardup-signatures"
         )
     nodes = stage(
-        signed.where("signature IS NOT NULL").select("node", "signature").distinct(),
+        signed.where("signature IS NOT NULL").select("node", "chars", "signature").distinct(),
         "neardup-nodes",
     )
     members = _members(nodes)
     links = _verified(_plausible(_star_pairs(members), nodes, threshold), docs, text, threshold)
     groups = components(links)
-    rest = _verified(_rest_pairs(members, groups, nodes, threshold), docs, text, threshold)
+    rest = _rest_links(members, groups, nodes, docs, text, threshold)
     return groups if rest.isEmpty() else components(links.union(rest))
 
 
@@ -325,7 +377,8 @@ def keep_one(
     named = docs.select(
         node_of(text).alias("node"), F.struct(F.col(key).isNull(), key, *docs.columns).alias("row")
     )
-    kept = _grouped(named, find_groups(docs, threshold, text)).groupBy("group").agg(
+    groups = stage(find_groups(docs, threshold, text), "neardup-groups")
+    kept = _grouped(named, small(groups)).groupBy("group").agg(
         F.min("row").alias("row")
     )
     names = [f"c{i}" for i in range(len(docs.columns) + 2)]
