@@ -1,22 +1,24 @@
 """Language-model scores by class-based bigrams (Brown et al.).
 
 A word's probability is that of its class after the class of the word before it, times that of
-the word within its class. Words are counted in Spark. Those that occur twice or more and are
-among the ``HEAD`` most frequent get numbers; texts are rewritten once as lists of numbers. All
-other words form one open class, whose share is counted like any other's, in which known words
+the word within its class. Words are counted in Spark. All that occur twice or more get numbers;
+texts are rewritten as lists of numbers, for the ``HEAD`` most frequent words by a dictionary and
+for those beyond by a join. Words that occur once or never form one open class, whose share is counted like any other's, in which known words
 have their counts and unseen ones the mass that Good and Turing's rule gives them.
 
 The ``EXCHANGED`` most frequent words are clustered by exchange: starting from classes by rank,
 each word moves to the class that raises the likelihood of the class bigrams most, until few
 move. Spark sums each word's neighbours by class in every round; the driver sees one row per
-word and class, at most ``EXCHANGED`` x ``CLASSES`` x 2. The other numbered words then get their
+word and class. ``EXCHANGED`` and ``CLASSES`` hold up to ``HEAD`` words and grow beyond, with the
+square and the cube root of their number, so driver and tasks hold those squares and some bytes a
+numbered word (class and count). The other numbered words then get their
 class by one such exchange each, given the neighbours' classes.
 """
 
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,10 +26,11 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from recurra.llm.common import map_batches, texts_of
+from recurra.llm.common import map_batches, small, texts_of
+from recurra.operators.numbering import number_rows
 from recurra.session import stage
 
-#: Fixed bounds on what tasks hold of the vocabulary; words beyond them are joined by shuffle.
+#: Words that tasks hold in a dictionary, and for so many words the clustered ones and classes.
 HEAD, EXCHANGED, CLASSES = 200_000, 4096, 64
 ROUNDS = 6
 END = 0  # the number of the end of a text, and its class
@@ -85,6 +88,42 @@ def _numbered(docs: DataFrame, words, key: str, text: str) -> DataFrame:
     return made.withColumn("row", F.monotonically_increasing_id())
 
 
+def _rest(vocabulary: DataFrame, last: int, word: bytes, first: int) -> DataFrame:
+    """Rows (number, word, c) of the words seen twice or more that come after ``word``, which is
+    seen ``last`` times, numbered from ``first`` on in the order of the others."""
+    after = (F.col("c") < last) | ((F.col("c") == last) & (F.col("word") > F.lit(word)))
+    rest = vocabulary.where("c > 1").where(after).select((-F.col("c")).alias("less"), "word", "c")
+    return number_rows(rest, ["less", "word"], "number", first).drop("less")
+
+
+def _numbered_on(numbered: DataFrame, rest: DataFrame, other: int, now_other: int) -> DataFrame:
+    """``numbered``, where ``other`` stood for all words of the tails, with the numbers that
+    ``rest`` has for some of them; ``now_other`` stands for those left."""
+    found = (
+        numbered.select("row", F.explode(F.array_distinct("tail")).alias("word"))
+        .join(small(rest.select("word", F.col("number").cast("int"))), "word").groupBy("row")
+        .agg(F.collect_list(F.struct("word", "number")).alias("found"))
+    )
+    both = numbered.join(found, "row", "left")
+
+    def number(batch):
+        ids, tails = [], []
+        columns = (batch.column(c) for c in ("ids", "tail", "found"))
+        for old, tail, known in zip(*columns):
+            now, tail = old.values.to_numpy().copy(), tail.as_py()
+            of = {x["word"]: x["number"] for x in known.as_py() or ()}
+            now[now == other] = [of.get(w, now_other) for w in tail]
+            ids.append(now)
+            tails.append([w for w in tail if w not in of])
+        return {c: batch.column(c) for c in ("row", "key", "held_out")} | {"ids": ids, "tail": tails}
+
+    kind = numbered.schema["key"].dataType.simpleString()
+    return map_batches(
+        both, f"key {kind}, held_out boolean, ids array<int>, tail array<binary>, `row` long",
+        number,
+    )
+
+
 def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     """All numbers of a batch in a row, and the number before each (the end before a text)."""
     ids = batch.column("ids").flatten().to_numpy(zero_copy_only=False)
@@ -235,13 +274,21 @@ class BrownModel:
     distinct: int
 
 
+def sizes(words: int) -> tuple[int, int]:
+    """How many words are clustered by exchange, and the classes, for so many numbered words."""
+    more = max(1.0, words / HEAD)
+    return round(EXCHANGED * more ** (1 / 2)), round(CLASSES * more ** (1 / 3))
+
+
 def fit(
-    numbered: DataFrame, vocabulary: DataFrame, counts: list[int], ends: int,
-    exchanged: int = EXCHANGED, classes: int = CLASSES, rounds: int = ROUNDS,
+    numbered: DataFrame, vocabulary: DataFrame, counts: Sequence[int] | np.ndarray, ends: int,
+    exchanged: int | None = None, classes: int | None = None, rounds: int = ROUNDS,
 ) -> BrownModel:
     """The model of the rows of ``numbered`` that are not held out."""
     training = numbered.where("NOT held_out")
     head = len(counts) + 1  # with the end
+    usual_exchanged, usual_classes = sizes(len(counts))
+    exchanged, classes = exchanged or usual_exchanged, classes or usual_classes
     limit = min(exchanged, head)
     classes = max(2, min(classes, limit // 4))
     total, distinct, once, twice = vocabulary.agg(
@@ -249,7 +296,7 @@ def fit(
         F.count(F.when(F.col("c") == 1, 1)), F.count(F.when(F.col("c") == 2, 1)),
     ).first()
     bigrams = stage(_bigrams(training, limit), "lm-bigrams")
-    home = np.full(head + 1, classes)  # the open class is the last
+    home = np.full(head + 1, classes, np.int32)  # the open class is the last
     home[:limit] = exchange(bigrams, limit, classes, rounds)
     if head > limit:
         known = np.where(np.arange(head + 1) < limit, home, -1)
@@ -265,7 +312,7 @@ def fit(
     by_class = np.bincount(home[:-1], weights=count[:-1], minlength=classes + 1)
     emission = np.zeros(head + 1)
     emission[1:head] = np.log10(count[1:head] / by_class[home[1:head]])
-    tail = total - sum(counts)
+    tail = total - int(np.sum(counts))
     unseen = min(0.8, max(1e-6, once / (tail + 1))) if tail else 1.0
     words = max(1.0, once * (once - 1) / (2 * (twice + 1)))
     known_ends = 1 if ends else 0
@@ -278,7 +325,7 @@ def fit(
 def _class_table(numbered: DataFrame, home: np.ndarray, classes: int) -> np.ndarray:
     def cells(batch):
         now, before = _flat(batch)
-        return home[before] * classes + home[now]
+        return home[before].astype(np.int64) * classes + home[now]
 
     size = classes * classes
     return _array(_summed(numbered.select("ids"), size, cells), size).reshape(classes, classes)
@@ -301,9 +348,18 @@ def score(
     most = (
         vocabulary.where("c > 1").orderBy(F.desc("c"), "word").limit(head).toArrow()
     )
-    words, counts = most["word"].to_pylist(), most["c"].to_pylist()
+    words, counts = most["word"].to_pylist(), most["c"].to_numpy()
     numbers = spark.sparkContext.broadcast(_Numbers(words))
     numbered = stage(_numbered(source, numbers, key, text), "lm-numbered")
+    if len(words) == head:
+        rest = stage(_rest(vocabulary, int(counts[-1]), words[-1], head + 1), "lm-rest")
+        more = rest.select("number", "c").toArrow()
+        if more.num_rows:
+            beyond = np.empty(more.num_rows, np.int64)
+            beyond[more["number"].to_numpy() - head - 1] = more["c"].to_numpy()
+            counts = np.concatenate([counts, beyond])
+            numbered = _numbered_on(numbered, rest, head + 1, len(counts) + 1)
+            numbered = stage(numbered, "lm-numbered-on")
     ends = numbered.where("NOT held_out").count()
     model = fit(numbered, vocabulary, counts, ends, **fitting)
 

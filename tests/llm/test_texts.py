@@ -240,6 +240,25 @@ def test_lm_probabilities_sum_to_one(spark):
         assert p.sum() + 10 ** m.step[before, -1] * open_class == pytest.approx(1)
 
 
+def test_lm_words_beyond_the_dictionary_have_classes_too(spark):
+    """How many words tasks hold in a dictionary changes no score."""
+    rng = random.Random(9)
+    near = [(i, " ".join(f"w{min(39, int(rng.expovariate(0.1)))}" for _ in range(20))) for i in range(80)]
+    docs = odd.documents(spark, near + odd.texts())
+    of = {
+        head: sorted((str(r.doc_id), r.n_tokens, r.n_known, r.base_score, r.score)
+                     for r in brown_lm.score(docs, head=head).collect())
+        for head in (3, 200_000)
+    }
+    for a, b in zip(of[3], of[200_000], strict=True):
+        assert a[:3] == b[:3] and a[3:] == pytest.approx(b[3:])
+
+
+def test_lm_classes_grow_with_the_vocabulary():
+    assert brown_lm.sizes(35_000) == brown_lm.sizes(200_000) == (4096, 64)
+    assert brown_lm.sizes(12_800_000) == (32_768, 256)
+
+
 def test_exchange_parts_two_languages(spark):
     """Words of two languages that never mix end up in different classes."""
     rng = random.Random(6)
