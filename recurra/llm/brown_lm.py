@@ -3,16 +3,19 @@
 A word's probability is that of its class after the class of the word before it, times that of
 the word within its class. Words are counted in Spark. All that occur twice or more get numbers;
 texts are rewritten as lists of numbers, for the ``HEAD`` most frequent words by a dictionary and
-for those beyond by a join. Words that occur once or never form one open class, whose share is counted like any other's, in which known words
-have their counts and unseen ones the mass that Good and Turing's rule gives them.
+for those beyond by a join. Words that occur once or never form one open class, whose share is
+counted like any other's, in which known words have their counts and unseen ones the mass that
+Good and Turing's rule gives them.
 
 The ``EXCHANGED`` most frequent words are clustered by exchange: starting from classes by rank,
 each word moves to the class that raises the likelihood of the class bigrams most, until few
 move. Spark sums each word's neighbours by class in every round; the driver sees one row per
 word and class. ``EXCHANGED`` and ``CLASSES`` hold up to ``HEAD`` words and grow beyond, with the
 square and the cube root of their number, so driver and tasks hold those squares and some bytes a
-numbered word (class and count). The other numbered words then get their
-class by one such exchange each, given the neighbours' classes.
+numbered word (class and count). Words not clustered yet count as neighbours in the open class.
+
+Then all numbered words are exchanged in tasks, each given the classes of its neighbours and all
+at once, until few move or its logarithm no longer rises by ``LEAST`` a token.
 """
 
 from __future__ import annotations
@@ -32,7 +35,7 @@ from recurra.session import stage
 
 #: Words that tasks hold in a dictionary, and for so many words the clustered ones and classes.
 HEAD, EXCHANGED, CLASSES = 200_000, 4096, 64
-ROUNDS = 6
+ROUNDS, LEAST = 6, 0.01
 END = 0  # the number of the end of a text, and its class
 
 
@@ -152,13 +155,15 @@ def _array(df: DataFrame, size: int) -> np.ndarray:
 
 
 def _bigrams(numbered: DataFrame, limit: int) -> DataFrame:
-    """Rows (a, b, n) of neighbours that both are below ``limit``."""
+    """Rows (a, b, n) of neighbours of which one is below ``limit``; it stands for all others."""
 
     def pairs(batch):
         now, before = _flat(batch)
-        near = (now < limit) & (before < limit)
-        cell, n = np.unique(before[near].astype(np.int64) * limit + now[near], return_counts=True)
-        return {"a": (cell // limit).astype(np.int32), "b": (cell % limit).astype(np.int32), "n": n}
+        near = (now < limit) | (before < limit)
+        now, before = (np.minimum(x[near], limit).astype(np.int64) for x in (now, before))
+        cell, n = np.unique(before * (limit + 1) + now, return_counts=True)
+        a, b = np.divmod(cell, limit + 1)
+        return {"a": a.astype(np.int32), "b": b.astype(np.int32), "n": n}
 
     made = map_batches(numbered.select("ids"), "a int, b int, n long", pairs, rows=10_000)
     return made.groupBy("a", "b").agg(F.sum("n").alias("n"))
@@ -171,7 +176,8 @@ def _xlogx(x: np.ndarray) -> np.ndarray:
 def best_class(
     before: np.ndarray, after: np.ndarray, table: np.ndarray, rows: np.ndarray, columns: np.ndarray
 ) -> int:
-    """The class (but that of the end) that a word without a class raises the likelihood most in.
+    """The class (but that of the end and the last, the open one) that a word without a class
+    raises the likelihood most in.
 
     ``before`` and ``after`` count the word's neighbours by class; ``table`` are the bigrams of
     classes without the word, ``rows`` and ``columns`` its sums.
@@ -182,33 +188,58 @@ def best_class(
         - (_xlogx(columns + before.sum()) - _xlogx(columns))
         - (_xlogx(rows + after.sum()) - _xlogx(rows))
     )
-    return int(np.argmax(gain[1:])) + 1
+    return int(np.argmax(gain[1:-1])) + 1
+
+
+def likely_classes(before: np.ndarray, after: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """The class (but that of the end and the last, the open one) of each word that makes its
+    neighbours likeliest.
+
+    That is ``best_class`` to the first order: many words may move at once, and none gains by
+    having a class to itself, for all of them would go there.
+    """
+
+    def within(table: np.ndarray) -> np.ndarray:  # of the neighbour's class, by the word's class
+        share = (table.sum(axis=1, keepdims=True) + 1) / (table.sum() + len(table))
+        return np.log((table + len(table) * share) / (table.sum(axis=0) + len(table)))
+
+    gain = before @ within(table) + after @ within(table.T)
+    return np.argmax(gain[:, 1:-1], axis=1) + 1
+
+
+def likelihood(table: np.ndarray) -> float:
+    """The logarithm of the class bigrams' and the words' likelihood, but for a constant."""
+    sums = _xlogx(table.sum(axis=0)).sum() + _xlogx(table.sum(axis=1)).sum()
+    return float(_xlogx(table).sum() - sums)
 
 
 def exchange(bigrams: DataFrame, words: int, classes: int, rounds: int) -> np.ndarray:
-    """Classes of the numbers below ``words``; class 0 holds the end of a text alone."""
+    """Classes of the numbers below ``words``; class 0 holds the end of a text alone, and
+    ``classes`` is the open class, which all other numbers stay in."""
     spark = bigrams.sparkSession
     home = np.zeros(words, np.int64)
     home[1:] = 1 + np.arange(words - 1) % (classes - 1)
     for _ in range(rounds):
-        named = F.broadcast(  # ``words`` rows
-            spark.createDataFrame([(i, int(c)) for i, c in enumerate(home)], "w int, k int")
+        named = F.broadcast(  # ``words`` rows and the open class
+            spark.createDataFrame(
+                [(i, int(c)) for i, c in enumerate([*home, classes])], "w int, k int"
+            )
         )
 
         def sums(own: str, near: str) -> np.ndarray:
-            cells = bigrams.join(named, bigrams[near] == named["w"]).groupBy(
-                (F.col(own) * classes + F.col("k")).cast("long").alias("cell")
+            here = bigrams.where(F.col(own) < words)
+            cells = here.join(named, here[near] == named["w"]).groupBy(
+                (F.col(own).cast("long") * (classes + 1) + F.col("k")).alias("cell")
             ).agg(F.sum("n").alias("n"))
-            return _array(cells, words * classes).reshape(words, classes)
+            return _array(cells, words * (classes + 1)).reshape(words, classes + 1)
 
         before, after = sums("b", "a"), sums("a", "b")
-        table = np.zeros((classes, classes))
+        table = np.zeros((classes + 1, classes + 1))
         np.add.at(table, home, after)
+        np.add.at(table[classes], home, before[:, classes])
         moved = 0
         for w in range(1, words):
             l, r, k = before[w], after[w], home[w]
-            if not l.any() and not r.any():
-                continue
             table[:, k] = np.maximum(0, table[:, k] - l)
             table[k, :] = np.maximum(0, table[k, :] - r)
             to = best_class(l, r, table, table.sum(axis=1), table.sum(axis=0))
@@ -221,37 +252,41 @@ def exchange(bigrams: DataFrame, words: int, classes: int, rounds: int) -> np.nd
     return home
 
 
-def _one_exchange(
-    training: DataFrame, known: np.ndarray, low: int, high: int, table: np.ndarray
+def _exchange_all(
+    training: DataFrame, home: np.ndarray, table: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray]:
-    """The words from ``low`` to ``high`` that have a neighbour of known class, and the class
-    that each of them raises the likelihood most in."""
+    """The numbered words (the last number stands for others), and the likeliest class of each
+    while the others stay."""
+    head = len(home) - 1
     classes = len(table)
     width = 2 * classes
+    dense = min(head, EXCHANGED) * width  # cells of the words that are in most batches
 
-    def neighbours(batch):
-        now, before = _flat(batch)
-        a = (now >= low) & (now < high) & (known[before] >= 0)
-        b = (before >= low) & (before < high) & (known[now] >= 0)
-        cell, n = np.unique(
-            np.concatenate([
-                now[a].astype(np.int64) * width + known[before[a]],
-                before[b].astype(np.int64) * width + classes + known[now[b]],
-            ]),
-            return_counts=True,
-        )
-        return {"cell": cell, "n": n}
+    def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(dense, np.int64)
+        for batch in batches:
+            now, before = _flat(batch)
+            a, b = (now > END) & (now < head), (before > END) & (before < head)
+            cell = np.concatenate([
+                now[a].astype(np.int64) * width + home[before[a]],
+                before[b].astype(np.int64) * width + classes + home[now[b]],
+            ])
+            few = cell >= dense
+            total += np.bincount(cell[~few], minlength=dense)
+            at, n = np.unique(cell[few], return_counts=True)
+            yield pa.RecordBatch.from_pydict({"cell": at, "n": n})
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_pydict({"cell": at, "n": total[at]})
 
-    cells = map_batches(training.select("ids"), "cell long, n long", neighbours, rows=10_000)
+    cells = training.select("ids").mapInArrow(neighbours, "cell long, n long")
     cells = cells.groupBy("cell").agg(F.sum("n").alias("n"))
-    rows, columns = table.sum(axis=1), table.sum(axis=0)
 
     def choose(block: pd.DataFrame) -> pd.DataFrame:
         word, side = np.divmod(block["cell"].to_numpy(), width)
         words, at = np.unique(word, return_inverse=True)
         near = np.zeros((len(words), width))
         near[at, side] = block["n"]
-        best = [best_class(x[:classes], x[classes:], table, rows, columns) for x in near]
+        best = likely_classes(near[:, :classes], near[:, classes:], table)
         return pd.DataFrame({"w": words, "k": best})
 
     blocks = cells.groupBy(F.floor(F.col("cell") / (width * 1024)).alias("block"))
@@ -296,20 +331,30 @@ def fit(
         F.count(F.when(F.col("c") == 1, 1)), F.count(F.when(F.col("c") == 2, 1)),
     ).first()
     bigrams = stage(_bigrams(training, limit), "lm-bigrams")
-    home = np.full(head + 1, classes, np.int32)  # the open class is the last
+    home = np.full(head + 1, classes, np.int16)  # the open class is the last
     home[:limit] = exchange(bigrams, limit, classes, rounds)
-    if head > limit:
-        known = np.where(np.arange(head + 1) < limit, home, -1)
-
-        table = _class_table(training, np.where(known >= 0, known, classes), classes + 1)
-        numbers, found = _one_exchange(training, known, limit, head, table[:classes, :classes])
-        home[limit:head] = 1  # words that no clustered word is next to
-        home[numbers] = found
     table = _class_table(training, home, classes + 1)
-    share = (table.sum(axis=0) + 1) / (table.sum() + classes + 1)
-    step = np.log10((table + classes * share) / (table.sum(axis=1, keepdims=True) + classes))
+    for done in range(rounds if head > limit else 0):
+        numbers, found = _exchange_all(training, home, table)
+        after = home.copy()
+        after[numbers] = found
+        moved = int((after != home).sum())
+        if not moved:
+            break
+        table_after = _class_table(training, after, classes + 1)
+        gained = likelihood(table_after) - likelihood(table)
+        if done and gained <= 0:
+            break
+        home, table = after, table_after
+        if moved < head / 200 or done and gained < LEAST * table.sum():
+            break
     count = np.array([ends, *counts, 0], float)
     by_class = np.bincount(home[:-1], weights=count[:-1], minlength=classes + 1)
+    used = by_class > 0  # a class that all words left has no share
+    used[[0, classes]] = True
+    share = (table.sum(axis=0) + 1) * used / (table.sum() + used.sum())
+    step = (table + classes * share) / (table.sum(axis=1, keepdims=True) + classes)
+    step = np.log10(np.maximum(step, 1e-300))
     emission = np.zeros(head + 1)
     emission[1:head] = np.log10(count[1:head] / by_class[home[1:head]])
     tail = total - int(np.sum(counts))

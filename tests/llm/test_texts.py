@@ -275,3 +275,38 @@ def test_exchange_parts_two_languages(spark):
     by = {lang: {home[i + 1] for i, w in enumerate(words) if chr(w[0]) == lang} for lang in "ab"}
     assert len(by["a"]) == len(by["b"]) == 1 and by["a"] != by["b"]
     assert np.all(home[1:] > 0)
+
+
+def numbered_words(spark, rows):
+    source = odd.documents(spark, rows).select("doc_id", "text").withColumn("held_out", F.lit(False))
+    vocabulary = brown_lm.word_counts(source)
+    most = vocabulary.where("c > 1").orderBy(F.desc("c"), "word").collect()
+    words = [bytes(r.word) for r in most]
+    numbers = spark.sparkContext.broadcast(brown_lm._Numbers(words))
+    return brown_lm._numbered(source, numbers, "doc_id", "text"), vocabulary, words, [r.c for r in most]
+
+
+def test_exchange_counts_neighbours_that_are_not_clustered(spark):
+    rows = [(i, "a b x" if i % 2 else "a y x") for i in range(8)]
+    numbered, _, words, _ = numbered_words(spark, rows)
+    assert words == [b"a", b"x", b"b", b"y"]
+    got = {(r.a, r.b): r.n for r in brown_lm._bigrams(numbered, 3).collect()}
+    assert got == {(0, 1): 8, (1, 3): 8, (3, 2): 8, (2, 0): 8}
+
+
+def test_words_next_to_no_clustered_one_have_classes_by_their_neighbours(spark):
+    """Rare words that are never next to a frequent one do not share a class with any."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(300):
+        lang = "ab"[i % 2]
+        rare = [f"{lang}rare{k}" for k in range(40)]
+        often = [f"{lang}{k}" for k in range(14)]
+        edges = [f"{lang}edge{rng.randrange(20)}" for _ in range(4)]
+        near = [w for pair in zip(edges, rng.choices(rare, k=3)) for w in pair]
+        rows.append((i, " ".join([*rng.choices(often, k=14), *near, edges[3]])))
+    numbered, vocabulary, words, counts = numbered_words(spark, rows)
+    m = brown_lm.fit(numbered, vocabulary, counts, len(rows), exchanged=29, classes=8)
+    rare = {m.home[i + 1] for i, w in enumerate(words) if b"rare" in w}
+    often = {m.home[i + 1] for i in range(28)}
+    assert not rare & often
