@@ -9,6 +9,7 @@ the blocks of the containers on the host's winning path, or, where it has none,
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html import unescape
 
@@ -45,13 +46,60 @@ NOT_ARTICLE = re.compile(
 #: Elements nested deeper count as part of the one at this depth.
 DEEPEST = 256
 
-# No part scans on over a "<" without a bound, so unclosed tags cost linear time.
-_TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^<>]*+>.*?(?:</\1\s*>|\Z)"
-    r"""|<(/?)([a-zA-Z][^\s<>/]*+)((?:[^<>"']++|"[^"]{0,2000}+"|'[^']{0,2000}+'){0,99}+)>"""
-    r"|</?[a-zA-Z][^<>]*+>|<[!?/][^<>]*+>",
-    re.S | re.I,
+_START = re.compile(
+    r"<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s<>/]*+)|<[!?/][^<>]*+>", re.S
 )
+_IN_TAG = re.compile(r"""(?:[^<>=]++|=(?!\s*["']))*+""")
+_QUOTE = re.compile(r"""=\s*(["'])""")
+_TO_TAG_END = re.compile(r"[^<>]*+>")
+_RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in RAW.split("|")}
+#: Raw elements that a start tag closes if it ends in a slash.
+SELF_CLOSED = frozenset("svg math object canvas".split())
+
+
+def _tag_end(html: str, at: int, failed: set[int]) -> int:
+    """Where the tag that goes on at ``at`` has its ">", outside of quoted values, or -1 if a "<"
+    or the page's end comes first. A quote that never closes is a character like others.
+
+    ``failed`` keeps the places from which no end was found, so that a page costs linear time.
+    """
+    seen = []
+    while at not in failed:
+        seen.append(at)
+        at = _IN_TAG.match(html, at).end()
+        if html[at : at + 1] == ">":
+            return at
+        quote = _QUOTE.match(html, at)
+        if quote is None:
+            break
+        at = html.find(quote[1], quote.end()) + 1 or quote.end()
+    failed.update(seen)
+    return -1
+
+
+def _tokens(html: str) -> Iterator[tuple[int, int, str, str, str]]:
+    """Start and end of what is no text; of tags also "/" if they end, the name, attributes."""
+    at, failed = 0, set()
+    while (start := _START.search(html, at)) is not None:
+        at, tag = start.end(), (start["tag"] or "").lower()
+        if not tag:
+            yield start.start(), at, "", "", ""
+            continue
+        close = _tag_end(html, at, failed)
+        if close < 0:
+            plain = _TO_TAG_END.match(html, at)
+            if plain is None:
+                continue
+            close = plain.end() - 1
+        attributes, at = html[start.end() : close], close + 1
+        if tag in _RAW_END and not start["end"]:
+            if not (tag in SELF_CLOSED and attributes.endswith("/")):
+                end = _RAW_END[tag].search(html, at)
+                at = end.end() if end else len(html)
+            tag = ""
+        yield start.start(), at, start["end"], tag, attributes
+
+
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _DIGITS = re.compile(r"\d+")
 
@@ -154,16 +202,15 @@ def read_page(html: str) -> Page:
 
     open_node("", "")
     at = 0
-    for token in _TOKEN.finditer(html):
-        text = html[at : token.start()]
-        at = token.end()
+    for start, end, closing, tag, attributes in _tokens(html):
+        text = html[at:start]
+        at = end
         if text:
             words.append(text)
             linked += len(text) if links else 0
-        tag = (token[3] or "").lower()
         if not tag:
             continue
-        if token[2]:
+        if closing:
             if tag == "a":
                 links = max(0, links - 1)
             elif tag in BLOCKS or tag in SKIPPED:
@@ -192,7 +239,7 @@ def read_page(html: str) -> Page:
             if here.depth >= DEEPEST:
                 deeper += 1
             else:
-                open_node(tag, token[4])
+                open_node(tag, attributes)
     words.append(html[at:])
     end_block()
     return page

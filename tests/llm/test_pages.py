@@ -24,6 +24,26 @@ def test_article_text(html):
     assert html_text.read_page(html).text(None) == CASES[html]
 
 
+def test_tags_have_no_longest_value_nor_most_attributes():
+    long, many = "x" * 2500, " ".join(f'a{i}="{i}"' for i in range(150))
+    markup = "<p>no</p>" * 300
+    for tag in (f'<div class="ad" data-x="{long}">', f"<div {many} class='ad'>",
+                f'<div data-props="{markup}" class="ad">'):
+        page = f"<article><p>{ARTICLE}</p>{tag}<p>Buy {ARTICLE}</p></div><p>{ARTICLE}</p></article>"
+        assert html_text.read_page(page).text(None) == f"{ARTICLE}\n\n{ARTICLE}"
+
+
+def test_self_closed_drawings_are_empty():
+    page = f'<p>{ARTICLE}</p><svg viewBox="0 0 > 1"/><p>{ARTICLE}</p><svg><text>no</text></svg>'
+    assert html_text.read_page(page).text(None) == f"{ARTICLE}\n\n{ARTICLE}"
+
+
+def test_quoted_values_that_end_no_tag_cost_linear_time():
+    for part in ("<a b=\"<a b='", "<a b='\"' c=\"'\"", "<a b=\"<a c='x' \"", "<p =' "):
+        html_text.read_page(part * 30_000).text(None)
+    html_text.read_page("<a b='<a " + "c=\"<a d='\" e='<a" * 30_000).text(None)
+
+
 def test_unclosed_tags_cost_linear_time():
     for part in ("<div>", "<p ", '<a b="', "<script ", "<!-- ", "<", "<p class='x"):
         html_text.read_page(part * 30_000).text(None)
