@@ -8,6 +8,7 @@ the blocks of the containers on the host's winning path, or, where it has none,
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -21,12 +22,13 @@ from recurra.session import stage
 # Kinds of HTML elements, and words that name what is not the article.
 RAW = "script|style|noscript|template|textarea|title|iframe|svg|math|object|canvas|xmp"
 SKIPPED = frozenset(
-    "head nav header footer aside form button select menu dialog audio video figure map".split()
+    "head nav header footer aside button select menu dialog audio video figure map".split()
 )
 BLOCKS = frozenset(
     "html body main article section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody "
     "tfoot tr td th caption pre blockquote address hr details summary center fieldset".split()
 )
+CONTAINERS = BLOCKS | SKIPPED | {"form"}
 LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd tr td th caption pre summary".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose end tag may be left out, and what closes them when it starts.
@@ -35,14 +37,17 @@ CLOSED_BY = {
     "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"},
 }
 NOT_ARTICLE = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|adv|advert|advertisement|advertising|sponsor|sponsored|promo|banner|"
+    r"(?:^|\s)(?:ad|ads|adv|advert|advertisement|advertising|sponsor|sponsored|promo|banner|"
     r"sidebar|side-bar|menu|nav|navbar|navigation|breadcrumb|breadcrumbs|header|masthead|footer|"
     r"foot|comment|comments|disqus|replies|cookie|cookies|consent|notice|gdpr|popup|modal|"
     r"newsletter|subscribe|signup|social|share|sharing|related|recommended|widget|toolbar|"
-    r"pagination|pager|login|search|copyright|legal|disclaimer|hidden|skip)(?:$|[\s_-])",
+    r"pagination|pager|login|search|copyright|legal|disclaimer|hidden|skip)(?:$|\s)",
     re.I,
 )
 
+#: A form, or what ``NOT_ARTICLE`` names, with at least this part of its page's running text stays.
+MOST = 0.75
+
 #: Elements nested deeper count as part of the one at this depth.
 DEEPEST = 256
 
@@ -112,6 +117,8 @@ class Node:
     skipped: bool
     number: int
     depth: int
+    doubtful: bool = False
+    running: float = 0.0
     score: float = 0.0
     article: Node | None = None
 
@@ -151,8 +158,13 @@ class Page:
 
 
 def read_page(html: str) -> Page:
-    """The blocks outside of skipped elements, with the containers that hold them, scored."""
+    """The blocks outside of skipped elements, with the containers that hold them, scored.
+
+    What its names or a form make doubtful is skipped too, unless most of the running text that
+    is not skipped for certain lies in it, and no text of an article or main element beside it.
+    """
     page = Page()
+    found: list[tuple[str, Node, float]] = []
     here: Node | None = None
     words: list[str] = []
     linked = links = deeper = 0
@@ -162,15 +174,9 @@ def read_page(html: str) -> Page:
         text = " ".join(unescape("".join(words)).split())
         words.clear()
         if text and here is not None and not here.skipped:
-            container = here
-            while container.tag in LEAVES and container.parent is not None:
-                container = container.parent
-            page.blocks.append((text, here))
-            # Running text counts, most for the container next to it; links count against it.
-            weight, gain = 1.0, max(0, len(text) - 2 * linked) * min(1.0, len(text) / 80)
-            while container is not None and weight > 0.1:
-                container.score += weight * gain
-                container, weight = container.parent, weight / 2
+            # Running text counts; links count against it.
+            gain = max(0, len(text) - 2 * linked) * min(1.0, len(text) / 80)
+            found.append((text, here, gain))
         linked = 0
 
     def open_node(tag: str, attributes: str) -> None:
@@ -183,13 +189,17 @@ def read_page(html: str) -> Page:
             (here is not None and here.skipped) or tag in SKIPPED or "hidden" in named
             or named.get("aria-hidden") == "true"
             or "display:none" in named.get("style", "").replace(" ", "").lower()
-            or tag not in ("html", "body", "main", "article")
+        )
+        doubtful = tag == "form" or (
+            tag not in ("html", "body", "main", "article")
             and NOT_ARTICLE.search(names) is not None
         )
         classes = sorted(set(_DIGITS.sub("#", named.get("class", "")).split()))
         step = ".".join([tag, *classes])
         path = f"{here.path}/{step}" if here is not None else step
-        node = Node(tag, path, here, skipped, len(page.nodes), here.depth + 1 if here else 0)
+        node = Node(
+            tag, path, here, skipped, len(page.nodes), here.depth + 1 if here else 0, doubtful
+        )
         above = here.article if here is not None else None
         node.article = above or (node if tag in ("article", "main") else None)
         if tag == "article" and above is not None and above.tag == "main":
@@ -213,7 +223,7 @@ def read_page(html: str) -> Page:
         if closing:
             if tag == "a":
                 links = max(0, links - 1)
-            elif tag in BLOCKS or tag in SKIPPED:
+            elif tag in CONTAINERS:
                 end_block()
                 if deeper:
                     deeper -= 1
@@ -229,7 +239,7 @@ def read_page(html: str) -> Page:
                 end_block()
         elif tag == "a":
             links += 1
-        elif (tag in BLOCKS or tag in SKIPPED) and tag not in VOID:
+        elif tag in CONTAINERS and tag not in VOID:
             end_block()
             while here.parent is not None and (
                 here.tag == "p" or here.tag in CLOSED_BY and tag in CLOSED_BY[here.tag]
@@ -242,9 +252,45 @@ def read_page(html: str) -> Page:
                 open_node(tag, attributes)
     words.append(html[at:])
     end_block()
+    _settle(page, found)
     return page
 
 
+def _settle(page: Page, found: list[tuple[str, Node, float]]) -> None:
+    """Keep or skip the doubtful containers, and score the others by the blocks that are left."""
+    least = MOST * sum(gain for _, _, gain in found)
+    for _, node, gain in found:
+        at: Node | None = node
+        inside = False
+        while at is not None:
+            if at.doubtful:
+                at.running += gain
+                inside = True
+            at = at.parent
+        if node.article is not None and not inside:
+            least = math.inf
+
+    def dropped(node: Node | None) -> bool:
+        while node is not None:
+            if node.doubtful and (node.running < least or node.running <= 0):
+                return True
+            node = node.parent
+        return False
+
+    for text, node, gain in found:
+        if dropped(node):
+            continue
+        page.blocks.append((text, node))
+        container, weight = node, 1.0
+        while container.tag in LEAVES and container.parent is not None:
+            container = container.parent
+        # Most for the container next to the text.
+        while container is not None and weight > 0.1:
+            container.score += weight * gain
+            container, weight = container.parent, weight / 2
+    page.nodes = [n for n in page.nodes if not dropped(n)]
+
+
 def host_of(url: str) -> Column:
     """The host of a URL column in lower case; empty where there is none."""
     return F.lower(F.coalesce(F.try_parse_url(F.col(url), F.lit("HOST")), F.lit("")))

@@ -33,6 +33,28 @@ def test_tags_have_no_longest_value_nor_most_attributes():
         assert html_text.read_page(page).text(None) == f"{ARTICLE}\n\n{ARTICLE}"
 
 
+@pytest.mark.parametrize("wrapper", [
+    'div class="content with-sidebar"', 'div class="site has-menu"', 'div class="page no-sidebar"',
+    'div class="layout header-fixed"', "form", 'div id="login"', 'section class="widget"',
+])
+def test_wrappers_of_the_whole_page_are_read(wrapper):
+    page = (
+        f"<body><nav>Menu</nav><{wrapper}><div class=ad><p>Buy this now.</p></div><div class=post>"
+        f"<p>{ARTICLE}</p><p>{ARTICLE}</p></div><form><p>Your name</p></form></{wrapper.split()[0]}>"
+    )
+    assert html_text.read_page(page).text(None) == f"{ARTICLE}\n\n{ARTICLE}"
+
+
+def test_forms_and_named_parts_beside_the_article_are_skipped():
+    page = (
+        f"<body><div class=post><p>{ARTICLE}</p><div class='box promo'><p>{ARTICLE} Buy.</p></div>"
+        f"<form><p>{ARTICLE} Send.</p></form><p>{ARTICLE}</p></div>"
+    )
+    assert html_text.read_page(page).text(None) == f"{ARTICLE}\n\n{ARTICLE}"
+    page = f"<body><div class=ad>{ARTICLE}</div><article><h1>Short.</h1><p>Short.</article>"
+    assert html_text.read_page(page).text(None) == "Short.\n\nShort."
+
+
 def test_self_closed_drawings_are_empty():
     page = f'<p>{ARTICLE}</p><svg viewBox="0 0 > 1"/><p>{ARTICLE}</p><svg><text>no</text></svg>'
     assert html_text.read_page(page).text(None) == f"{ARTICLE}\n\n{ARTICLE}"
