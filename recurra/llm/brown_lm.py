@@ -36,6 +36,7 @@ from recurra.session import stage
 #: Words that tasks hold in a dictionary, and for so many words the clustered ones and classes.
 HEAD, EXCHANGED, CLASSES = 200_000, 4096, 64
 ROUNDS, LEAST = 6, 0.01
+BLOCK = 64  # words whose neighbours are summed and exchanged in one group
 END = 0  # the number of the end of a text, and its class
 
 
@@ -252,6 +253,11 @@ def exchange(bigrams: DataFrame, words: int, classes: int, rounds: int) -> np.nd
     return home
 
 
+def _short(n: np.ndarray) -> np.ndarray:
+    """Counts in the fewest bytes that hold each."""
+    return n.astype(np.min_scalar_type(int(n.max())))
+
+
 def _exchange_all(
     training: DataFrame, home: np.ndarray, table: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -262,6 +268,20 @@ def _exchange_all(
     width = 2 * classes
     dense = min(head, EXCHANGED) * width  # cells of the words that are in most batches
 
+    size = BLOCK * width
+    place = np.min_scalar_type(size)
+
+    def packed(cell: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        """A row for each block: its cells and counts as bytes, a small part of a row per cell."""
+        block, cell = cell // size, (cell % size).astype(place)
+        at = [*np.flatnonzero(np.diff(block, prepend=-1)), len(block)]
+        parts = [(cell[i:j].tobytes(), _short(n[i:j]).tobytes()) for i, j in zip(at, at[1:])]
+        return pa.RecordBatch.from_pydict({
+            "block": block[at[:-1]].astype(np.int64),
+            "cells": pa.array([x for x, _ in parts], pa.binary()),
+            "n": pa.array([x for _, x in parts], pa.binary()),
+        })
+
     def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(dense, np.int64)
         for batch in batches:
@@ -273,23 +293,23 @@ def _exchange_all(
             ])
             few = cell >= dense
             total += np.bincount(cell[~few], minlength=dense)
-            at, n = np.unique(cell[few], return_counts=True)
-            yield pa.RecordBatch.from_pydict({"cell": at, "n": n})
+            yield packed(*np.unique(cell[few], return_counts=True))
         at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_pydict({"cell": at, "n": total[at]})
-
-    cells = training.select("ids").mapInArrow(neighbours, "cell long, n long")
-    cells = cells.groupBy("cell").agg(F.sum("n").alias("n"))
+        yield packed(at, total[at])
 
     def choose(block: pd.DataFrame) -> pd.DataFrame:
-        word, side = np.divmod(block["cell"].to_numpy(), width)
-        words, at = np.unique(word, return_inverse=True)
-        near = np.zeros((len(words), width))
-        near[at, side] = block["n"]
-        best = likely_classes(near[:, :classes], near[:, classes:], table)
-        return pd.DataFrame({"w": words, "k": best})
-
-    blocks = cells.groupBy(F.floor(F.col("cell") / (width * 1024)).alias("block"))
+        near = np.zeros(size)
+        for cells, n in zip(block["cells"], block["n"]):
+            cells = np.frombuffer(cells, place)
+            near[cells] += np.frombuffer(n, f"u{len(n) // len(cells)}")
+        near = near.reshape(BLOCK, width)
+        words = np.flatnonzero(near.any(axis=1))
+        best = likely_classes(near[words, :classes], near[words, classes:], table)
+        return pd.DataFrame({"w": words + block["block"].iloc[0] * BLOCK, "k": best})
+
+    blocks = training.select("ids").mapInArrow(
+        neighbours, "block long, cells binary, n binary"
+    ).groupBy("block")
     found = blocks.applyInPandas(choose, "w long, k int").toArrow()
     return found["w"].to_numpy(), found["k"].to_numpy()
 

@@ -310,3 +310,21 @@ def test_words_next_to_no_clustered_one_have_classes_by_their_neighbours(spark):
     rare = {m.home[i + 1] for i, w in enumerate(words) if b"rare" in w}
     often = {m.home[i + 1] for i in range(28)}
     assert not rare & often
+
+
+def test_exchange_of_all_words_counts_all_neighbours(spark):
+    rng = random.Random(5)
+    rows = [(i, " ".join(f"w{int(rng.expovariate(0.02))}" for _ in range(40))) for i in range(300)]
+    numbered, _, words, _ = numbered_words(spark, rows)
+    head = len(words) + 1
+    home = np.array([0, *(rng.randrange(1, 6) for _ in words), 6], np.int16)
+    near, table = np.zeros((2, head + 1, 7)), np.zeros((7, 7))
+    for r in numbered.select("ids").collect():
+        for a, b in zip([0, *r.ids], r.ids):
+            near[0, b, home[a]] += 1
+            near[1, a, home[b]] += 1
+            table[home[a], home[b]] += 1
+    assert (brown_lm._class_table(numbered, home, 7) == table).all()
+    got = dict(zip(*brown_lm._exchange_all(numbered, home, table)))
+    wanted = brown_lm.likely_classes(near[0, 1:head], near[1, 1:head], table)
+    assert [got[w] for w in range(1, head)] == list(wanted)
