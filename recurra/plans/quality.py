@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from recurra.operators.hotkeys import HotKeys
 from recurra.operators.ordered import Later, ordered
+from recurra.schemas import STAR
 
 
 def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -105,12 +107,36 @@ def falling_revenue(snapshot: DataFrame) -> DataFrame:
     )
 
 
-def run_checks(star: dict[str, DataFrame]) -> DataFrame:
-    """All checks on a built star: one row per check with its number of violations."""
+def outside_ranges(events: DataFrame, months: DataFrame) -> DataFrame:
+    """Events before ``low``, from ``high`` on, or without a time; ``months`` is the row of both."""
+    time = F.col("event_timestamp")
+    inside = (time >= F.col("low")) & (time < F.col("high"))
+    return events.crossJoin(F.broadcast(months)).where(~F.coalesce(inside, F.lit(False))).select(
+        "event_sk", "event_timestamp"
+    )
+
+
+def run_checks(star: dict[str, DataFrame], months: tuple[date, date] | None = None) -> DataFrame:
+    """All checks on a built star: one row per check with its number of violations.
+
+    ``months`` are the first day of the declared ranges and that after the last; by default the
+    calendar's.
+    """
     users, plans = star["dim_users"], star["dim_subscription_plan"]
     dates, events = star["dim_date"], star["fact_subscription_events"]
     snapshot = star["fact_monthly_financial_snapshot"]
+    if months is None:
+        ranges = dates.agg(
+            F.min("calendar_date").alias("low"), F.date_add(F.max("calendar_date"), 1).alias("high")
+        )
+    else:
+        low, high = months
+        ranges = dates.sparkSession.range(1).select(F.lit(low).alias("low"), F.lit(high).alias("high"))
     checks = {
+        "declared columns present": reduce(DataFrame.unionByName, [
+            declared_nulls(star[name], schema) for name, schema in STAR.items()
+        ]),
+        "events within the ranges": outside_ranges(events, ranges),
         "date_sk unique": duplicate_keys(dates, ["date_sk"]),
         "plan_sk unique": duplicate_keys(plans, ["plan_sk"]),
         "user_sk unique": duplicate_keys(users, ["user_sk"]),

@@ -1,7 +1,7 @@
 """Building, writing and reading the star; SQL over it; all checks on it."""
 
 from collections import Counter
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -35,6 +35,19 @@ def test_all_checks_pass_on_the_built_star(star):
     assert failed == []
 
 
+def test_checks_find_nulls_and_events_outside_the_ranges(star):
+    def failed(changed, months=None):
+        found = quality.run_checks({**star, **changed}, months).where("violations > 0").collect()
+        return {r["check_name"]: r["violations"] for r in found}
+
+    lost = star["dim_users"].withColumn("email", F.when(F.col("user_sk") > 3, F.col("email")))
+    assert failed({"dim_users": lost}) == {"declared columns present": 1}
+    late = star[EVENTS].where("event_timestamp >= DATE '1998-01-01'").count()
+    assert late and failed({}, (date(1900, 1, 1), date(1998, 1, 1))) == {
+        "events within the ranges": late
+    }
+
+
 def test_declared_columns_hold_no_nulls(star):
     for name, schema in STAR.items():
         assert quality.declared_nulls(star[name], schema).count() == 0
