@@ -7,11 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recurra.llm import ann, brown_lm, byte_bpe, decontaminate, html_text, neardup, packing, personal_data, quality, token_counts
+from recurra.llm import (
+    alignment, ann, brown_lm, byte_bpe, conversations, decontaminate, exact_dedup, html_text,
+    neardup, packing, personal_data, quality, token_counts,
+)
 from recurra.llm.common import read
 
 PIECES = "piece_bpe_32k.model"
 RANKS = "byte_bpe_multi_50k.tiktoken"
+BYTES = "byte_bpe_50k.json"
 
 
 def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,11 +69,31 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.withColumnRenamed("keys", "doc_ids")
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.link_statistics(
+        read(spark, sf_dir, "documents"), public_tokenizers.path(BYTES),
+        public_tokenizers.path(PIECES),
+    )
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_summaries(
+        conversations.damage(read(spark, sf_dir, "conversations"))
+    )
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_groups(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op1_html_text, op2_token_counts, op3_nearest, op4_decontamination, op5_byte_bpe, op6_quality, op7_near_duplicates, op8_brown_lm,
-            op9_personal_data, op10_packing)
+        for f in (
+            op1_html_text, op2_token_counts, op3_nearest, op4_decontamination, op5_byte_bpe,
+            op6_quality, op7_near_duplicates, op8_brown_lm, op9_personal_data, op10_packing,
+            op11_alignment, op12_conversation_repair, op13_exact_dedup,
+        )
     }
 
 
@@ -151,8 +175,18 @@ SELECT doc_id, class_id, count(*) OVER (PARTITION BY class_id) AS n_class FROM l
 """
 
 
+EXACT_DEDUP_SQL = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id IS NOT DISTINCT FROM max(doc_id) OVER same AS kept,
+       sha256(coalesce(text, '')) AS text_sha256
+FROM documents
+WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op13_exact_dedup": EXACT_DEDUP_SQL,
         "op4_decontamination": DECONTAMINATION_SQL,
         "op7_near_duplicates": NEAR_DUPLICATES_SQL,
     }
