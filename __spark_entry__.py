@@ -4,27 +4,33 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 import oracle_queries
+from recurra.functions.calendar import index_of
 from recurra.functions.pricing import monthly_mrr, price_invoice, tier_of
 from recurra.operators.asof import resolve_plan_sk, resolve_versions
 from recurra.operators.ordered import RunningSum, ordered
+from recurra.operators.overlap import resolve_first
 from recurra.plans import kpis, quality, rollups, views
 from recurra.plans.dimensions import (
     date_dimension, merge_users, plan_dimension, users_dimension,
 )
 from recurra.plans.facts import (
-    events_fact, monthly_snapshot, monthly_states, resolved_events, with_mrr_deltas,
+    end_of_month, events_fact, monthly_snapshot, monthly_states, number_events, resolved_events,
+    with_mrr_deltas,
 )
+from recurra.plans.stored import StoredSnapshot, StoredUsers, append_once
 from recurra.schemas import RAW_EVENT
 from recurra.session import shared_dir
 from recurra.sources.billing import BillingInputs, activity_events, customers, table
+from recurra.sources.parts import DEFAULT, RangeTable, month_ranges
 from recurra.sources.warehouse import (
-    EVENTS, PARTITIONED_BY, insert_absent, next_number, read_table, register, rewrite_table,
-    row_counts, slice_name, write_table,
+    EVENTS, PARTITIONED_BY, insert_absent, next_number, read_table, register, register_between,
+    rewrite_table, row_counts, slice_name, write_table,
 )
 
 SLICES = date(1996, 1, 1), date(2000, 1, 1)
@@ -200,6 +206,25 @@ def scd2_merge_stored(spark, sf_dir):
     return read_table(spark, root, "dim_users")
 
 
+@_query
+def scd2_merge_log(spark, sf_dir):
+    """What became of each change of the merge."""
+    return _merge(spark, sf_dir).log
+
+
+@_query
+def scd2_merge_buckets(spark, sf_dir):
+    """A dimension stored in buckets, into which the states of the last two days are merged."""
+    inputs = BillingInputs(spark, sf_dir, amounts=False)
+    states, ts, hot = inputs.user_states, F.col("effective_ts"), inputs.hot_users
+    stored = StoredUsers(spark, f"{shared_dir(spark)}/recurra-buckets-{uuid.uuid4().hex}")
+    last = table(spark, sf_dir, "orders").agg(F.max("o_orderdate")).first()[0] or datetime(1970, 1, 2)
+    cut = F.lit(last - timedelta(days=1)).cast("timestamp_ntz")
+    stored.create(users_dimension(states.where(ts < cut), hot))
+    stored.merge(states.where(ts >= cut), hot)
+    return stored.read()
+
+
 # --- facts --------------------------------------------------------------------------------
 
 
@@ -260,6 +285,18 @@ def asof_fallback(spark, sf_dir):
     ).select("event_id", "user_sk")
 
 
+@_query
+def asof_overlapping(spark, sf_dir):
+    """The first of the overlapping order terms that each event falls into."""
+    inputs = BillingInputs(spark, sf_dir, amounts=False)
+    events = inputs.events.select(
+        "user_id", "event_id", (F.col("event_timestamp") + F.expr("interval 9 days")).alias("at")
+    )
+    return resolve_first(
+        events, _terms(spark, sf_dir), "at", ["user_sk", "end_date"], hot=inputs.hot_users
+    ).select("event_id", "user_sk", "end_date")
+
+
 @_query
 def events_fact_(spark, sf_dir):
     inputs = BillingInputs(spark, sf_dir)
@@ -283,6 +320,76 @@ def events_append(spark, sf_dir):
     return read_table(spark, root, EVENTS).drop(*PARTITIONED_BY)
 
 
+@_query
+def events_append_twice(spark, sf_dir):
+    """The event fact in two batches, the second given twice: also under another name."""
+    inputs = BillingInputs(spark, sf_dir)
+    users, plans = users_dimension(inputs.user_states, inputs.hot_users), plan_dimension(spark)
+    root = f"{shared_dir(spark)}/recurra-batches-{uuid.uuid4().hex}"
+    early = F.col("event_timestamp") < F.lit("1998-01-01").cast("timestamp_ntz")
+
+    def make(raw, stored=None):
+        first = 1 if stored is None else next_number(stored, "event_sk")
+        return events_fact(raw, users, plans, inputs.hot_users, first)
+
+    write_table(make(inputs.events.where(early)), root, EVENTS)
+    late = inputs.events.where(~early)
+    for batch in ("1998", "1998", "1998 again"):
+        append_once(spark, late, root, EVENTS, ["event_id"], "event_timestamp", batch, make)
+    return read_table(spark, root, EVENTS).drop(*PARTITIONED_BY)
+
+
+@_query
+def ranges_declared(spark, sf_dir):
+    """Events stored by the declared months of 1996 and 1997, those of 1998 declared afterwards."""
+    events = BillingInputs(spark, sf_dir).events
+    path = f"{shared_dir(spark)}/recurra-ranges-{uuid.uuid4().hex}"
+    stored = RangeTable(spark, path, RAW_EVENT, "event_timestamp", ["event_id"])
+    stored.declare(*month_ranges(datetime(1996, 1, 1), 24))
+    stored.append(events)
+    stored.declare(*month_ranges(datetime(1998, 1, 1), 12))
+    slices = [
+        stored.parts.read([r.name]).select(F.lit(r.name).alias("slice"), "net_amount_usd")
+        for r in stored.parts.ranges()
+    ] + [stored.parts.read([DEFAULT]).select(F.lit(DEFAULT).alias("slice"), "net_amount_usd")]
+    return reduce(DataFrame.unionByName, slices).groupBy("slice").agg(
+        F.count(F.lit(1)).alias("events"), F.sum("net_amount_usd").alias("revenue")
+    )
+
+
+@_query
+def events_between(spark, sf_dir):
+    """Plain SQL over a time range of the stored events that neither begins nor ends a month."""
+    _, _, events = _keyed(spark, sf_dir)
+    root = f"{shared_dir(spark)}/recurra-between-{uuid.uuid4().hex}"
+    write_table(number_events(events), root, EVENTS)
+    register({EVENTS: read_table(spark, root, EVENTS)})
+    register_between(spark, "subscription_events_between", EVENTS)
+    return spark.sql(
+        """SELECT event_type, count(*) AS events, sum(net_amount_usd) AS revenue,
+                  min(event_timestamp) AS first_event, max(event_timestamp) AS last_event
+           FROM subscription_events_between(
+               TIMESTAMP_NTZ'1996-12-31 12:00:00', TIMESTAMP_NTZ'1998-03-01 00:00:00')
+           GROUP BY event_type"""
+    )
+
+
+@_query
+def snapshot_extend(spark, sf_dir):
+    """The snapshot in three extensions, each of the events since the one before."""
+    inputs, users, events = _keyed(spark, sf_dir)
+    stored = StoredSnapshot(spark, f"{shared_dir(spark)}/recurra-snapshot-{uuid.uuid4().hex}")
+    low, high = _years(spark, sf_dir)
+    first, last = index_of(low, 1), index_of(high, 12)
+    since = None
+    for until in (first + (last - first) // 2, last - 5, last):
+        ends = F.col("event_timestamp") <= end_of_month(until)
+        batch = events.where(ends if since is None else ends & ~since)
+        stored.extend(batch, users, until, first, inputs.hot_users)
+        since = ends
+    return stored.read()
+
+
 @_query
 def monthly_snapshot_(spark, sf_dir):
     inputs, users, events = _keyed(spark, sf_dir)

@@ -397,37 +397,43 @@ def _trailing(name: str) -> str:
     return f"(SELECT * FROM {name} ORDER BY month_id DESC LIMIT 12)"
 
 
-_MERGE_CUT, _MERGE_FROM = "1999-01-01", "1998-07-01"
-
-_versions("old_users", "states", f"ts < TIMESTAMP '{_MERGE_CUT}'")
-
-_cte("batch", ("states", "old_users"), f"""
-  SELECT s.*, o.start_date AS opened, o.tier AS o_tier, o.status AS o_status
-  FROM states s LEFT JOIN old_users o ON o.user_id = s.user_id AND o.is_current
-  WHERE s.ts >= TIMESTAMP '{_MERGE_FROM}'""")
-
-_cte("applied", ("batch",), """
+def _merge(suffix: str, cut: str, since: str) -> None:
+    """Users before ``cut`` and a batch from ``since`` on, applied one after another."""
+    users, batch, applied = (f"{n}{suffix}" for n in ("old_users", "batch", "applied"))
+    _versions(users, "states", f"ts < {cut}")
+    _cte(batch, ("states", users), f"""
+  SELECT s.*, o.start_date AS opened, o.user_sk AS o_sk, o.tier AS o_tier, o.status AS o_status
+  FROM states s LEFT JOIN {users} o ON o.user_id = s.user_id AND o.is_current
+  WHERE s.ts >= {since}""")
+    _cte(applied, (batch,), f"""
   SELECT * FROM (
     SELECT *, coalesce(lag(tier || '/' || status) OVER (
                          PARTITION BY user_id ORDER BY ts, seq),
                        o_tier || '/' || o_status) AS before
-    FROM batch WHERE opened IS NULL OR ts >= opened)
+    FROM {batch} WHERE opened IS NULL OR ts >= opened)
   WHERE before IS DISTINCT FROM tier || '/' || status""")
-
-_cte("merged", ("applied", "old_users"), """
+    _cte(f"numbered{suffix}", (applied, users), f"""
+  SELECT *, coalesce((SELECT max(user_sk) FROM {users}), 0)
+              + row_number() OVER (ORDER BY user_id, ts, end_date IS NULL, end_date, seq)
+              AS user_sk
+  FROM (SELECT *, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, seq) AS end_date
+        FROM {applied})""")
+    _cte(f"merged{suffix}", (f"numbered{suffix}", applied, users), f"""
   SELECT user_sk, user_id, email, country, channel, currency, tier, status, start_date,
-         CASE WHEN is_current THEN (SELECT min(a.ts) FROM applied a WHERE a.user_id = o.user_id)
+         CASE WHEN is_current THEN (SELECT min(a.ts) FROM {applied} a WHERE a.user_id = o.user_id)
               ELSE end_date END AS end_date,
-         is_current AND NOT EXISTS (SELECT 1 FROM applied a WHERE a.user_id = o.user_id)
+         is_current AND NOT EXISTS (SELECT 1 FROM {applied} a WHERE a.user_id = o.user_id)
            AS is_current
-  FROM old_users o
+  FROM {users} o
   UNION ALL
-  SELECT (SELECT max(user_sk) FROM old_users)
-           + row_number() OVER (ORDER BY user_id, ts, end_date IS NULL, end_date, seq),
-         user_id, email, country, channel, currency, tier, status, ts, end_date,
+  SELECT user_sk, user_id, email, country, channel, currency, tier, status, ts, end_date,
          end_date IS NULL
-  FROM (SELECT *, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, seq) AS end_date
-        FROM applied)""")
+  FROM numbered{suffix}""")
+
+
+_merge("", "TIMESTAMP '1999-01-01'", "TIMESTAMP '1998-07-01'")
+_LAST_DAYS = "(SELECT max(o_orderdate)::TIMESTAMP - INTERVAL 1 DAY FROM orders)"
+_merge("_last_days", _LAST_DAYS, _LAST_DAYS)
 
 _SNAP_COLUMNS = f"""row_number() OVER (ORDER BY month_sk, user_id) AS snapshot_sk,
   month_sk AS snapshot_month_sk, {_day('snapshot_date')} AS snapshot_date, user_sk, user_id,
@@ -495,6 +501,19 @@ QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
     "users_scd2": (("users",), f"SELECT {_USER_COLUMNS} FROM users"),
     "scd2_merge": (("merged",), f"SELECT {_USER_COLUMNS} FROM merged"),
     "scd2_merge_stored": (("merged",), f"SELECT {_USER_COLUMNS} FROM merged"),
+    "scd2_merge_buckets": (("merged_last_days",), f"SELECT {_USER_COLUMNS} FROM merged_last_days"),
+    "scd2_merge_log": (("batch", "numbered"), f"""
+      SELECT user_id, tier AS subscription_tier, status AS account_status,
+             {_ts('ts')} AS effective_ts, action,
+             CASE WHEN action <> 'rejected' THEN coalesce(
+               last_value(new_sk IGNORE NULLS) OVER (
+                 PARTITION BY user_id ORDER BY ts, seq
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), o_sk) END AS user_sk
+      FROM (SELECT b.*, n.user_sk AS new_sk,
+                   CASE WHEN b.opened IS NOT NULL AND b.ts < b.opened THEN 'rejected'
+                        WHEN n.user_sk IS NULL THEN 'kept'
+                        WHEN n.before IS NULL THEN 'inserted' ELSE 'opened' END AS action
+            FROM batch b LEFT JOIN numbered n ON n.user_id = b.user_id AND n.seq = b.seq)"""),
     "scd2_merge_rejects": (("batch",), f"""
       SELECT user_id, tier AS subscription_tier, status AS account_status,
              {_ts('ts')} AS effective_ts
@@ -506,6 +525,25 @@ QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
     "asof_fallback": (("raw", "users", "newest"),
                       _asof("raw", "(e.ts - INTERVAL 400 DAY)", "e.event_id")),
     "events_fact": (("ev",), f"SELECT {_EVENT_COLUMNS} FROM ev"),
+    "asof_overlapping": (("raw", "terms"), f"""
+      SELECT e.event_id, coalesce(min(t.user_sk) FILTER (t.start_date <= e.at AND e.at < t.end_date),
+                                  max(t.user_sk)) AS user_sk,
+             {_ts("""coalesce(arg_min(t.end_date, t.user_sk) FILTER (t.start_date <= e.at AND e.at < t.end_date),
+                      arg_max(t.end_date, t.user_sk))""")} AS end_date
+      FROM (SELECT *, ts + INTERVAL 9 DAY AS at FROM raw) e JOIN terms t USING (user_id)
+      GROUP BY e.event_id"""),
+    "events_append_twice": (("ev",), f"SELECT {_EVENT_COLUMNS} FROM ev"),
+    "ranges_declared": (("raw",), """
+      SELECT CASE WHEN ts >= TIMESTAMP '1996-01-01' AND ts < TIMESTAMP '1999-01-01'
+                  THEN strftime(ts, '%Y_%m') ELSE 'default' END AS slice,
+             count(*) AS events, sum(net)::DOUBLE AS revenue
+      FROM raw GROUP BY 1"""),
+    "events_between": (("ev",), f"""
+      SELECT event_type, count(*) AS events, sum(net)::DOUBLE AS revenue,
+             {_ts('min(ts)')} AS first_event, {_ts('max(ts)')} AS last_event
+      FROM ev WHERE ts >= TIMESTAMP '1996-12-31 12:00:00' AND ts < TIMESTAMP '1998-03-01'
+      GROUP BY event_type"""),
+    "snapshot_extend": (("snap_sk",), f"SELECT {_SNAP_COLUMNS} FROM snap_sk"),
     "events_append": (("ev",), f"SELECT {_EVENT_COLUMNS} FROM ev"),
     "monthly_snapshot": (("snap_sk",), f"SELECT {_SNAP_COLUMNS} FROM snap_sk"),
     "mrr_waterfall": (("waterfall",), f"""

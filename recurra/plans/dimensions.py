@@ -108,17 +108,23 @@ def users_dimension(states: DataFrame, hot: HotKeys | None = None) -> DataFrame:
 
 @dataclass(frozen=True)
 class MergeResult:
+    """What a merge leaves: the dimension, the late changes, and one row per change (``log``):
+    user, time, tier, status, ``action`` (inserted: first version of the user; opened: version
+    after another, which it closes; kept: nothing tracked changed; rejected: late) and the key of
+    the version that holds after it, null for rejects."""
     dimension: DataFrame
     rejects: DataFrame
+    log: DataFrame
 
 
-def merge_users(dimension: DataFrame, changes: DataFrame,
-                hot: HotKeys | None = None) -> MergeResult:
+def merge_users(dimension: DataFrame, changes: DataFrame, hot: HotKeys | None = None,
+                first: int | None = None) -> MergeResult:
     """Apply a batch of user states to the Type-2 dimension.
 
     A new user gets a first version. A change of tier or status closes the current
     version and opens one; anything else leaves the dimension as it is. Changes dated
-    before the start of the user's current version come back as rejects.
+    before the start of the user's current version come back as rejects. New versions are
+    numbered from ``first``, by default from the dimension's highest key on.
     """
     changes = enforce_schema(changes, SEQUENCED_STATE)
     if hot is None:
@@ -142,19 +148,20 @@ def merge_users(dimension: DataFrame, changes: DataFrame,
     )
     tracked = F.struct(*_TRACKED)
     changed = (F.col("__new") == 0) | ~F.col("__before").eqNullSafe(tracked)
+    compared = dated.apply(lambda d: d.where(~late)).scan(__before=Earlier(tracked))
     versions = (
-        dated.apply(lambda d: d.where(~late))
-        .scan(__before=Earlier(tracked))
-        .apply(lambda d: d.where(changed))
+        compared.apply(lambda d: d.where(changed))
         .scan(end_date=Later(F.col("effective_ts")))
         .frame()
         .withColumnRenamed("effective_ts", "start_date")
         .withColumn("is_current", F.col("end_date").isNull())
     )
     added = versions.where(F.col("__new") == 1).select(
-        *[f.name for f in DIM_USERS.fields if f.name != "user_sk"], "sequence"
+        *[f.name for f in DIM_USERS.fields if f.name != "user_sk"], "sequence",
+        F.col("__before").isNull().alias("__unknown"),
     )
-    first = (dimension.agg(F.max("user_sk")).first()[0] or 0) + 1
+    if first is None:
+        first = (dimension.agg(F.max("user_sk")).first()[0] or 0) + 1
     order = ["user_id", "start_date", "is_current", "end_date", *_WITHIN_INSTANT]
     numbered = number_rows(added, order, "user_sk", first)
     untouched = dimension.where(~F.col("is_current")).unionByName(
@@ -165,5 +172,31 @@ def merge_users(dimension: DataFrame, changes: DataFrame,
         .unionByName(enforce_schema(versions.where(F.col("__new") == 0), DIM_USERS))
         .unionByName(enforce_schema(numbered, DIM_USERS))
     )
-    rejects = dated.frame().where(late).select(*USER_STATE.names)
-    return MergeResult(merged, rejects)
+    late_rows = dated.frame().where(late)
+    change = ["user_id", F.col("start_date").alias("effective_ts"), *_TRACKED, "sequence"]
+    opened = numbered.select(
+        *change, F.when(F.col("__unknown"), "inserted").otherwise("opened").alias("action"),
+        "user_sk", F.lit(0).alias("__kept"),
+    )
+    kept = compared.frame().where(~changed).withColumnRenamed("effective_ts", "start_date").select(
+        *change, F.lit("kept").alias("action"), F.lit(None).cast("long").alias("user_sk"),
+        F.lit(1).alias("__kept"),
+    )
+    before = open_rows.select("user_id", "user_sk")
+    # The open version comes first, having no time; of equal changes the one that opened one.
+    holding = (
+        ordered(
+            before.unionByName(opened.unionByName(kept), allowMissingColumns=True), ["user_id"],
+            ["effective_ts", *_WITHIN_INSTANT, "__kept"], hot,
+        )
+        .scan(__holds=Latest(F.col("user_sk")))
+        .frame()
+        .where(F.col("action").isNotNull())
+    )
+    columns = ["user_id", "effective_ts", *_TRACKED, "action"]
+    log = holding.select(*columns, F.col("__holds").alias("user_sk")).unionByName(
+        late_rows.withColumn("action", F.lit("rejected")).select(
+            *columns, F.lit(None).cast("long").alias("user_sk")
+        )
+    )
+    return MergeResult(merged, late_rows.select(*USER_STATE.names), log)

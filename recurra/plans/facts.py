@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from recurra.functions.calendar import date_sk, index_of, month_end, month_index, month_sk
 from recurra.functions.pricing import monthly_mrr
@@ -13,6 +14,7 @@ from recurra.operators.hotkeys import HotKeys, lookup
 from recurra.operators.numbering import number_rows
 from recurra.operators.ordered import Earlier, Later, ordered
 from recurra.schemas import FACT_EVENTS, FACT_SNAPSHOT, MONEY, RAW_EVENT, enforce_schema
+from recurra.session import stage
 
 _ORDER = ["event_timestamp", "event_id"]
 
@@ -78,11 +80,64 @@ def monthly_states(events: DataFrame, start_year: int, end_year: int,
     one aggregate row per user and month is enough to carry the state forward.
     """
     first, last = index_of(start_year, 1), index_of(end_year, 12)
-    if "user_id" not in events.columns:
-        versions = hot.of_finer(["user_sk"]) if hot is not None else None
-        events = lookup(events, users.select("user_sk", "user_id"), "user_sk", hot=versions)
-    moved = _carry_forward(_month_totals(_in_range(events, start_year, end_year), hot))
-    months = _spread(moved, users, first, last)
+    return _recorded(_moved(events, first, last, users, hot), users, first, last)
+
+
+def states_of_months(
+    events: DataFrame, first: int, last: int, users: DataFrame | None = None,
+    hot: HotKeys | None = None, opening: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Monthly states of the months from index ``first`` to ``last``, and each user's state after.
+
+    ``opening`` is what an earlier call has returned second for the months before; then only
+    later events are needed, and just users that are active or have events are looked at.
+    """
+    if opening is not None:
+        busy = _known_users(events, users, hot).select("user_id").distinct()
+        busy = busy.select(F.col("user_id").alias("__busy"))
+        concerned = opening.join(busy, opening["user_id"] == busy["__busy"], "left").where(
+            F.col("active") | F.col("__busy").isNotNull()
+        )
+        moved = _moved(events, first, last, users, hot, concerned.drop("__busy"))
+    else:
+        moved = _moved(events, first, last, users, hot)
+    # Read twice: for the months, and for where they leave each user.
+    moved = stage(moved, "moved")
+    closing = moved.groupBy("user_id").agg(
+        F.max_by(F.struct("plan_sk", "active", "mrr", "cumulative"), "ix").alias("state")
+    ).select("user_id", "state.*")
+    if opening is not None:
+        closing = closing.unionByName(opening.join(closing.select("user_id"), "user_id", "left_anti"))
+    return _recorded(moved, users, first, last), closing
+
+
+def _known_users(events: DataFrame, users: DataFrame | None, hot: HotKeys | None) -> DataFrame:
+    if "user_id" in events.columns:
+        return events
+    versions = hot.of_finer(["user_sk"]) if hot is not None else None
+    return lookup(events, users.select("user_sk", "user_id"), "user_sk", hot=versions)
+
+
+def _moved(events: DataFrame, first: int, last: int, users: DataFrame | None,
+           hot: HotKeys | None, opening: DataFrame | None = None) -> DataFrame:
+    """State after each month with events; ``opening`` counts as the month before ``first``."""
+    events = _known_users(events, users, hot)
+    totals = _month_totals(_in_range(events, first, last), hot)
+    if opening is not None:
+        zero = F.lit(0).cast(MONEY)
+        # MRR is floored at zero, so what is held is all that later months need of the level.
+        totals = totals.unionByName(opening.select(
+            "user_id", F.lit(first - 1).alias("ix"), zero.alias("undone"),
+            F.col("mrr").alias("kept"), F.col("active").alias("paid_open"),
+            F.lit(False).alias("cancelled"), zero.alias("gain"), zero.alias("loss"),
+            F.col("cumulative").alias("revenue"), zero.alias("discount"), "plan_sk",
+        ))
+    return _carry_forward(totals)
+
+
+def _recorded(moved: DataFrame, users: DataFrame | None, first: int, last: int) -> DataFrame:
+    """Monthly states from those after months with events."""
+    months = _spread(moved, users, first, last).where(F.col("month") >= first)
     month, state, quiet = F.col("month"), F.col("state"), F.col("quiet")
 
     def only_in_month(name: str):
@@ -188,12 +243,15 @@ def _version_months(users: DataFrame, first: int) -> DataFrame:
     )
 
 
-def _in_range(events: DataFrame, start_year: int, end_year: int) -> DataFrame:
-    # Months end at 23:59:59, so the range is left-open at the second before it.
-    low = F.lit(f"{start_year - 1}-12-31 23:59:59").cast("timestamp_ntz")
-    high = F.lit(f"{end_year}-12-31 23:59:59").cast("timestamp_ntz")
+def end_of_month(index: int) -> Column:
+    """The last second of a month, which belongs to it as all times after the one before do."""
+    following = datetime(index // 12 + (index % 12 == 11), (index + 1) % 12 + 1, 1)
+    return F.lit((following - timedelta(seconds=1)).isoformat()).cast("timestamp_ntz")
+
+
+def _in_range(events: DataFrame, first: int, last: int) -> DataFrame:
     ts = F.col("event_timestamp")
-    return events.where((ts > low) & (ts <= high)).select(
+    return events.where((ts > end_of_month(first - 1)) & (ts <= end_of_month(last))).select(
         "user_id", "event_id", "event_timestamp", "event_type", "plan_sk",
         "net_amount_usd", "discount_amount_usd", "mrr_delta_usd",
         month_index(ts).alias("ix"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime, timedelta
 from functools import reduce
 from pathlib import Path
 
@@ -108,6 +108,33 @@ def month_slice(events: DataFrame, year: int, month: int, months: int = 1) -> Da
     return found.where(reduce(lambda a, b: a | b, wanted))
 
 
+def time_slice(events: DataFrame, low: datetime, high: datetime,
+               time: str = "event_timestamp") -> DataFrame:
+    """Rows from ``low`` to before ``high``. Where the table has the partition columns, only the
+    folders of the months in between are listed and read, whatever instants the two are."""
+    ts = F.col(time)
+    found = events.where((ts >= _instant(low)) & (ts < _instant(high)))
+    if not set(PARTITIONED_BY) <= set(events.columns):
+        return found
+    last = high - timedelta(microseconds=1)
+    month = F.col("event_year") * 12 + F.col("event_month").cast("int")
+    return found.where(month.between(low.year * 12 + low.month, last.year * 12 + last.month))
+
+
+def register_between(spark: SparkSession, name: str, events: str) -> None:
+    """A SQL table function ``name(low, high)``: the rows of the registered events from ``low`` to
+    before ``high``, read from the folders of their months alone."""
+    spark.sql(f"""
+        CREATE OR REPLACE TEMPORARY FUNCTION {name}(low TIMESTAMP_NTZ, high TIMESTAMP_NTZ)
+        RETURNS TABLE({", ".join(f"{f.name} {f.dataType.simpleString()}"
+                                 for f in spark.table(events).schema.fields)})
+        RETURN SELECT * FROM {events}
+        WHERE event_timestamp >= low AND event_timestamp < high
+          AND event_year * 12 + CAST(event_month AS INT) BETWEEN year(low) * 12 + month(low)
+          AND year(high - INTERVAL '0.000001' SECOND) * 12
+              + month(high - INTERVAL '0.000001' SECOND)""")
+
+
 def slice_name(ts: Column, low: date, high: date) -> Column:
     """``YYYY_MM`` of the monthly slice in ``[low, high)``, else ``default``."""
     inside = (ts >= _instant(low)) & (ts < _instant(high))
