@@ -267,6 +267,11 @@ def _snapshot(suffix: str, raw: str) -> None:
 _snapshot("", "raw")
 _snapshot("_refunds", "raw_refunds")
 
+_cte("ev_refunds", ("raw_refunds", "users", "newest"), _asof("raw_refunds", "e.ts", "e.*"))
+_cte("snap_refunds_sk", ("snap_refunds", "users", "newest"), _asof(
+    "(SELECT *, snapshot_date::TIMESTAMP + INTERVAL 86399 SECONDS AS month_end FROM snap_refunds)",
+    "e.month_end", "e.*"))
+
 _cte("snap_sk", ("snap", "users", "newest"), _asof(
     "(SELECT *, snapshot_date::TIMESTAMP + INTERVAL 86399 SECONDS AS month_end FROM snap)",
     "e.month_end", "e.*"))
@@ -728,6 +733,73 @@ QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
                    (lag(cumulative) OVER (PARTITION BY user_id ORDER BY month_sk))::DOUBLE
                      AS previous_usd FROM snap_refunds)
       WHERE cumulative_revenue_usd < previous_usd"""),
+    "run_checks": (("raw_refunds", "ev_refunds", "snap_refunds_sk", "users", "dates", "plans"), """
+      SELECT * FROM (WITH d AS (SELECT * FROM dates WHERE year >= 1997),
+      p AS (SELECT * FROM plans WHERE billing_interval = 'monthly'),
+      u AS (SELECT * REPLACE (CASE WHEN user_sk % 7 <> 0 THEN email END AS email)
+            FROM users WHERE user_sk % 10 <> 0),
+      e0 AS (SELECT *, row_number() OVER (ORDER BY ts, event_id) AS event_sk FROM ev_refunds),
+      e AS (SELECT * FROM e0 UNION ALL SELECT * FROM e0 WHERE event_sk % 8 = 0),
+      s AS (SELECT *, CASE WHEN month_sk % 100 = 12 THEN mrr ELSE arr END AS arr_given
+            FROM snap_refunds_sk),
+      per_user AS (
+        SELECT user_id, count(*) FILTER (is_current) AS current,
+               count(*) FILTER (next_start IS NOT NULL AND end_date IS DISTINCT FROM next_start)
+                 AS broken
+        FROM (SELECT *, lead(start_date) OVER (PARTITION BY user_id ORDER BY start_date, user_sk)
+                          AS next_start FROM u) GROUP BY user_id),
+      months AS (
+        SELECT month_sk, sum(mrr) AS actual, sum(new_mrr + expansion - contraction - churned) AS moved
+        FROM s GROUP BY 1)
+      SELECT 'declared columns present' AS check_name,
+             (count(email) < count(*))::BIGINT AS violations FROM u
+      UNION ALL SELECT 'surrogate keys present', 0
+      UNION ALL SELECT 'events within the ranges', count(*) FROM e
+        WHERE NOT (ts >= TIMESTAMP '1996-01-01' AND ts < TIMESTAMP '2000-01-01')
+      UNION ALL SELECT unnest(['date_sk unique', 'plan_sk unique', 'user_sk unique',
+        'calendar_date unique', 'plan_id unique', 'snapshot per month and user unique',
+        'expired versions end', 'versions end after start']), 0
+      UNION ALL SELECT 'event key unique', count(*) FROM e0 WHERE event_sk % 8 = 0
+      UNION ALL SELECT 'event user exists', count(DISTINCT user_sk) FROM e
+        WHERE user_sk NOT IN (SELECT user_sk FROM u)
+      UNION ALL SELECT 'event plan exists', count(DISTINCT plan_sk) FROM e
+        WHERE plan_sk NOT IN (SELECT plan_sk FROM p)
+      UNION ALL SELECT 'event date exists', count(DISTINCT ts::DATE) FROM e
+        WHERE ts::DATE NOT IN (SELECT calendar_date FROM d)
+      UNION ALL SELECT 'snapshot user exists', count(DISTINCT user_sk) FROM s
+        WHERE user_sk NOT IN (SELECT user_sk FROM u)
+      UNION ALL SELECT 'snapshot plan exists', count(DISTINCT plan_sk) FROM s
+        WHERE plan_sk NOT IN (SELECT plan_sk FROM p)
+      UNION ALL SELECT 'one current version', count(*) FROM per_user WHERE current <> 1
+      UNION ALL SELECT 'versions are contiguous', sum(broken)::BIGINT FROM per_user
+      UNION ALL SELECT 'ARR is twelve MRR', count(*) FROM s WHERE abs(arr_given - mrr * 12) >= 0.05
+      UNION ALL SELECT 'waterfall adds up', count(*) FROM (
+        SELECT actual, coalesce(lag(actual) OVER (ORDER BY month_sk), 0) + moved AS expected
+        FROM months) WHERE abs(expected - actual) >= 0.10
+      UNION ALL SELECT 'cumulative revenue never falls', count(*) FROM (
+        SELECT cumulative < lag(cumulative) OVER (PARTITION BY user_id ORDER BY month_sk) AS falls
+        FROM s) WHERE falls)"""),
+    "star_end_to_end": (("ev", "raw", "users", "plans", "snap"), """
+      SELECT h.*, b.raw_events, b.raw_revenue, j.journey_events, j.longest_journey,
+             coalesce(a.active_users, 0) AS active_users,
+             (SELECT sum(mrr)::DOUBLE FROM snap
+              WHERE month_sk = (SELECT max(month_sk) FROM snap)) AS ending_mrr
+      FROM (SELECT e.event_type, u.country, count(*) AS events, count(DISTINCT u.user_id) AS users,
+                   sum(e.net)::DOUBLE AS revenue, max(p.tier_level) AS highest_tier
+            FROM ev e JOIN users u USING (user_sk) JOIN plans p ON p.plan_sk = e.plan_sk
+            GROUP BY ALL) h
+      JOIN (SELECT event_type, count(*) AS raw_events, sum(net)::DOUBLE AS raw_revenue
+            FROM raw GROUP BY 1) b USING (event_type)
+      JOIN (SELECT event_type, count(*) AS journey_events, max(place) AS longest_journey
+            FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS place
+                  FROM ev) GROUP BY 1) j USING (event_type)
+      LEFT JOIN (SELECT country, count(*) AS active_users FROM users
+                 WHERE is_current AND status = 'active' AND user_sk IN (SELECT user_sk FROM ev)
+                 GROUP BY 1) a USING (country)
+      WHERE h.event_type <> 'refund'"""),
+    "console_top15": (("ev", "dates", "plans"), "SELECT *, true AS more FROM (" + _quarters(
+        "e.event_type = 'invoice_paid'", "total_paying_users", "total_revenue_usd")
+        + ") ORDER BY year DESC, quarter_name DESC, total_revenue_usd DESC, plan_name LIMIT 9"),
     "dq_outside_ranges": (("raw",), f"""
       SELECT event_id, {_ts('ts')} AS event_timestamp FROM raw
       WHERE NOT (ts >= TIMESTAMP '1996-01-01' AND ts < TIMESTAMP '2000-01-01')"""),

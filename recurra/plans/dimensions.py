@@ -73,12 +73,15 @@ def plan_dimension(spark: SparkSession, catalogue=None) -> DataFrame:
 
     Built from literals inside the plan, so Spark knows how small it is and broadcasts it.
     """
-    rows = ", ".join(
-        "({}, '{}', '{}', '{}', '{}', {}, {}, {}, true)".format(sk, *plan)
+    given = [f for f in DIM_PLAN.fields if f.name not in ("plan_sk", "is_active")]
+    rows = [
+        F.struct(F.lit(sk).alias("plan_sk"), *[
+            F.lit(value).cast(f.dataType).alias(f.name) for value, f in zip(plan, given)
+        ])
         for sk, plan in enumerate(catalogue or PLAN_CATALOGUE, start=1)
-    )
-    names = ", ".join(DIM_PLAN.names)
-    return enforce_schema(spark.sql(f"SELECT * FROM VALUES {rows} AS plans({names})"), DIM_PLAN)
+    ]
+    plans = spark.range(1).select(F.inline(F.array(*rows)))
+    return enforce_schema(plans.withColumn("is_active", F.lit(True)), DIM_PLAN)
 
 
 def user_versions(states: DataFrame, hot: HotKeys | None = None) -> DataFrame:

@@ -6,11 +6,12 @@ from collections.abc import Sequence
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from recurra.operators.hotkeys import HotKeys
 from recurra.operators.ordered import Later, ordered
 from recurra.schemas import STAR
+from recurra.session import stage
 
 
 def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -71,13 +72,21 @@ def broken_continuity(users: DataFrame, hot: HotKeys | None = None) -> DataFrame
     )
 
 
+def _arr_gap(tolerance: float = 0.05) -> Column:
+    return F.abs(F.col("arr_usd") - F.col("mrr_usd") * 12) >= F.lit(tolerance)
+
+
 def arr_not_twelve_mrr(snapshot: DataFrame, tolerance: float = 0.05) -> DataFrame:
-    gap = F.abs(F.col("arr_usd") - F.col("mrr_usd") * 12)
-    return snapshot.where(gap >= F.lit(tolerance)).select(
+    return snapshot.where(_arr_gap(tolerance)).select(
         "snapshot_month_sk", "user_id", "mrr_usd", "arr_usd"
     )
 
 
+_WATERFALL = [
+    "mrr_usd", "new_mrr_usd", "expansion_mrr_usd", "contraction_mrr_usd", "churned_mrr_usd",
+]
+
+
 def waterfall_gaps(snapshot: DataFrame, tolerance: float = 0.10) -> DataFrame:
     """Months whose ending MRR is not the previous month's plus the movements."""
     monthly = snapshot.groupBy("snapshot_month_sk").agg(
@@ -107,65 +116,117 @@ def falling_revenue(snapshot: DataFrame) -> DataFrame:
     )
 
 
-def outside_ranges(events: DataFrame, months: DataFrame) -> DataFrame:
-    """Events before ``low``, from ``high`` on, or without a time; ``months`` is the row of both."""
-    time = F.col("event_timestamp")
-    inside = (time >= F.col("low")) & (time < F.col("high"))
-    return events.crossJoin(F.broadcast(months)).where(~F.coalesce(inside, F.lit(False))).select(
-        "event_sk", "event_timestamp"
-    )
-
-
 def run_checks(star: dict[str, DataFrame], months: tuple[date, date] | None = None) -> DataFrame:
     """All checks on a built star: one row per check with its number of violations.
 
     ``months`` are the first day of the declared ranges and that after the last; by default the
-    calendar's.
+    calendar's. A violation is what the functions above return as a row, so a key on three rows
+    counts once. Checks of single rows are sums of one pass, which on facts rides along with a
+    grouping, and checks with the same key share one: a table is scanned once per key, not once
+    per check.
     """
     users, plans = star["dim_users"], star["dim_subscription_plan"]
     dates, events = star["dim_date"], star["fact_subscription_events"]
     snapshot = star["fact_monthly_financial_snapshot"]
     if months is None:
-        ranges = dates.agg(
-            F.min("calendar_date").alias("low"), F.date_add(F.max("calendar_date"), 1).alias("high")
-        )
-    else:
-        low, high = months
-        ranges = dates.sparkSession.range(1).select(F.lit(low).alias("low"), F.lit(high).alias("high"))
-    checks = {
-        "declared columns present": reduce(DataFrame.unionByName, [
-            declared_nulls(star[name], schema) for name, schema in STAR.items()
-        ]),
-        "events within the ranges": outside_ranges(events, ranges),
-        "date_sk unique": duplicate_keys(dates, ["date_sk"]),
-        "plan_sk unique": duplicate_keys(plans, ["plan_sk"]),
-        "user_sk unique": duplicate_keys(users, ["user_sk"]),
-        "calendar_date unique": duplicate_keys(dates, ["calendar_date"]),
-        "plan_id unique": duplicate_keys(plans, ["plan_id"]),
-        "event key unique": duplicate_keys(events, ["event_sk", "event_timestamp"]),
-        "snapshot per month and user unique": duplicate_keys(
-            snapshot, ["snapshot_month_sk", "user_id"]
-        ),
-        "surrogate keys present": reduce(DataFrame.unionByName, [
-            null_values(dates, ["date_sk"]), null_values(plans, ["plan_sk"]),
-            null_values(users, ["user_sk"]), null_values(events, ["event_sk"]),
-            null_values(snapshot, ["snapshot_sk"]),
-        ]),
-        "event user exists": orphans(events, users, "user_sk"),
-        "event plan exists": orphans(events, plans, "plan_sk"),
-        "event date exists": orphans(events, dates, "date_sk"),
-        "snapshot user exists": orphans(snapshot, users, "user_sk"),
-        "snapshot plan exists": orphans(snapshot, plans, "plan_sk"),
-        "one current version": not_one_current(users),
-        "expired versions end": expired_without_end(users),
-        "versions end after start": ends_before_start(users),
-        "versions are contiguous": broken_continuity(users),
-        "ARR is twelve MRR": arr_not_twelve_mrr(snapshot),
-        "waterfall adds up": waterfall_gaps(snapshot),
-        "cumulative revenue never falls": falling_revenue(snapshot),
-    }
-    counted = [
-        found.agg(F.lit(name).alias("check_name"), F.count(F.lit(1)).alias("violations"))
-        for name, found in checks.items()
-    ]
-    return reduce(DataFrame.unionByName, counted)
+        months = dates.agg(F.min("calendar_date"), F.date_add(F.max("calendar_date"), 1)).first()
+    low, high = (F.lit(m).cast("timestamp_ntz") for m in months)
+    time = F.col("event_timestamp")
+    within = F.coalesce((time >= low) & (time < high), F.lit(False))
+
+    def rows(name: str, **checks: Column) -> list[Column]:
+        """Sums for the checks of single rows of a table: nulls by column, and others."""
+        declared = [f.name for f in STAR[name].fields if not f.nullable]
+        return [F.count_if(F.col(c).isNull()).alias(f"null {c}") for c in declared] + [
+            F.count_if(wrong).alias(f"row {check}") for check, wrong in checks.items()
+        ]
+
+    found: list[DataFrame] = []
+
+    def count(check: str, wrong: DataFrame) -> None:
+        found.append(wrong.agg(F.lit(check).alias("check_name"),
+                               F.count(F.lit(1)).alias("violations")))
+
+    def collect(total: DataFrame, pairs: list[tuple[str, Column]]) -> None:
+        """A row for each check of a frame of one row."""
+        found.append(total.select(F.explode(F.array(*[
+            F.struct(F.lit(n).alias("check_name"),
+                     F.coalesce(v.cast("long"), F.lit(0)).alias("violations"))
+            for n, v in pairs
+        ])).alias("pair")).select("pair.*"))
+
+    def collect_rows(groups: DataFrame, key: str | None = None) -> None:
+        """Add up what ``rows`` has counted in groups."""
+        counted = [c for c in groups.columns if " " in c]
+        total = groups.agg(*[F.sum(F.col(f"`{c}`")).alias(c) for c in counted])
+        nulls = [c for c in total.columns if c.startswith("null ")]
+        any_null = sum((F.coalesce((F.col(f"`{c}`") > 0).cast("long"), F.lit(0)) for c in nulls),
+                       F.lit(0))
+        pairs = [("declared columns present", any_null)]
+        if key:
+            missing = F.coalesce((F.col(f"`null {key}`") > 0).cast("long"), F.lit(0))
+            pairs.append(("surrogate keys present", missing))
+        pairs += [(c[len("row "):], F.col(f"`{c}`")) for c in total.columns
+                  if c.startswith("row ")]
+        collect(total, pairs)
+
+    # Dimensions: their rows without a shuffle, then their keys alone.
+    for name, key, extra in (
+        ("dim_date", "date_sk", {}), ("dim_subscription_plan", "plan_sk", {}),
+        ("dim_users", "user_sk", {
+            "expired versions end": ~F.col("is_current") & F.col("end_date").isNull(),
+            "versions end after start": F.col("end_date") < F.col("start_date"),
+        }),
+    ):
+        collect_rows(star[name].agg(*rows(name, **extra)), key)
+        count(f"{key} unique", duplicate_keys(star[name], [key]))
+    count("calendar_date unique", duplicate_keys(dates, ["calendar_date"]))
+    count("plan_id unique", duplicate_keys(plans, ["plan_id"]))
+
+    # Events: their rows by plan and day, few groups from which both kinds of orphans follow.
+    # They are written, as each use would prune, and so scan, for itself.
+    by_plan_day = stage(events.groupBy("plan_sk", "date_sk").agg(
+        *rows("fact_subscription_events", **{"events within the ranges": ~within})
+    ), "plan-days")
+    collect_rows(by_plan_day, "event_sk")
+    for key, dim, check in (("plan_sk", plans, "event plan exists"),
+                            ("date_sk", dates, "event date exists")):
+        count(check, orphans(by_plan_day, dim, key))
+    count("event key unique", duplicate_keys(events, ["event_sk", "event_timestamp"]))
+    count("event user exists", orphans(events, users, "user_sk"))
+
+    # Snapshot: its rows by month and plan, likewise.
+    by_month_plan = stage(snapshot.groupBy("snapshot_month_sk", "plan_sk").agg(
+        *[F.sum(c).alias(c) for c in _WATERFALL],
+        *rows("fact_monthly_financial_snapshot", **{"ARR is twelve MRR": _arr_gap()}),
+    ), "month-plans")
+    collect_rows(by_month_plan, "snapshot_sk")
+    count("snapshot plan exists", orphans(by_month_plan, plans, "plan_sk"))
+    count("waterfall adds up", waterfall_gaps(by_month_plan))
+    count("snapshot user exists", orphans(snapshot, users, "user_sk"))
+    month, user = F.col("snapshot_month_sk"), Window.partitionBy("user_id").orderBy(
+        "snapshot_month_sk"  # a row per month
+    )
+    in_order = snapshot.select("user_id", "snapshot_month_sk", "cumulative_revenue_usd").withColumns({
+        "again": month.eqNullSafe(F.lag(month).over(user)),
+        "thrice": month.eqNullSafe(F.lag(month, 2).over(user)),
+        "falls": F.col("cumulative_revenue_usd") < F.lag("cumulative_revenue_usd").over(user),
+        "place": F.row_number().over(user),
+    })
+    repeated = F.col("again") & (F.col("place") > 1) & ~(F.col("thrice") & (F.col("place") > 2))
+    per_user = in_order.agg(F.count_if(repeated).alias("again"), F.count_if("falls").alias("falls"))
+    collect(per_user, [("snapshot per month and user unique", F.col("again")),
+                       ("cumulative revenue never falls", F.col("falls"))])
+
+    # Versions of a user, in order.
+    versions = ordered(users, ["user_id"], ["start_date", "user_sk"]).scan(
+        next_start=Later(F.col("start_date"))
+    ).frame()
+    broken = F.col("next_start").isNotNull() & ~F.col("end_date").eqNullSafe(F.col("next_start"))
+    by_user = versions.groupBy("user_id").agg(
+        F.count_if("is_current").alias("current"), F.count_if(broken).alias("broken")
+    ).agg(F.count_if(F.col("current") != 1).alias("current"), F.sum("broken").alias("broken"))
+    collect(by_user, [("one current version", F.col("current")),
+                      ("versions are contiguous", F.col("broken"))])
+    together = reduce(DataFrame.unionByName, found)
+    return together.groupBy("check_name").agg(F.sum("violations").alias("violations"))

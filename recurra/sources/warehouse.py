@@ -167,6 +167,11 @@ def run_sql_file(spark: SparkSession, path: str, **args) -> DataFrame:
     return spark.sql(text, args=args or None)
 
 
+def report(name: str) -> str:
+    """The path of a SQL file that comes with the library."""
+    return str(Path(__file__).resolve().parent.parent / "sql" / f"{name}.sql")
+
+
 def _first_day(index: int) -> date:
     return date(index // 12, index % 12 + 1, 1)
 

@@ -144,3 +144,21 @@ def test_checks_return_the_broken_rows(spark, star):
     assert quality.waterfall_gaps(more).count() == months
     falling = snap.withColumn("cumulative_revenue_usd", -F.col("cumulative_revenue_usd"))
     assert quality.falling_revenue(falling).count() > 0
+
+
+def test_checks_scan_a_fact_once_per_key(star):
+    plan = quality.run_checks(star)._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.split("\n") if "FileScan" in line]
+    # Besides the pass over the rows: key and user of events, user version and user of months.
+    assert sum(EVENTS in line for line in scans) == 2
+    assert sum("fact_monthly_financial_snapshot" in line for line in scans) == 2
+
+
+def test_checks_count_repeated_keys_once(star):
+    snapshot = star["fact_monthly_financial_snapshot"]
+    thrice = snapshot.unionByName(snapshot).unionByName(snapshot.where("snapshot_sk % 2 = 0"))
+    found = {r[0]: r[1] for r in quality.run_checks(
+        {**star, "fact_monthly_financial_snapshot": thrice}).collect()}
+    assert found["snapshot per month and user unique"] == snapshot.count()
+    empty = {name: df.limit(0) for name, df in star.items()}
+    assert {r[1] for r in quality.run_checks(empty, (date(2000, 1, 1), date(2001, 1, 1))).collect()} == {0}
