@@ -8,8 +8,8 @@ the blocks of the containers on the host's winning path, or, where it has none,
 
 from __future__ import annotations
 
-import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html import unescape
@@ -22,34 +22,56 @@ from recurra.session import stage
 # Kinds of HTML elements, and words that name what is not the article.
 RAW = "script|style|noscript|template|textarea|title|iframe|svg|math|object|canvas|xmp"
 SKIPPED = frozenset(
-    "head nav header footer aside button select menu dialog audio video figure map".split()
+    "head nav header footer aside button select menu dialog audio video map".split()
 )
 BLOCKS = frozenset(
     "html body main article section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody "
-    "tfoot tr td th caption pre blockquote address hr details summary center fieldset".split()
+    "tfoot tr td th caption pre blockquote address hr details summary center fieldset figure "
+    "figcaption".split()
 )
 CONTAINERS = BLOCKS | SKIPPED | {"form"}
-LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd tr td th caption pre summary".split())
+LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd tr td th caption pre summary figcaption".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose end tag may be left out, and what closes them when it starts.
 CLOSED_BY = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"},
     "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"},
 }
-NOT_ARTICLE = re.compile(
-    r"(?:^|\s)(?:ad|ads|adv|advert|advertisement|advertising|sponsor|sponsored|promo|banner|"
-    r"sidebar|side-bar|menu|nav|navbar|navigation|breadcrumb|breadcrumbs|header|masthead|footer|"
-    r"foot|comment|comments|disqus|replies|cookie|cookies|consent|notice|gdpr|popup|modal|"
-    r"newsletter|subscribe|signup|social|share|sharing|related|recommended|widget|toolbar|"
-    r"pagination|pager|login|search|copyright|legal|disclaimer|hidden|skip)(?:$|\s)",
-    re.I,
+# Parts of names that tell what lies around an article, and what is never one.
+AROUND = frozenset(
+    "sidebar side-bar menu nav navbar navigation breadcrumb breadcrumbs header masthead footer foot "
+    "popup modal social share sharing related recommended widget widgets toolbar pagination pager "
+    "login signup search copyright legal disclaimer hidden skip banner".split()
 )
+NEVER = frozenset(
+    "ad ads adv advert adverts advertisement advertisements advertising sponsor sponsored promo "
+    "comment comments disqus replies cookie cookies consent notice gdpr newsletter subscribe".split()
+)
+#: Parts that make a name say how its element is laid out, and those of an article's own header.
+LAYOUT = frozenset("with has no not without hide enabled disabled open closed".split())
+OWN = frozenset("entry post article story content".split())
+
+#: A form, or what a part in ``AROUND`` names, with at least this part of its page's running text
+#: stays; so does what a part in ``NEVER`` names, if no more than ``LEAST`` lies outside of such.
+MOST, LEAST = 0.75, 0.1
+
+_PARTS = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[0-9])")
+_HUMPS = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
-#: A form, or what ``NOT_ARTICLE`` names, with at least this part of its page's running text stays.
-MOST = 0.75
 
-#: Elements nested deeper count as part of the one at this depth.
-DEEPEST = 256
+def doubts(names: str) -> int:
+    """How doubtful class, id and role make an element: 0, 1 (around an article), 2 (never one)."""
+    worst = 0
+    for name in names.split():
+        parts = set(_PARTS.split(_HUMPS.sub("-", name).lower()))
+        if parts & LAYOUT:
+            continue
+        if parts & NEVER:
+            return 2
+        if parts & AROUND and not (parts & OWN and parts & AROUND == {"header"}):
+            worst = 1
+    return worst
+
 
 _START = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s<>/]*+)|<[!?/][^<>]*+>", re.S
@@ -109,26 +131,49 @@ _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?"
 _DIGITS = re.compile(r"\d+")
 
 
-@dataclass
+#: Between the steps of a path; no class holds a space.
+STEP = " > "
+
+
+@dataclass(slots=True)
 class Node:
+    """An element; ``key`` stands for its path, and ``container`` is the next one up that is none
+    of the leaves, itself included."""
+
     tag: str
-    path: str
+    step: str
+    key: int
     parent: Node | None
-    skipped: bool
     number: int
-    depth: int
-    doubtful: bool = False
+    skipped: bool
+    doubt: int = 0
+    container: Node | None = None
+    article: Node | None = None
+    #: Running text inside, that of it which lies in an article without doubt, and the score.
     running: float = 0.0
+    clean: float = 0.0
     score: float = 0.0
-    article: Node | None = None
+    dropped: bool = False
+
+    @property
+    def path(self) -> str:
+        steps, node = [], self
+        while node is not None:
+            steps.append(node.step)
+            node = node.parent
+        return STEP.join(reversed(steps))
 
 
 @dataclass
 class Page:
-    """Containers of a page and its blocks, each with the containers that it lies in."""
+    """Elements of a page, parents first, and its blocks, each with the element it lies in.
+
+    Paths are numbered by the step they add to another one, so depth costs nothing.
+    """
 
     nodes: list[Node] = field(default_factory=list)
     blocks: list[tuple[str, Node]] = field(default_factory=list)
+    keys: dict[tuple[int, str], int] = field(default_factory=dict)
 
     def best(self) -> Node | None:
         scored = [n for n in self.nodes if n.score > 0]
@@ -139,35 +184,42 @@ class Page:
 
     def text(self, path: str | None) -> str:
         """The blocks in containers on ``path``, or in the best one if there are none."""
-        chosen = {n.number for n in self.nodes if n.path == path}
-        out = self.within(chosen) if chosen else []
+        out = self.within({n.number for n in self.on(path)}) if path is not None else []
         if not out:
             best = self.best()
             out = self.within({best.number}) if best else []
         return "\n\n".join(out)
 
+    def on(self, path: str) -> list[Node]:
+        key = -1
+        for step in path.split(STEP):
+            key = self.keys.get((key, step), -2)
+        return [
+            n for n in self.nodes
+            if n.key == key and not (n.skipped or n.dropped) and n.container is n
+        ]
+
     def within(self, numbers: set[int]) -> list[str]:
-        out = []
-        for text, node in self.blocks:
-            at: Node | None = node
-            while at is not None and at.number not in numbers:
-                at = at.parent
-            if at is not None:
-                out.append(text)
-        return out
+        inside = [False] * len(self.nodes)
+        for n in self.nodes:
+            inside[n.number] = n.number in numbers or (
+                n.parent is not None and inside[n.parent.number]
+            )
+        return [text for text, node in self.blocks if inside[node.number]]
 
 
 def read_page(html: str) -> Page:
-    """The blocks outside of skipped elements, with the containers that hold them, scored.
+    """The blocks outside of skipped elements, with the elements that hold them, scored.
 
-    What its names or a form make doubtful is skipped too, unless most of the running text that
-    is not skipped for certain lies in it, and no text of an article or main element beside it.
+    What its names or a form make doubtful is skipped too, unless most of the page's running text
+    lies in it (see ``_settle``). The cost is linear in the length of the page.
     """
     page = Page()
     found: list[tuple[str, Node, float]] = []
     here: Node | None = None
     words: list[str] = []
-    linked = links = deeper = 0
+    open_tags: Counter[str] = Counter()
+    linked = links = 0
 
     def end_block() -> None:
         nonlocal linked
@@ -185,31 +237,32 @@ def read_page(html: str) -> Page:
             k.lower(): v.strip("\"'") for k, v in _ATTRIBUTE.findall(attributes)
         } if attributes else {}
         names = " ".join(unescape(named.get(k, "")) for k in ("class", "id", "role"))
+        above = here.article if here is not None else None
+        of_article = tag == "header" and above is not None and above.tag == "article"
         skipped = (
-            (here is not None and here.skipped) or tag in SKIPPED or "hidden" in named
-            or named.get("aria-hidden") == "true"
+            (here is not None and here.skipped) or (tag in SKIPPED and not of_article)
+            or "hidden" in named or named.get("aria-hidden") == "true"
             or "display:none" in named.get("style", "").replace(" ", "").lower()
         )
-        doubtful = tag == "form" or (
-            tag not in ("html", "body", "main", "article")
-            and NOT_ARTICLE.search(names) is not None
-        )
+        doubt = 0 if tag in ("html", "body", "main", "article") else doubts(names)
         classes = sorted(set(_DIGITS.sub("#", named.get("class", "")).split()))
         step = ".".join([tag, *classes])
-        path = f"{here.path}/{step}" if here is not None else step
-        node = Node(
-            tag, path, here, skipped, len(page.nodes), here.depth + 1 if here else 0, doubtful
-        )
-        above = here.article if here is not None else None
+        key = page.keys.setdefault((here.key if here is not None else -1, step), len(page.keys))
+        node = Node(tag, step, key, here, len(page.nodes), skipped, max(doubt, tag == "form"))
+        node.container = here.container if tag in LEAVES and here is not None else node
         node.article = above or (node if tag in ("article", "main") else None)
         if tag == "article" and above is not None and above.tag == "main":
             node.article = node
-        if tag not in LEAVES and not skipped:
-            page.nodes.append(node)
-        else:
-            node.number = -1
+        page.nodes.append(node)
+        open_tags[tag] += 1
         here = node
 
+    def close_to(node: Node) -> None:
+        nonlocal here
+        while here is not node:
+            open_tags[here.tag] -= 1
+            here = here.parent
+
     open_node("", "")
     at = 0
     for start, end, closing, tag, attributes in _tokens(html):
@@ -225,14 +278,11 @@ def read_page(html: str) -> Page:
                 links = max(0, links - 1)
             elif tag in CONTAINERS:
                 end_block()
-                if deeper:
-                    deeper -= 1
-                    continue
-                node = here
-                while node is not None and node.tag != tag:
-                    node = node.parent
-                if node is not None and node.parent is not None:
-                    here, links = node.parent, 0
+                if open_tags[tag]:
+                    while here.tag != tag:
+                        close_to(here.parent)
+                    close_to(here.parent)
+                    links = 0
         elif tag == "br" or tag == "hr":
             words.append(" ")
             if tag == "hr":
@@ -244,12 +294,9 @@ def read_page(html: str) -> Page:
             while here.parent is not None and (
                 here.tag == "p" or here.tag in CLOSED_BY and tag in CLOSED_BY[here.tag]
             ):
-                here = here.parent
+                close_to(here.parent)
             links = 0
-            if here.depth >= DEEPEST:
-                deeper += 1
-            else:
-                open_node(tag, attributes)
+            open_node(tag, attributes)
     words.append(html[at:])
     end_block()
     _settle(page, found)
@@ -257,38 +304,51 @@ def read_page(html: str) -> Page:
 
 
 def _settle(page: Page, found: list[tuple[str, Node, float]]) -> None:
-    """Keep or skip the doubtful containers, and score the others by the blocks that are left."""
-    least = MOST * sum(gain for _, _, gain in found)
-    for _, node, gain in found:
-        at: Node | None = node
-        inside = False
-        while at is not None:
-            if at.doubtful:
-                at.running += gain
-                inside = True
-            at = at.parent
-        if node.article is not None and not inside:
-            least = math.inf
-
-    def dropped(node: Node | None) -> bool:
-        while node is not None:
-            if node.doubtful and (node.running < least or node.running <= 0):
-                return True
-            node = node.parent
-        return False
+    """Keep or drop the doubtful elements, and score the containers by the blocks that are left.
 
+    A form, or what names place around an article, stays if it holds most of the page's running
+    text; an advert, comment or notice only where hardly anything lies outside of such. Where an
+    article or main element has text of its own, not in anything doubtful below it, neither stays
+    without some of that.
+    """
+    for _, node, gain in found:
+        node.running += gain
+    # What is doubtful on the way up to the article: text below it is not the article's own.
+    doubtful = [False] * len(page.nodes)
+    never = [False] * len(page.nodes)
+    for node in page.nodes:
+        above = node.parent
+        own = node.article is node
+        doubtful[node.number] = not own and (
+            node.doubt > 0 or above is not None and doubtful[above.number]
+        )
+        never[node.number] = node.doubt == 2 or above is not None and never[above.number]
+        if node.article is not None and not doubtful[node.number]:
+            node.clean = node.running
+    total = sum(gain for _, _, gain in found)
+    elsewhere = sum(gain for _, node, gain in found if not never[node.number])
+    for node in reversed(page.nodes):
+        if node.parent is not None:
+            node.parent.running += node.running
+            node.parent.clean += node.clean
+    own_text = page.nodes[0].clean > 0
+    for node in page.nodes:
+        stays = node.running > 0 and (node.clean > 0 or not own_text) and (
+            node.running >= MOST * total if node.doubt == 1 else elsewhere <= LEAST * total
+        )
+        node.dropped = (node.doubt > 0 and not stays) or (
+            node.parent is not None and node.parent.dropped
+        )
     for text, node, gain in found:
-        if dropped(node):
+        if node.dropped:
             continue
         page.blocks.append((text, node))
-        container, weight = node, 1.0
-        while container.tag in LEAVES and container.parent is not None:
-            container = container.parent
+        container, weight = node.container, 1.0
         # Most for the container next to the text.
         while container is not None and weight > 0.1:
             container.score += weight * gain
-            container, weight = container.parent, weight / 2
-    page.nodes = [n for n in page.nodes if not dropped(n)]
+            parent, weight = container.parent, weight / 2
+            container = parent.container if parent is not None else None
 
 
 def host_of(url: str) -> Column:
