@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from recurra.llm.byte_bpe import byte_characters
 from recurra.llm.common import map_batches, texts_of
+from recurra.llm.pieces import text_ids
 from recurra.session import stage
 
 #: Tokens (of A) from which a text is dealt to several lanes.
@@ -110,17 +111,16 @@ class TokensB:
     """A ``sentencepiece`` model at a path, which puts a space before the text itself."""
 
     def __init__(self, path: str):
-        import sentencepiece
-
-        self.library = m = sentencepiece.SentencePieceProcessor(model_file=path)
+        self.coder = text_ids(path)
+        m = self.coder.vocabulary.model
         pieces = [m.id_to_piece(i) for i in range(m.get_piece_size())]
         self.bytes = [
             bytes([int(p[3:5], 16)]) if m.is_byte(i) else p.replace("▁", " ").encode()
             for i, p in enumerate(pieces)
         ]
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return self.library.encode(texts, num_threads=1)
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        return self.coder.ids(texts)
 
 
 class Names:
@@ -149,10 +149,10 @@ class Pair:
             whole = (
                 text
                 and b"".join(map(self.a.bytes.__getitem__, a)) == data
-                and b"".join(map(self.b.bytes.__getitem__, b)) == data
+                and b"".join(map(self.b.bytes.__getitem__, b.tolist())) == data
             )
             out_a.append(np.array(a if whole else [], np.int64))
-            out_b.append(np.array(b if whole else [], np.int64))
+            out_b.append(b if whole else np.zeros(0, np.int64))
         return out_a, out_b
 
     def align(self, a: list[np.ndarray], b: list[np.ndarray]) -> "Alignment":

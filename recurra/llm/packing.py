@@ -12,13 +12,16 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from recurra.llm.common import map_batches, texts_of
-from recurra.llm.pieces import unit_ids, vocabulary
+from recurra.llm.common import free_name, map_batches, texts_of
+from recurra.llm.pieces import text_ids, vocabulary
 
 #: Bytes of text that go to one shard, about; a shard is packed in one task.
 SHARD_BYTES = 16 * 2**20
+#: What a row costs besides its text, in the same measure.
+ROW_BYTES = 64
 POSITION = np.dtype("<u4")
 
 
@@ -73,10 +76,13 @@ def best_fit_decreasing(lengths: list[int], capacity: int) -> list[int]:
 
 
 def encode_pieces(
-    docs: DataFrame, model: str, capacity: int, key: str = "doc_id", text: str = "text"
+    docs: DataFrame, model: str, capacity: int, key: str = "doc_id", text: str = "text",
+    place: str | None = None,
 ) -> DataFrame:
     """Per piece of a row: key, piece (number from 0), last (boolean), n_tokens, ids (binary).
 
+    ``place`` names a column of numbers that is to come along.
+
     Ids are little-endian unsigned integers of a sentencepiece model at path ``model``, 16 bits
     wide where its vocabulary allows, else 32.
     A text over ``capacity`` tokens is cut into full pieces and a rest, so pieces in order give
@@ -85,7 +91,7 @@ def encode_pieces(
     kind = docs.schema[key].dataType.simpleString()
 
     def cut(batch):
-        coder = unit_ids(model)
+        coder = text_ids(model)
         size = coder.vocabulary.id_type.itemsize
         out = {"at": [], "piece": [], "last": [], "n_tokens": [], "ids": []}
         for i, ids in enumerate(coder.encode(texts_of(batch, text))):
@@ -97,11 +103,13 @@ def encode_pieces(
                 out["last"].append(n == len(starts) - 1)
                 out["n_tokens"].append(len(part) // size)
                 out["ids"].append(part)
-        out[key] = batch.column(key).take(out.pop("at"))
-        return out
+        at = pa.array(out.pop("at"), pa.int64())
+        return out | {c: batch.column(c).take(at) for c in (key, place) if c}
 
     schema = f"`{key}` {kind}, piece long, last boolean, n_tokens int, ids binary"
-    return map_batches(docs.select(key, text), schema, cut)
+    if place:
+        schema += f", `{place}` long"
+    return map_batches(docs.select(*filter(None, (key, text, place))), schema, cut)
 
 
 def pack(
@@ -115,22 +123,26 @@ def pack(
     little-endian unsigned 32-bit integers. ``keys`` and ``pieces`` name the piece in each step. Pieces without tokens
     (of empty or null texts) are packed too and take no room, so every row of ``docs`` is in
     some packed row. Repeated rows are packed each; null keys are kept; other columns are left
-    out. Pieces of one text may lie in different shards, as pieces are dealt by a hash, which
-    spreads a very long text and any hot key.
+    out. Pieces of one text may lie in different shards: pieces are dealt by a hash of their key,
+    number and ids and of the row's place in the table, so neither a very long text nor any number
+    of rows alike makes a shard large.
     """
     kind = docs.schema[key].dataType.simpleString()
     if shards is None:
-        size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-        shards = max(1, math.ceil(size / SHARD_BYTES))
+        size, count = docs.agg(F.sum(F.octet_length(text)), F.count(F.lit(1))).first()
+        shards = max(1, math.ceil(((size or 0) + ROW_BYTES * count) / SHARD_BYTES))
     width = vocabulary(model).id_type
-    names = [key, "piece"]
-    pieces = encode_pieces(docs, model, capacity, key, text).withColumn(
-        "shard", F.pmod(F.xxhash64(*names), F.lit(shards))
+    place = free_name(docs.select(key), "place")
+    # The same however often a lost task reads its part of the table again.
+    placed = docs.select(key, text, F.monotonically_increasing_id().alias(place))
+    names = [key, "piece", place]
+    pieces = encode_pieces(placed, model, capacity, key, text, place).withColumn(
+        "shard", F.pmod(F.xxhash64(*names, "ids"), F.lit(shards))
     )
 
     def pack_shard(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(
-            ["n_tokens", *names], ascending=[False, True, True], kind="stable"
+            ["n_tokens", *names], ascending=[False, True, True, True], kind="stable"
         ).reset_index(drop=True)
         rows = np.array(best_fit_decreasing(frame["n_tokens"].tolist(), capacity))
         order = np.argsort(rows, kind="stable")

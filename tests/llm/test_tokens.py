@@ -46,7 +46,7 @@ def test_every_prefix_has_the_library_count(text):
 @settings(max_examples=300, deadline=None)
 @given(mixed)
 def test_units_give_the_ids_of_the_whole_text(text):
-    coder = pieces.unit_ids(MODEL)
+    coder = pieces.text_ids(MODEL)
     ids = np.frombuffer(coder.encode([text])[0], coder.vocabulary.id_type)
     assert ids.tolist() == coder.vocabulary.model.encode(text)
 
@@ -158,3 +158,27 @@ def test_packed_rows_hold_all_tokens(spark, library):
             assert sorted(parts[0]) == sorted(w[:64] for w in wanted)
             assert sum(len(x) for ps in parts for x in ps) == sum(map(len, wanted))
     assert packing.pack(docs.limit(0), MODEL).collect() == []
+
+
+def test_rows_alike_are_spread_over_the_shards(spark):
+    rows = [(None, "") for _ in range(1500)] + [(None, "one and the same text")] * 1500 + [
+        (i, f"text {i}") for i in range(3000)
+    ] + [(7, "again")] * 1500
+    packed = packing.pack(odd.documents(spark, rows), MODEL, capacity=64, shards=10)
+    sizes = [r[1] for r in packed.groupBy("shard").agg(F.sum(F.size("keys"))).collect()]
+    assert len(sizes) == 10 and sum(sizes) == len(rows)
+    assert max(sizes) < 1.25 * sorted(sizes)[5]
+
+
+def test_shards_grow_with_rows_that_have_no_text(spark):
+    rows = spark.range(packing.SHARD_BYTES // packing.ROW_BYTES * 2).select(
+        F.col("id").alias("doc_id"), F.lit(None).cast("string").alias("text")
+    )
+    assert packing.pack(rows, MODEL).select("shard").distinct().count() == 2
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.sampled_from(["a", "é", "ь", "日", "\U0001f600", "\U00010348", " ", "x1"]), max_size=30).map("".join))
+def test_characters_that_no_piece_holds(text):
+    coder = pieces.text_ids(MODEL)
+    assert coder.ids([text])[0].tolist() == coder.vocabulary.model.encode(text)
