@@ -73,15 +73,21 @@ def plan_dimension(spark: SparkSession, catalogue=None) -> DataFrame:
 
     Built from literals inside the plan, so Spark knows how small it is and broadcasts it.
     """
-    given = [f for f in DIM_PLAN.fields if f.name not in ("plan_sk", "is_active")]
-    rows = [
-        F.struct(F.lit(sk).alias("plan_sk"), *[
-            F.lit(value).cast(f.dataType).alias(f.name) for value, f in zip(plan, given)
-        ])
+    rows = ", ".join(
+        "({}, true)".format(", ".join(map(_literal, (sk, *plan))))
         for sk, plan in enumerate(catalogue or PLAN_CATALOGUE, start=1)
-    ]
-    plans = spark.range(1).select(F.inline(F.array(*rows)))
-    return enforce_schema(plans.withColumn("is_active", F.lit(True)), DIM_PLAN)
+    )
+    names = ", ".join(DIM_PLAN.names)
+    return enforce_schema(spark.sql(f"SELECT * FROM VALUES {rows} AS plans({names})"), DIM_PLAN)
+
+
+def _literal(value: str | int | None) -> str:
+    """A value in SQL; quotes and backslashes of a text stand for themselves."""
+    if value is None:
+        return "NULL"
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return str(value)
 
 
 def user_versions(states: DataFrame, hot: HotKeys | None = None) -> DataFrame:
