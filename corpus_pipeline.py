@@ -57,7 +57,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    root = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    root = f"{shared_dir(spark)}/recurra-pipeline-{uuid.uuid4().hex}"
     for name, stage in STAGES[:-1]:
         path = f"{root}/{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
