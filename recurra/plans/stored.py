@@ -62,8 +62,8 @@ def _bucket(buckets: int) -> Column:
 def absent_rows(rows: DataFrame, stored: DataFrame, key: Sequence[str], time: str) -> DataFrame:
     """One of the ``rows`` for each key that ``stored`` does not hold.
 
-    ``time`` is a date or time column that rows of one key agree in. Only the part of the stored
-    table within the rows' span of it is read.
+    ``time`` is a date or time column, never null, that rows of one key agree in. Only the part of
+    the stored table within the rows' span of it is read.
     """
     key = list(key)
     low, high = rows.agg(F.min(time), F.max(time)).first()
