@@ -287,8 +287,9 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     Overlapping spans become one, named after the first. Null texts stay null.
     """
     name = free_name(docs, "_spans")
-    model = fit_spans(docs.select(candidates(text).alias(name)), name)
-    found = docs.withColumn(name, candidates(text)).withColumn(name, kept(model, name))
+    # Written, as the candidates are dear to find and read twice: to fit and to replace.
+    found = stage(docs.withColumn(name, candidates(text)), "redacted")
+    found = found.withColumn(name, kept(fit_spans(found.select(name), name), name))
     merged = f"""aggregate(
         array_sort({name}, (a, b) -> CASE WHEN a.start != b.start THEN a.start - b.start
                                           ELSE b.end - a.end END),

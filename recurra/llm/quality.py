@@ -22,6 +22,9 @@ from recurra.session import stage
 #: Labelled rows to fit on, at most about; chosen by a hash of the id from all labelled rows.
 FIT_ROWS = 20_000
 
+#: Files of the (small) table that a model is fitted on.
+FIT_FILES = 2
+
 STATISTICS = (
     "log_chars", "log_words", "word_length", "longest_word", "distinct_words", "upper", "digits",
     "spaces", "stops", "bangs", "pipes", "symbols", "other_bytes", "line_words",
@@ -134,7 +137,10 @@ def fit_rules(
         F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(10**6)) < 10**6 * fit_rows / max(total, fit_rows)
     )
     rows = docs.select(key, text).join(F.broadcast(chosen), key)  # fit_rows ids and labels
-    rows = stage(with_statistics(rows, "_stats", text, ["_label"]), "quality-fit")
+    rows = with_statistics(rows, "_stats", text, ["_label"])
+    # In few files, as each of the many short passes of a fit has a task for each.
+    rows = stage(rows, "quality-statistics")
+    rows = stage(rows.coalesce(FIT_FILES), "quality-fit")
     ones, count = rows.agg(F.sum("_label"), F.count(F.lit(1))).first()
     if not count or ones in (0, count):
         share = (ones + 1) / (count + 2) if count else 0.5
@@ -148,22 +154,42 @@ def fit_rules(
         featureSubsetStrategy="onethird",
     ).fit(vectors)
     rules = _rules(forest)
-    marks = rows.select(
-        "_label", F.array(*[_holds(r, "_stats").cast("double") for r in rules]).alias("_marks")
-    ).withColumn("_x", _to_vector("_marks"))
     fitted = LogisticRegression(
-        featuresCol="_x", labelCol="_label", regParam=penalty, elasticNetParam=1.0, maxIter=60,
-        standardization=False,
-    ).fit(marks.select("_label", "_x"))
+        featuresCol="_x", labelCol="_label", weightCol="_weight", regParam=penalty,
+        elasticNetParam=1.0, maxIter=60, standardization=False,
+    ).fit(_weighted_marks(rows, rules))
     weights = fitted.coefficients.toArray()
     kept = tuple((r, float(w)) for r, w in zip(rules, weights) if w != 0)
     return RuleModel(float(fitted.intercept), kept)
 
 
-def _to_vector(name: str) -> Column:
+def _weighted_marks(rows: DataFrame, rules: list[Rule]) -> DataFrame:
+    """Which rules hold (``_x``) for each label, rows that agree in both as one with a weight."""
     from pyspark.ml.functions import array_to_vector
 
-    return array_to_vector(name)
+    def mark(batch):
+        statistics = batch.column("_stats")
+        values = {s: statistics.field(s).to_numpy(zero_copy_only=False) for s in STATISTICS}
+        held = np.ones((batch.num_rows, len(rules)), bool)
+        for i, rule in enumerate(rules):
+            for name, side, threshold in rule:
+                below = values[name] <= threshold
+                held[:, i] &= below if side == "<=" else ~below
+        packed = np.packbits(held, axis=1)
+        return {"_label": batch.column("_label"), "_held": [r.tobytes() for r in packed]}
+
+    def unpack(batch):
+        packed = np.array([np.frombuffer(b, np.uint8) for b in batch.column("_held").to_pylist()])
+        held = np.unpackbits(packed, axis=1)[:, : len(rules)].astype(float)
+        return {"_label": batch.column("_label"), "_weight": batch.column("_weight"),
+                "_marks": list(held)}
+
+    agreeing = map_batches(rows, "_label double, _held binary", mark).groupBy(
+        "_label", "_held"
+    ).agg(F.count(F.lit(1)).cast("double").alias("_weight"))
+    marks = map_batches(agreeing, "_label double, _weight double, _marks array<double>", unpack)
+    written = stage(marks.coalesce(FIT_FILES), "quality-marks")
+    return written.select("_label", "_weight", array_to_vector("_marks").alias("_x"))
 
 
 def score_quality(
