@@ -20,6 +20,7 @@ at once, until few move or its logarithm no longer rises by ``LEAST`` a token.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -416,6 +417,7 @@ def score(
     words, counts = most["word"].to_pylist(), most["c"].to_numpy()
     numbers = spark.sparkContext.broadcast(_Numbers(words))
     numbered = stage(_numbered(source, numbers, key, text), "lm-numbered")
+    numbers.destroy()
     if len(words) == head:
         rest = stage(_rest(vocabulary, int(counts[-1]), words[-1], head + 1), "lm-rest")
         more = rest.select("number", "c").toArrow()
@@ -437,23 +439,30 @@ def score(
         plain = np.where(now < len(model.home) - 1, np.log10(model.count[now] + 1), 0.0)
         return {
             "row": batch.column("row"), "key": batch.column("key"),
-            "held_out": batch.column("held_out"), "n_tokens": sizes.astype(np.int64),
+            "held_out": batch.column("held_out"), "singles": batch.column("singles"),
+            "n_tokens": sizes.astype(np.int64),
             "known": np.add.reduceat((model.count[now] > 0).astype(np.int64), starts),
             "plain": np.add.reduceat(plain, starts), "logs": np.add.reduceat(logs, starts),
         }
 
     kind = numbered.schema["key"].dataType.simpleString()
+    # All repeated words have a number, so another word of a row that is learnt from was seen once,
+    # there; only those of the rows held out are looked up.
+    singles = F.when(F.col("held_out"), 0).otherwise(F.size("tail")).cast("long")
     heads = map_batches(
-        numbered.select("row", "key", "held_out", "ids"),
-        f"`row` long, key {kind}, held_out boolean, n_tokens long, known long, plain double,"
-        " logs double", per_text,
+        numbered.select("row", "key", "held_out", "ids", singles.alias("singles")),
+        f"`row` long, key {kind}, held_out boolean, singles long, n_tokens long, known long,"
+        " plain double, logs double", per_text,
     )
     tail = (
-        numbered.select("row", F.explode("tail").alias("word")).groupBy("row", "word")
+        numbered.where("held_out").select("row", F.explode("tail").alias("word"))
+        .groupBy("row", "word")
         .agg(F.count(F.lit(1)).alias("n"))
         .join(vocabulary, "word", "left").withColumn("c", F.coalesce("c", F.lit(0)))
     )
-    seen = F.log10(F.lit(1 - model.unseen) * F.col("c") / F.lit(max(1.0, model.tail_count)))
+    # Without words of this kind their share is nothing, and nobody asks for it.
+    once = math.log10((1 - model.unseen) / model.tail_count) if model.tail_count else 0.0
+    seen = F.log10(F.col("c")) + F.lit(once)
     new = F.log10(F.lit(model.unseen / model.unseen_words))
     tails = tail.groupBy("row").agg(
         F.sum(F.when(F.col("c") > 0, F.col("n"))).alias("tail_known"),
@@ -462,14 +471,14 @@ def score(
     )
     both = heads.join(tails, "row", "left")
 
-    def plus(a: str, b: str):
-        return F.col(a) + F.coalesce(F.col(b), F.lit(0))
+    def plus(a: str, b: str, single: float = 1):
+        return F.col(a) + F.coalesce(F.col(b), F.lit(0)) + F.col("singles") * F.lit(single)
 
     each = F.lit(float(np.log10(model.total + model.distinct + 1)))
     return both.select(
         F.col("key").alias(key), "held_out", "n_tokens",
         plus("known", "tail_known").alias("n_known"),
         F.lit(model.total).cast("long").alias("train_tokens"),
-        (plus("plain", "tail_plain") - F.col("n_tokens") * each).alias("base_score"),
-        plus("logs", "tail_logs").alias("score"),
+        (plus("plain", "tail_plain", math.log10(2)) - F.col("n_tokens") * each).alias("base_score"),
+        plus("logs", "tail_logs", once).alias("score"),
     )

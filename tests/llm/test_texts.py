@@ -328,3 +328,37 @@ def test_exchange_of_all_words_counts_all_neighbours(spark):
     got = dict(zip(*brown_lm._exchange_all(numbered, home, table)))
     wanted = brown_lm.likely_classes(near[0, 1:head], near[1, 1:head], table)
     assert [got[w] for w in range(1, head)] == list(wanted)
+
+
+@pytest.mark.parametrize("head", [200_000, 30])
+def test_lm_score_is_recomputed_from_the_classes(spark, monkeypatch, head):
+    """Token by token from the fitted tables: words seen twice have numbers, by count and bytes."""
+    fitted, fit = [], brown_lm.fit
+    monkeypatch.setattr(brown_lm, "fit", lambda *a, **k: fitted.append(fit(*a, **k)) or fitted[-1])
+    docs = read(spark, DATA, "documents").where("length(text) < 2000")
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    rows += [(None, None), (5001, ""), (5002, "never seen before words"), (5002, "A b A b")]
+    got = brown_lm.score(odd.documents(spark, rows), head=head, exchanged=50, classes=8).collect()
+    model, = fitted
+    held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2
+    counts = Counter(w for i, t in rows if not held(i) for w in lm_tokens(t))
+    numbered = sorted((w for w in counts if counts[w] > 1), key=lambda w: (-counts[w], w.encode()))
+    number = {w: i + 1 for i, w in enumerate(numbered)}
+    singles = sum(c for c in counts.values() if c == 1)
+    wanted = []
+    for key, text in rows:
+        total, before = 0.0, 0
+        for word in [*lm_tokens(text), None]:
+            now = 0 if word is None else number.get(word, len(number) + 1)
+            total += model.step[model.home[before], model.home[now]]
+            if now <= len(number):
+                total += model.emission[now]
+            elif counts[word]:
+                total += math.log10((1 - model.unseen) / singles)
+            else:
+                total += math.log10(model.unseen / model.unseen_words)
+            before = now
+        wanted.append((key or 0, len(lm_tokens(text)), total))
+    found = sorted((r.doc_id or 0, r.n_tokens - 1, r.score) for r in got)
+    assert [x[:2] for x in found] == [x[:2] for x in sorted(wanted)]
+    assert [x[2] for x in found] == pytest.approx([x[2] for x in sorted(wanted)])
