@@ -9,12 +9,19 @@ enough to look at windows that begin with a shingle of some item.
 Windows and items get 64-bit SimHash fingerprints. Fingerprints within ``RADIUS`` bits differ
 in at most two bits in one of eight blocks, so equality of a block with one of its variants of
 up to two flipped bits finds all of them. At similarity 0.8 about ten bits differ (deviation 3),
-so no similar pair is outside the radius but with a chance of some 1e-6. What is found is
-verified exactly.
+and more than ``RADIUS`` with a chance of 2e-5 for long items and 4e-4 for the shortest. So each
+text has ``PRINTS`` fingerprints of hashes independent of each other, and a similar pair is lost
+only if it is outside the radius in all of them: with a chance of 4e-10 for long items, and of
+2e-7 for the shortest. What is found is verified exactly.
+
+An item of fewer than five words is one shingle of that length. A window of a document is as
+similar as 0.8 only if it is the same run of words, so these items are looked up as they are.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from recurra.llm.common import free_name, row_key
@@ -24,6 +31,8 @@ WORDS = 5
 BLOCKS, BLOCK_BITS, FLIPS = 8, 8, 2
 #: Within it some block of eight differs in at most FLIPS bits.
 RADIUS = BLOCKS * (FLIPS + 1) - 1
+#: Fingerprints of each window and item.
+PRINTS = 2
 
 
 def shingles(text: str) -> Column:
@@ -41,6 +50,25 @@ def shingles(text: str) -> Column:
         )[0]""").cast("array<bigint>")
 
 
+def short_runs(text: str, lengths: list[int]) -> Column:
+    """Hashes of all runs of as many words as one of ``lengths`` (under five) says, each once."""
+    runs = ", ".join(
+        "if(size(w) < {n}, array(), transform(sequence(1, size(w) - {m}), i -> xxhash64({n}, {run})))"
+        .format(n=n, m=n - 1, run=", ".join(f"element_at(w, i + {j})" for j in range(n)))
+        for n in lengths
+    )
+    return F.expr(rf"""
+        transform(
+            array(array_remove(split(lower(coalesce({text}, '')), '[^\\p{{L}}\\p{{N}}]+'), '')),
+            w -> array_distinct(concat({runs})))[0]""")
+
+
+def word_count(text: str) -> Column:
+    return F.expr(
+        rf"size(array_remove(split(lower(coalesce({text}, '')), '[^\\p{{L}}\\p{{N}}]+'), ''))"
+    )
+
+
 def simhash(hashes: str) -> Column:
     """The bits that more than half of a list of 64-bit hashes have set.
 
@@ -57,6 +85,17 @@ def simhash(hashes: str) -> Column:
             0L, (a, b) -> a | b)""")
 
 
+def fingerprints(hashes: str) -> Column:
+    """Structs of number (``print``) and SimHash (``bits``), each of hashes of their own."""
+    return F.array(*[
+        F.struct(
+            F.lit(k).alias("print"),
+            simhash(hashes if k == 0 else f"transform({hashes}, x -> xxhash64(x, {k}))").alias("bits"),
+        )
+        for k in range(PRINTS)
+    ])
+
+
 def multiset(hashes: str) -> Column:
     """The list with its second, third, ... occurrence of a hash told apart from the first."""
     return F.expr(f"""
@@ -92,8 +131,8 @@ def contaminated(
     """Per document and item of similarity ``threshold`` or more: key, item key, similarity.
 
     The similarity is that of the document's best window; a document with fewer shingles than
-    the item is one window. Texts under five words, empty and null ones have no shingle and
-    match nothing. Rows of ``docs`` or ``items`` with the same key (null is one too) give one
+    the item is one window. Items under five words are found where a document has the same run
+    of words; empty and null texts, and those without a word, match nothing. Rows of ``docs`` or ``items`` with the same key (null is one too) give one
     row, the best; other columns are left out, so none can clash; empty tables give no row.
 
     The items' tables are written first, so Spark knows their size when it plans the joins and
@@ -121,7 +160,7 @@ def _matches(docs, items, threshold, keys, text, item_key, item_text) -> DataFra
         items.select(F.col(item_key).alias("item"), shingles(item_text).alias("h"))
         .where(F.size("h") > 0).distinct()
         .select(
-            "item", "h", F.size("h").alias("n"), simhash("h").alias("item_bits"),
+            "item", "h", F.size("h").alias("n"), fingerprints("h").alias("prints"),
             multiset("h").alias("item_set"), F.xxhash64("h").alias("copy"),
         ),
         "decontaminate-items",
@@ -130,12 +169,12 @@ def _matches(docs, items, threshold, keys, text, item_key, item_text) -> DataFra
         known.select(F.explode("h").alias("x"), "n").distinct(), "decontaminate-shingles"
     )
     index = stage(
-        known.select("n", "item_bits", "copy")
-        .distinct()
+        known.dropDuplicates(["copy"])
+        .select("n", F.inline("prints").alias("print", "item_bits"), "copy")
         .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1))))
         .withColumn("flip", F.explode(F.array(*map(F.lit, _flips()))))
         .select(
-            "n", "block", "item_bits", "copy",
+            "n", "print", "block", "item_bits", "copy",
             _block(F.col("item_bits"), F.col("block")).bitwiseXOR(F.col("flip")).alias("value"),
         ),
         "decontaminate-index",
@@ -158,29 +197,54 @@ def _matches(docs, items, threshold, keys, text, item_key, item_text) -> DataFra
     )
     windows = (
         near.join(at, "_row")
-        .select("_row", F.explode(F.expr(
-            "transform(starts, s -> struct(s.n AS n, slice(h, s.at + 1, s.n) AS h))"
-        )).alias("w"))
-        .select("_row", "w.n", "w.h")
+        # One start after the other, so that a row never holds more than one window.
+        .select("_row", "h", F.explode("starts").alias("s"))
+        .select("_row", "s.n", F.expr("slice(h, s.at + 1, s.n)").alias("h"))
         # Similarity cannot reach the threshold if the text ends too early.
         .where(F.size("h") >= threshold * F.col("n"))
-        .select("_row", "n", simhash("h").alias("bits"), multiset("h").alias("set"))
+        .select("_row", "n", F.element_at("h", 1).alias("x"), fingerprints("h").alias("prints"),
+                multiset("h").alias("set"))
+        .select("_row", "n", "x", "set", F.inline("prints").alias("print", "bits"))
     )
     difference = F.col("bits").bitwiseXOR(F.col("item_bits"))
     candidates = (
         windows.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1))))
         .withColumn("value", _block(F.col("bits"), F.col("block")))
-        .join(index, ["n", "block", "value"])
+        .join(index, ["n", "print", "block", "value"])
         .where((F.bit_count(difference) <= RADIUS) & ~_found_before(F.col("block"), difference))
-        .select("_row", "copy", "set")
+        .select("_row", "copy", "set", "x")
     )
     both = F.size(F.array_intersect("set", "item_set"))
     similar = (
         candidates.join(known.select("copy", "item", "item_set"), "copy")
+        .where(F.array_contains("item_set", F.col("x")))
         .select("_row", "item", (both / (F.size("set") + F.size("item_set") - both)).alias("similarity"))
         .where(F.col("similarity") >= threshold)
         .groupBy("_row", F.col("item").alias(item_key)).agg(F.max("similarity").alias("similarity"))
     )
+    similar = similar.unionByName(_same_runs(rows, items, item_key, item_text))
     if not keys:
         return similar
     return rows.select(*keys, "_row").join(similar, "_row")
+
+
+def _same_runs(rows: DataFrame, items: DataFrame, item_key: str, item_text: str) -> DataFrame:
+    """Rows that hold an item of fewer than five words: a key of the text, item key, 1."""
+    named = items.select(F.col(item_key).alias("item"), F.col(item_text).alias("item_words"))
+    few = named.where(word_count("item_words").between(1, WORDS - 1))
+    lengths = sorted(r[0] for r in few.select(word_count("item_words")).distinct().collect())
+    if not lengths:  # at most four
+        return rows.sparkSession.createDataFrame(
+            [], "_row struct<a: bigint, b: int>, item long, similarity double"
+        ).select("_row", F.col("item").cast(named.schema["item"].dataType).alias(item_key), "similarity")
+    runs = [
+        few.where(word_count("item_words") == n).select(
+            "item", F.explode(short_runs("item_words", [n])).alias("x"))
+        for n in lengths
+    ]
+    known = stage(reduce(DataFrame.unionByName, runs).distinct(), "decontaminate-short")
+    return (
+        rows.select("_row", F.explode(short_runs("_text", lengths)).alias("x"))
+        .join(known, "x").select("_row", F.col("item").alias(item_key), F.lit(1.0).alias("similarity"))
+        .distinct()
+    )

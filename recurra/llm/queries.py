@@ -131,6 +131,12 @@ sized AS (
 )
 SELECT doc_id, item_id, max(shared / (size + n - shared)) AS similarity
 FROM sized WHERE shared / (size + n - shared) >= 0.8 GROUP BY doc_id, item_id
+UNION ALL
+SELECT DISTINCT d.id, i.id, 1.0 FROM words i JOIN (
+    SELECT id, l, array_to_string(w[p : p + l - 1], ' ') AS x
+    FROM (SELECT *, unnest(range(1, len(w) - l + 2)) AS p
+          FROM (SELECT *, unnest([1, 2, 3, 4]) AS l FROM words WHERE kind = 'd'))
+) d ON i.kind = 'i' AND len(i.w) = d.l AND array_to_string(i.w, ' ') = d.x
 """
 
 

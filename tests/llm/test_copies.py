@@ -134,7 +134,11 @@ def leaks(rows, items, threshold=0.8):
     for key, text in rows:
         doc = runs(cut(text))
         for item, passage in items:
-            own = runs(cut(passage))
+            own, words, short = runs(cut(passage)), cut(text), cut(passage)
+            if 0 < len(short) < 5 and any(
+                words[i : i + len(short)] == short for i in range(len(words))
+            ):
+                out[key, item] = 1.0
             if own and doc:
                 best = max(
                     similarity(Counter(doc[s : s + len(own)]), Counter(own))
@@ -174,6 +178,31 @@ def test_leaks_are_those_of_all_windows(spark):
     assert decontaminate.drop_contaminated(docs, bench.limit(0)).count() == len(rows)
 
 
+def test_items_under_five_words_are_found_as_they_are(spark):
+    items = [(1, "Short item, four words"), (2, "four"), (3, "日本"), (4, "four WORDS"), (5, "!!"),
+             (6, "a b"), (None, "none")]
+    rows = [(1, "A short item: four words here"), (1, "short item four"), (2, "Four."), (3, "fourwords"),
+            (4, "words four"), (5, "b a b a"), (6, None), (7, ""), (8, "日本"), (9, "日本語"),
+            (None, "none"), (10, "short item four word")]
+    docs = odd.clashing(odd.documents(spark, rows))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id): r.similarity for r in decontaminate.contaminated(docs, bench).collect()}
+    assert found == leaks(rows, items)
+    assert len(found) == 9
+    kept = {(r.doc_id, r.text) for r in decontaminate.drop_contaminated(docs, bench).collect()}
+    assert kept == {(k, t) for k, t in rows if not leaks([(k, t)], items)}
+
+
+def test_no_text_that_ends_short_of_an_item_is_lost(spark):
+    """Items of nine words and texts that end after their first eight: similarity 0.8 exactly."""
+    items = [(i, " ".join(f"w{i}x{j}" for j in range(9))) for i in range(4000)]
+    rows = [(i, f"before {t.rsplit(' ', 1)[0]}") for i, t in items]
+    bench = spark.createDataFrame(items, "item_id long, text string").repartition(8)
+    docs = odd.documents(spark, rows).repartition(8)
+    found = decontaminate.contaminated(docs, bench)
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == {(i, i) for i, _ in items}
+
+
 def test_the_radius_is_found_through_blocks():
     rng = random.Random(1)
     for _ in range(2000):
