@@ -18,9 +18,12 @@ import hashlib
 import json
 import os
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from recurra.llm.byte_bpe import byte_characters
@@ -32,9 +35,10 @@ from recurra.session import stage
 LANE_TOKENS = 256
 #: Frequent pairs (of 24 bytes) that every task holds; none of the rest can be a hot key.
 HEAD_PAIRS = 500_000
-#: Texts merged at once.
-BATCH_TEXTS = 500
+#: Bytes of text merged at once, but for a text that is longer by itself.
+BATCH_BYTES = 4 * 2**20
 PAIR_BITS = 32
+ROWS = 10_000
 
 
 # Fixed value: how a byte-level pre-tokenizer with its own expression cuts a text.
@@ -305,6 +309,15 @@ def _offsets_of(last: np.ndarray) -> np.ndarray:
 # --- over a corpus --------------------------------------------------------------------------
 
 
+def _parts(batch: pa.RecordBatch, text: str, size: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with about ``size`` bytes of text each."""
+    lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(lengths.astype(np.int64)) // size
+    bounds = np.flatnonzero(np.diff(part, prepend=-1, append=-1))
+    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+        yield batch.slice(a, b - a)
+
+
 def _aligned(path_a: str, path_b: str, batch, text: str) -> Alignment:
     coders = pair(path_a, path_b)
     return coders.align(*coders.encode(texts_of(batch, text)))
@@ -322,11 +335,12 @@ def align(
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batch):
-        made = _aligned(path_a, path_b, batch, text)
-        return {key: batch.column(key), "groups": made.groups()}
+        for part in _parts(batch, text):
+            made = _aligned(path_a, path_b, part, text)
+            yield {key: part.column(key), "groups": made.groups()}
 
     schema = f"`{key}` {kind}, groups array<struct<a: array<int>, b: array<int>, end: long>>"
-    return map_batches(docs.select(key, text), schema, run, BATCH_TEXTS)
+    return map_batches(docs.select(key, text), schema, run, ROWS)
 
 
 def _encoded(docs: DataFrame, path_a: str, path_b: str, key: str, text: str) -> DataFrame:
@@ -334,19 +348,21 @@ def _encoded(docs: DataFrame, path_a: str, path_b: str, key: str, text: str) ->
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batch):
-        made = _aligned(path_a, path_b, batch, text)
-        of, both, times = made.pairs()
-        bounds = np.searchsorted(of, np.arange(batch.num_rows + 1))
-        spans = list(zip(bounds[:-1], bounds[1:]))
-        return {
-            "id": batch.column("id"),
-            "n_a": made.n_a, "n_b": made.n_b, "n_groups": made.n_groups, "n_links": made.n_links,
-            "groups_sha256": [
-                hashlib.sha256(w.encode()).hexdigest() if w else "" for w in made.written()
-            ],
-            "pairs": [both[p:q] for p, q in spans],
-            "times": [times[p:q] for p, q in spans],
-        }
+        for part in _parts(batch, "text"):
+            made = _aligned(path_a, path_b, part, "text")
+            of, both, times = made.pairs()
+            bounds = np.searchsorted(of, np.arange(part.num_rows + 1))
+            spans = list(zip(bounds[:-1], bounds[1:]))
+            yield {
+                "id": part.column("id"),
+                "n_a": made.n_a, "n_b": made.n_b, "n_groups": made.n_groups,
+                "n_links": made.n_links,
+                "groups_sha256": [
+                    hashlib.sha256(w.encode()).hexdigest() if w else "" for w in made.written()
+                ],
+                "pairs": [both[p:q] for p, q in spans],
+                "times": [times[p:q] for p, q in spans],
+            }
 
     schema = (
         f"id {kind}, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
@@ -354,7 +370,7 @@ def _encoded(docs: DataFrame, path_a: str, path_b: str, key: str, text: str) ->
     )
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
     # Numbered as written, so a row keeps its number however often it is read.
-    return map_batches(rows, schema, run, BATCH_TEXTS).withColumn(
+    return map_batches(rows, schema, run, ROWS).withColumn(
         "row", F.monotonically_increasing_id()
     )
 

@@ -143,3 +143,18 @@ def test_head_limit(spark):
     assert alignment.head_limit(counts, 3) == 8
     assert alignment.head_limit(counts, 9) == 2
     assert alignment.head_limit(counts, 100) == 1
+
+
+def test_batches_are_parted_by_bytes():
+    import pyarrow as pa
+
+    texts = ["x" * 10, None, "é" * 30, "", "y" * 5, "z" * 200, "a", None]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts), "n": list(range(8))})
+    parts = list(alignment._parts(batch, "text", 40))
+    assert [n for p in parts for n in p.column("n").to_pylist()] == list(range(8))
+    assert len(parts) > 2 and all(
+        p.num_rows == 1 or sum(len((t or "").encode()) for t in p.column("text").to_pylist()) <= 250
+        for p in parts
+    )
+    empty = batch.slice(0, 0)
+    assert list(alignment._parts(empty, "text")) == []
