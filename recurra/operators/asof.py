@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from recurra.operators.hotkeys import HotKeys, find_hot_keys
+from recurra.operators.hotkeys import HotKeys, by_user, find_hot_keys
 from recurra.operators.ordered import Latest, ordered
 
 _AT, _KIND, _SEQ = "__at", "__kind", "__seq"
@@ -51,11 +51,11 @@ def resolve_versions(
     # usual case, after another scan) are merged with them without a second shuffle. Those of
     # a hot user would meet in one task, and go to their slices straight away.
     changes = (
-        hot.cold(changes).repartition("user_id").unionByName(hot.hot(changes)) if hot
-        else changes.repartition("user_id")
+        by_user(hot.cold(changes), hot).unionByName(hot.hot(changes)) if hot
+        else by_user(changes, hot)
     )
     # Sorted ahead of everything, so that every row of the user can fall back to it.
-    fallback = newest.select("user_id", F.lit(0).alias(_KIND), "__last")
+    fallback = hot.dealt(newest.select("user_id", F.lit(0).alias(_KIND), "__last"))
     merged = rows.unionByName(changes, allowMissingColumns=True).unionByName(
         fallback, allowMissingColumns=True
     )

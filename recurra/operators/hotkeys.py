@@ -12,15 +12,21 @@ from recurra.session import HOT_KEY_ROWS
 # A group below FLOOR rows always fits one task; above CEILING it never should.
 FLOOR, CEILING = 100_000, 5_000_000
 
+# Rows that a task takes of a table hashed by key, about: beyond, there are more partitions.
+TASK_ROWS = 250_000
+
 
 class HotKeys:
     """The keys holding more than ``rows`` rows; at most ``total / rows`` of them.
 
-    ``slices`` is how many cuts bring their rows back under that limit.
+    ``slices`` is how many cuts bring their rows back under that limit. ``partitions`` is how
+    many tasks the other rows are dealt to by key; None leaves that to Spark.
     """
 
-    def __init__(self, key: Sequence[str], rows: int, keys: DataFrame | None, slices: int = 0):
+    def __init__(self, key: Sequence[str], rows: int, keys: DataFrame | None, slices: int = 0,
+                 partitions: int | None = None):
         self.key, self.rows, self.keys, self.slices = list(key), rows, keys, slices
+        self.partitions = partitions
 
     def __bool__(self) -> bool:
         return self.keys is not None
@@ -28,7 +34,13 @@ class HotKeys:
     def of_finer(self, key: Sequence[str]) -> "HotKeys | None":
         """For a key that splits this one further: none is hot if none is here, else it
         is not known."""
-        return None if self else HotKeys(key, self.rows, None)
+        return None if self else HotKeys(key, self.rows, None, partitions=self.partitions)
+
+    def dealt(self, df: DataFrame) -> DataFrame:
+        """``df`` hashed by key to as many partitions as the rows counted need, so that what a
+        task holds does not grow with the table; Spark leaves out a shuffle that changes nothing.
+        """
+        return df if self.partitions is None else df.repartition(self.partitions, *self.key)
 
     def cold(self, df: DataFrame) -> DataFrame:
         return df if self.keys is None else self._join(df, "left_anti")
@@ -56,17 +68,30 @@ def find_hot_keys(df: DataFrame, key: Sequence[str], rows: int | None = None) ->
     sizes = df.groupBy(*key).agg(F.count(F.lit(1)).alias("__rows"))
     top = sizes.agg(F.sum("__rows").alias("total"), F.max("__rows").alias("top")).first()
     total, largest = top["total"] or 0, top["top"] or 0
+    shuffled = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = partitions_for(total, shuffled) if total > TASK_ROWS else None
     if rows is None:
         named = spark.conf.get(HOT_KEY_ROWS, None)
-        share = total // (2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+        share = total // (2 * shuffled)
         rows = int(named) if named else min(CEILING, max(FLOOR, share))
     if largest <= rows:
-        return HotKeys(key, rows, None)
+        return HotKeys(key, rows, None, partitions=partitions)
     found = sizes.where(F.col("__rows") > rows)
     listed = found.collect()  # at most total / rows entries
     slices = -(-sum(r["__rows"] for r in listed) // rows)
     keys = spark.createDataFrame([tuple(r)[:-1] for r in listed], found.drop("__rows").schema)
-    return HotKeys(key, rows, keys, slices)
+    return HotKeys(key, rows, keys, slices, partitions)
+
+
+def by_user(df: DataFrame, hot: HotKeys | None) -> DataFrame:
+    """``df`` hashed by user like the rows whose hot users these are."""
+    dealt = hot is not None and hot.partitions is not None
+    return hot.dealt(df) if dealt else df.repartition("user_id")
+
+
+def partitions_for(rows: int, least: int, task_rows: int | None = None) -> int:
+    """Partitions for so many rows: ``least`` of them, or as many as keep a task's rows bounded."""
+    return max(least, -(-rows // (task_rows or TASK_ROWS)))
 
 
 def lookup(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner",

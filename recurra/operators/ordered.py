@@ -110,14 +110,14 @@ def ordered(df: DataFrame, key: Sequence[str], order: Sequence[str],
     """Put ``df`` in ``order`` within ``key``; pass ``hot`` when it is already known."""
     hot = find_hot_keys(df, key) if hot is None else hot
     if not hot:
-        return Ordered(df, None, key, order)
+        return Ordered(hot.dealt(df), None, key, order)
     cut = (
         hot.hot(df)
         .repartitionByRange(hot.slices, *key, *order)
         .withColumn(SLICE, F.spark_partition_id())
     )
     # Written once, so that slice numbers stay the same for every later read.
-    return Ordered(hot.cold(df), stage(cut, "slices"), key, order)
+    return Ordered(hot.dealt(hot.cold(df)), stage(cut, "slices"), key, order)
 
 
 def _scan(df: DataFrame, key: list[str], order: list[str], ops: dict[str, Op]) -> DataFrame:
