@@ -6,8 +6,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from recurra.operators.hotkeys import partitions_for
 from recurra.session import stage
 
+# Rows that a task sorts, about: beyond, there are more partitions.
+TASK_ROWS = 500_000
+
+_AT, _PART, _PLACE = "__at", "__part", (1 << 33) - 1
+
 
 def number_rows(df: DataFrame, order: Sequence[str], name: str, first: int = 1) -> DataFrame:
     """Add ``name`` = first, first+1, ... in ``order``, without a one-task sort.
@@ -15,26 +21,44 @@ def number_rows(df: DataFrame, order: Sequence[str], name: str, first: int = 1)
     Rows are range partitioned and sorted, so the generated id holds the partition
     number (upper bits) and the place within it (lower 33 bits). The table is written
     once, the partition sizes are summed up, and each row adds its partition's offset.
+    Finding the ranges reads the rows once more, so they are written before that, too.
     """
-    placed = (
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn("__at", F.monotonically_increasing_id())
+    rows = stage(df, "to-number")
+    return _numbered(in_ranges(rows, order).sortWithinPartitions(*order), [], name, first)
+
+
+def number_within(df: DataFrame, group: str, key: str, name: str, first: int = 1) -> DataFrame:
+    """``number_rows`` in the order of ``group`` and ``key`` for rows that are in ranges of ``key``
+    already: they are sorted where they are. There are to be few groups."""
+    return _numbered(df.sortWithinPartitions(group, key), [group], name, first)
+
+
+def in_ranges(written: DataFrame, order: Sequence[str]) -> DataFrame:
+    """A written table in ranges of ``order``, as many as its rows need."""
+    spark = written.sparkSession
+    rows, shuffled = written.count(), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if rows <= TASK_ROWS:
+        return written.repartitionByRange(*order)
+    return written.repartitionByRange(partitions_for(rows, shuffled, TASK_ROWS), *order)
+
+
+def _numbered(placed: DataFrame, group: list[str], name: str, first: int) -> DataFrame:
+    """Number sorted partitions: by group, then partition, then place."""
+    written = stage(placed.withColumn(_AT, F.monotonically_increasing_id()), "numbered")
+    part = F.shiftrightunsigned(_AT, 33)
+    sizes = written.groupBy(*group, part.alias(_PART)).agg(
+        F.count(F.lit(1)).alias("__size"), F.min(F.col(_AT).bitwiseAND(F.lit(_PLACE))).alias("__from")
     )
-    written = stage(placed, "numbered")
-    part = F.shiftrightunsigned("__at", 33)
-    sizes = written.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__size"))
-    # One row per written partition from here on.
-    earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per written partition and group from here on.
+    earlier = Window.orderBy(*group, _PART).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
-        "__part", F.coalesce(F.sum("__size").over(earlier), F.lit(0)).alias("__offset")
+        *group, _PART,
+        (F.coalesce(F.sum("__size").over(earlier), F.lit(0)) - F.col("__from")).alias("__offset"),
     )
-    place = F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
+    place = F.col(_AT).bitwiseAND(F.lit(_PLACE))
+    columns = [c for c in written.columns if c != _AT]
     return (
-        written.withColumn("__part", part)
-        .join(F.broadcast(offsets), "__part")
-        .select(
-            (F.col("__offset") + place + F.lit(first)).cast("long").alias(name),
-            *df.columns,
-        )
+        written.withColumn(_PART, part)
+        .join(F.broadcast(offsets), [*group, _PART])
+        .select((F.col("__offset") + place + F.lit(first)).cast("long").alias(name), *columns)
     )

@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from recurra.functions.calendar import date_sk, index_of, month_end, month_index, month_sk
 from recurra.functions.pricing import monthly_mrr
 from recurra.operators.asof import resolve_plan_sk, resolve_versions
-from recurra.operators.hotkeys import HotKeys, lookup
-from recurra.operators.numbering import number_rows
+from recurra.operators.hotkeys import HotKeys, by_user, lookup
+from recurra.operators.numbering import in_ranges, number_rows, number_within
 from recurra.operators.ordered import Earlier, Later, ordered
 from recurra.schemas import FACT_EVENTS, FACT_SNAPSHOT, MONEY, RAW_EVENT, enforce_schema
 from recurra.session import stage
@@ -80,14 +80,15 @@ def monthly_states(events: DataFrame, start_year: int, end_year: int,
     one aggregate row per user and month is enough to carry the state forward.
     """
     first, last = index_of(start_year, 1), index_of(end_year, 12)
-    return _recorded(_moved(events, first, last, users, hot), users, first, last)
+    return _recorded(_moved(events, first, last, users, hot), users, first, last, hot)
 
 
 def states_of_months(
     events: DataFrame, first: int, last: int, users: DataFrame | None = None,
     hot: HotKeys | None = None, opening: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Monthly states of the months from index ``first`` to ``last``, and each user's state after.
+    """Monthly states of the months from index ``first`` to ``last``, in ranges of the user, and
+    each user's state after.
 
     ``opening`` is what an earlier call has returned second for the months before; then only
     later events are needed, and just users that are active or have events are looked at.
@@ -108,7 +109,7 @@ def states_of_months(
     ).select("user_id", "state.*")
     if opening is not None:
         closing = closing.unionByName(opening.join(closing.select("user_id"), "user_id", "left_anti"))
-    return _recorded(moved, users, first, last), closing
+    return _recorded(moved, users, first, last, hot, in_order=True), closing
 
 
 def _known_users(events: DataFrame, users: DataFrame | None, hot: HotKeys | None) -> DataFrame:
@@ -132,12 +133,13 @@ def _moved(events: DataFrame, first: int, last: int, users: DataFrame | None,
             F.lit(False).alias("cancelled"), zero.alias("gain"), zero.alias("loss"),
             F.col("cumulative").alias("revenue"), zero.alias("discount"), "plan_sk",
         ))
-    return _carry_forward(totals)
+    return _carry_forward(totals if hot is None else hot.dealt(totals))
 
 
-def _recorded(moved: DataFrame, users: DataFrame | None, first: int, last: int) -> DataFrame:
-    """Monthly states from those after months with events."""
-    months = _spread(moved, users, first, last).where(F.col("month") >= first)
+def _recorded(moved: DataFrame, users: DataFrame | None, first: int, last: int,
+              hot: HotKeys | None, in_order: bool = False) -> DataFrame:
+    """Monthly states from those after months with events; ``in_order`` in ranges of the user."""
+    months = _spread(moved, users, first, last, hot, in_order).where(F.col("month") >= first)
     month, state, quiet = F.col("month"), F.col("state"), F.col("quiet")
 
     def only_in_month(name: str):
@@ -166,22 +168,31 @@ def monthly_snapshot(events: DataFrame, users: DataFrame, start_year: int = 2023
                      end_year: int = 2025, hot: HotKeys | None = None) -> DataFrame:
     """The snapshot fact: monthly states with the user version at month end, numbered by
     month and user."""
-    states = monthly_states(events, start_year, end_year, users, hot)
-    numbered = number_rows(states, ["snapshot_month_sk", "user_id"], "snapshot_sk")
-    return enforce_schema(numbered, FACT_SNAPSHOT)
+    first, last = index_of(start_year, 1), index_of(end_year, 12)
+    moved = _moved(events, first, last, users, hot)
+    return number_states(_recorded(moved, users, first, last, hot, in_order=True))
+
 
+def number_states(states: DataFrame, first: int = 1) -> DataFrame:
+    """The snapshot from states in ranges of the user, numbered by month and user."""
+    return enforce_schema(
+        number_within(states, "snapshot_month_sk", "user_id", "snapshot_sk", first), FACT_SNAPSHOT
+    )
 
-def _spread(moved: DataFrame, users: DataFrame | None, first: int, last: int) -> DataFrame:
+
+def _spread(moved: DataFrame, users: DataFrame | None, first: int, last: int,
+            hot: HotKeys | None, in_order: bool) -> DataFrame:
     """One row per user and month to record, with the state and user version it has.
 
     Months with events and months in which a version starts are the break points of a
     user. State and version are filled forward over those few rows only; the months in
-    between come out of the final explode, so that they are never shuffled or sorted.
+    between come out of the final explode, so that they are never shuffled. For results
+    ``in_order`` the break points are put in ranges of the user, not what comes of them.
     """
     state = [c for c in moved.columns if c not in ("user_id", "ix")]
     rows = moved.select("user_id", "ix", F.struct(*state).alias("own"))
     if users is not None:
-        rows = rows.unionByName(_version_months(users, first), allowMissingColumns=True)
+        rows = rows.unionByName(_version_months(users, first, hot), allowMissingColumns=True)
     rows = rows.withColumn("has_events", F.col("own").isNotNull())
     # Two rows per month at most: the version that starts in it, then its events.
     user = Window.partitionBy("user_id").orderBy("ix", "has_events")
@@ -202,10 +213,11 @@ def _spread(moved: DataFrame, users: DataFrame | None, first: int, last: int) ->
         F.when(F.col("has_events") & recorded, F.when(active, months - 1).otherwise(F.lit(0)))
         .when(~F.col("has_events") & active & (months > 0), months - 1)
     )
+    breaks = filled.withColumn("steps", steps).where(F.col("steps").isNotNull())
+    if in_order:
+        breaks = in_ranges(stage(breaks.drop("own", "next_ix"), "breaks"), ["user_id"])
     spread = (
-        filled.withColumn("steps", steps)
-        .where(F.col("steps").isNotNull())
-        .withColumn("step", F.explode(F.sequence(F.lit(0), F.col("steps").cast("int"))))
+        breaks.withColumn("step", F.explode(F.sequence(F.lit(0), F.col("steps").cast("int"))))
         .withColumns({
             "month": F.col("ix") + F.col("step"),
             "quiet": ~F.col("has_events") | (F.col("step") > 0),
@@ -225,10 +237,10 @@ def _spread(moved: DataFrame, users: DataFrame | None, first: int, last: int) ->
     )
 
 
-def _version_months(users: DataFrame, first: int) -> DataFrame:
+def _version_months(users: DataFrame, first: int, hot: HotKeys | None) -> DataFrame:
     """The last version starting in each month, per user: the one valid from that month's
     end on, until the month its own end falls into."""
-    return (
+    starting = (
         users.select(
             "user_id",
             F.greatest(month_index(F.col("start_date")), F.lit(first)).alias("ix"),
@@ -238,9 +250,9 @@ def _version_months(users: DataFrame, first: int) -> DataFrame:
         )
         .groupBy("user_id", "ix")
         .agg(F.max("version").alias("version"))
-        # Hashed like the states, so that both are merged without another shuffle.
-        .repartition("user_id")
     )
+    # Hashed like the states, so that both are merged without another shuffle.
+    return by_user(starting, hot)
 
 
 def end_of_month(index: int) -> Column:
