@@ -217,7 +217,7 @@ def scd2_merge_log(spark, sf_dir):
 @_query
 def scd2_merge_buckets(spark, sf_dir):
     """A dimension stored in buckets, into which the states of the last two days are merged."""
-    inputs = BillingInputs(spark, sf_dir, amounts=False)
+    inputs = BillingInputs(spark, sf_dir, amounts=False, written=True)
     states, ts, hot = inputs.user_states, F.col("effective_ts"), inputs.hot_users
     stored = StoredUsers(spark, f"{shared_dir(spark)}/recurra-buckets-{uuid.uuid4().hex}")
     last = table(spark, sf_dir, "orders").agg(F.max("o_orderdate")).first()[0] or datetime(1970, 1, 2)
@@ -327,6 +327,8 @@ def events_append_twice(spark, sf_dir):
     """The event fact in two batches, the second given twice: also under another name."""
     inputs = BillingInputs(spark, sf_dir)
     users, plans = users_dimension(inputs.user_states, inputs.hot_users), plan_dimension(spark)
+    # Read by each append, and twice.
+    raw = stage(inputs.events, "raw-events")
     root = f"{shared_dir(spark)}/recurra-batches-{uuid.uuid4().hex}"
     early = F.col("event_timestamp") < F.lit("1998-01-01").cast("timestamp_ntz")
 
@@ -334,10 +336,10 @@ def events_append_twice(spark, sf_dir):
         first = 1 if stored is None else next_number(stored, "event_sk")
         return events_fact(raw, users, plans, inputs.hot_users, first)
 
-    write_table(make(inputs.events.where(early)), root, EVENTS)
-    late = inputs.events.where(~early)
+    write_table(make(raw.where(early)), root, EVENTS, time_sliced=True)
+    late = raw.where(~early)
     for batch in ("1998", "1998", "1998 again"):
-        append_once(spark, late, root, EVENTS, ["event_id"], "event_timestamp", batch, make)
+        append_once(spark, late, root, EVENTS, ["event_id"], "event_timestamp", batch, make, True)
     return read_table(spark, root, EVENTS).drop(*PARTITIONED_BY)
 
 
@@ -364,7 +366,8 @@ def events_between(spark, sf_dir):
     """Plain SQL over a time range of the stored events that neither begins nor ends a month."""
     _, _, events = _keyed(spark, sf_dir)
     root = f"{shared_dir(spark)}/recurra-between-{uuid.uuid4().hex}"
-    write_table(number_events(events), root, EVENTS)
+    # Numbering has already cut the events into stretches of time.
+    write_table(number_events(events), root, EVENTS, time_sliced=True)
     register({EVENTS: read_table(spark, root, EVENTS)})
     register_between(spark, "subscription_events_between", EVENTS)
     return spark.sql(
@@ -380,6 +383,7 @@ def events_between(spark, sf_dir):
 def snapshot_extend(spark, sf_dir):
     """The snapshot in three extensions, each of the events since the one before."""
     inputs, users, events = _keyed(spark, sf_dir)
+    events = stage(events, "keyed-events")  # read several times by each extension
     stored = StoredSnapshot(spark, f"{shared_dir(spark)}/recurra-snapshot-{uuid.uuid4().hex}")
     low, high = _years(spark, sf_dir)
     first, last = index_of(low, 1), index_of(high, 12)
@@ -622,9 +626,9 @@ def run_checks(spark, sf_dir):
 @_query
 def star_end_to_end(spark, sf_dir):
     """Build, store, read back, register tables, views and the raw events, run a SQL file."""
-    inputs = BillingInputs(spark, sf_dir)
+    inputs = BillingInputs(spark, sf_dir, written=True)
     root = f"{shared_dir(spark)}/recurra-star-{uuid.uuid4().hex}"
-    register_star(build_star(spark, inputs, root, *_years(spark, sf_dir)))
+    register_star(build_star(spark, inputs, root, *_years(spark, sf_dir)), inputs.hot_users)
     register({"raw_billing": inputs.events})
     return run_sql_file(spark, report("revenue_reconciliation"), left_out="refund")
 

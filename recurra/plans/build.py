@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from recurra.operators.hotkeys import HotKeys
 from recurra.plans.dimensions import date_dimension, plan_dimension, users_dimension
 from recurra.plans.facts import events_fact, monthly_snapshot
 from recurra.plans.views import active_subscriptions, customer_journey
@@ -44,14 +45,14 @@ def build_star(spark: SparkSession, inputs: BillingInputs, root: str,
     return read_star(spark, root)
 
 
-def register_star(star: dict[str, DataFrame]) -> None:
-    """Register the tables and both views for SQL."""
+def register_star(star: dict[str, DataFrame], hot: HotKeys | None = None) -> None:
+    """Register the tables and both views for SQL; pass the ``hot`` users when they are known."""
     users, plans = star["dim_users"], star["dim_subscription_plan"]
     events = star["fact_subscription_events"]
     register(star)
     register({
         "vw_active_subscriptions": active_subscriptions(users, events, plans),
-        "vw_customer_journey": customer_journey(events, users, plans, star["dim_date"]),
+        "vw_customer_journey": customer_journey(events, users, plans, star["dim_date"], hot),
     })
 
 

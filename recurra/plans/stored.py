@@ -10,9 +10,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from recurra.operators.hotkeys import HotKeys
-from recurra.operators.numbering import number_rows
 from recurra.plans.dimensions import merge_users
-from recurra.plans.facts import end_of_month, states_of_months
+from recurra.plans.facts import end_of_month, number_states, states_of_months
 from recurra.schemas import CUMULATIVE, DIM_USERS, FACT_SNAPSHOT, MONEY, enforce_schema
 from recurra.session import stage
 from recurra.sources.parts import PartTable
@@ -38,7 +37,9 @@ class StoredUsers:
         return self.table.read()
 
     def merge(self, changes: DataFrame, hot: HotKeys | None = None) -> DataFrame:
-        """Apply a batch as ``merge_users`` does; returns its log."""
+        """Apply a batch as ``merge_users`` does; returns its log. The batch is written first, as
+        each step of the merge reads it."""
+        changes = stage(changes, "changes")
         history = self.table.history()
         buckets = int(history[0].part.split("-")[0]) if history else BUCKETS
         # At most one row per bucket.
@@ -80,13 +81,15 @@ def absent_rows(rows: DataFrame, stored: DataFrame, key: Sequence[str], time: st
 
 def append_once(spark: SparkSession, rows: DataFrame, root: str, name: str, key: Sequence[str],
                 time: str, batch: str,
-                make: Callable[[DataFrame, DataFrame], DataFrame] | None = None) -> bool:
+                make: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
+                time_sliced: bool = False) -> bool:
     """Append a batch to a stored table unless it is there already; tells if it was not.
 
     Rows whose key the table holds are left out, so a batch of which a lost job has written some
     files is completed by running it again. The name of the batch is written last; a batch with
     that name is then done with at once. ``make(new, stored)`` turns the new rows into rows of
-    the table, such as by giving them keys and numbers.
+    the table, such as by giving them keys and numbers; ``time_sliced`` says that it puts them in
+    stretches of time, as numbering does.
     """
     done = f"{root}/{name}-batches"
     if batch in _committed(spark, done):
@@ -94,7 +97,8 @@ def append_once(spark: SparkSession, rows: DataFrame, root: str, name: str, key:
     stored = read_table(spark, root, name)
     # Written before the table grows: what is new must not depend on what is being added.
     new = stage(absent_rows(rows, stored, key, time), "absent")
-    write_table(make(new, stored) if make else new, root, name, append=True)
+    made = make(new, stored) if make else new
+    write_table(made, root, name, append=True, time_sliced=time_sliced)
     spark.createDataFrame([(batch,)], "batch string").coalesce(1).write.mode("append").parquet(done)
     return True
 
@@ -159,10 +163,9 @@ class StoredSnapshot:
         number = 1 + max(
             (r.last_number or 0 for r in self.rows.history() if r.part < before), default=0
         )
-        numbered = number_rows(states, ["snapshot_month_sk", "user_id"], "snapshot_sk", number)
         month = F.col("snapshot_month_sk").cast("string")
         self.rows.write(
-            enforce_schema(numbered, FACT_SNAPSHOT), month,
+            number_states(states, number), month,
             [_month_name(k) for k in range(begin, last + 1)], number="snapshot_sk",
         )
         self._states.write(

@@ -47,7 +47,8 @@ def customer_journey(events: DataFrame, users: DataFrame, plans: DataFrame,
     """Every event of every user in order, with running MRR, cash and a sequence number."""
     missing = [c for c in ("user_id", "email") if c not in events.columns]
     if missing:
-        events = lookup(events, users.select("user_sk", *missing), "user_sk")
+        versions = hot.of_finer(["user_sk"]) if hot is not None else None
+        events = lookup(events, users.select("user_sk", *missing), "user_sk", hot=versions)
     joined = (
         events.join(plans.select("plan_sk", "plan_name", "billing_interval"), "plan_sk")
         .join(dates.select("date_sk", "calendar_date"), "date_sk")

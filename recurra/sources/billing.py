@@ -16,6 +16,7 @@ from recurra.operators.hotkeys import HotKeys, find_hot_keys, lookup
 from recurra.operators.ordered import Earlier, First, ordered
 from recurra.plans.dimensions import plan_dimension
 from recurra.schemas import MONEY
+from recurra.session import stage
 
 # The plan an order priority stands for.
 PLAN_OF_PRIORITY = {
@@ -40,13 +41,14 @@ class BillingInputs:
     """Raw billing events and user states of a folder of order tables.
 
     ``amounts=False`` leaves the line items unread and all amounts but the MRR delta
-    zero; ``refunds=True`` gives refund events their negative net amount.
+    zero; ``refunds=True`` gives refund events their negative net amount. ``written=True``
+    writes what is asked for once, for those who read it several times.
     """
 
     def __init__(self, spark: SparkSession, folder: str, amounts: bool = True,
-                 refunds: bool = False):
+                 refunds: bool = False, written: bool = False):
         self._spark, self._folder = spark, folder
-        self._amounts, self._refunds = amounts, refunds
+        self._amounts, self._refunds, self._written = amounts, refunds, written
         self._orders = _orders(spark, folder)
 
     @cached_property
@@ -63,12 +65,14 @@ class BillingInputs:
         else:
             nothing = {c: F.lit(0) for c in ("gross", "discount", "tax")}
             billed = self._orders.withColumns(nothing)
-        return _events(self._in_order(billed), self._refunds)
+        events = _events(self._in_order(billed), self._refunds)
+        return stage(events, "raw-events") if self._written else events
 
     @cached_property
     def user_states(self) -> DataFrame:
         profiles = customers(self._spark, self._folder)
-        return _states(self._in_order(self._orders), profiles, self.hot_users)
+        states = _states(self._in_order(self._orders), profiles, self.hot_users)
+        return stage(states, "raw-states") if self._written else states
 
     def _in_order(self, orders: DataFrame) -> DataFrame:
         return _in_order(orders, plan_dimension(self._spark), self.hot_users)
