@@ -4,7 +4,8 @@ One more coordinate turns the largest inner product into the smallest Euclidean
 Vectors are dealt to lists by their nearest centroid; a query probes the lists nearest to it.
 Within a list the vectors are rotated at random, so a few coordinates estimate the whole
 distance. They are read in blocks of columns; after each block a candidate is abandoned when
-its partial distance shows, at a chosen confidence, that it cannot be among the nearest.
+its partial distance shows, at a chosen confidence, that it cannot be among the nearest. What
+that is compared with is known from the start: the k-th distance to some vectors of the sample.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from recurra.llm.common import map_batches
@@ -23,6 +25,10 @@ from recurra.session import stage
 FIT_ROWS = 20_000
 #: Candidates and queries that meet in one task, at most about.
 BLOCK, QUERY_BLOCK = 4096, 512
+#: Vectors of the sample, each of another id, that bound each query's k-th distance.
+SEEN = 4096
+#: Share of pairs still near from which a block of columns is read for all pairs at once.
+MANY = 0.05
 
 
 @dataclass(frozen=True)
@@ -34,6 +40,9 @@ class Index:
     largest: float
     probes: int
     recall: float
+    seen_ids: np.ndarray
+    seen: np.ndarray
+    seen_lists: np.ndarray
 
     def rotated(self, vectors: np.ndarray, queries: bool = False) -> np.ndarray:
         rest = self.largest**2 - np.einsum("ij,ij->i", vectors, vectors)
@@ -43,8 +52,23 @@ class Index:
     def lists(self, rotated: np.ndarray, count: int) -> np.ndarray:
         """The nearest lists of each row, nearest first."""
         far = _distances(rotated, self.centroids)
+        if count == 1:
+            return far.argmin(axis=1)[:, None]
         return np.argsort(far, axis=1, kind="stable")[:, :count]
 
+    def bounds(
+        self, rotated: np.ndarray, ids: np.ndarray, lists: np.ndarray, k: int
+    ) -> np.ndarray:
+        """A distance within which each query has ``k`` candidates in the ``lists`` it probes;
+        infinite if it is not known."""
+        if len(self.seen) < k:
+            return np.full(len(rotated), np.inf)
+        probed = np.zeros((len(rotated), len(self.centroids)), bool)
+        np.put_along_axis(probed, lists, True, axis=1)
+        far = _distances(rotated, self.seen)
+        far[(ids[:, None] == self.seen_ids[None, :]) | ~probed[:, self.seen_lists]] = np.inf
+        return np.partition(far, k - 1, axis=1)[:, k - 1]
+
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     own = np.einsum("ij,ij->i", a, a)[:, None] + np.einsum("ij,ij->i", b, b)[None, :]
@@ -78,16 +102,18 @@ def fit_index(
     if not total:
         return None
     chosen = F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(10**6)) < 10**6 * fit_rows / total
-    sample = np.array(
-        [r.v for r in (rows.where(chosen) if total > fit_rows else rows).select("v").collect()]
-    )
-    if not len(sample):
+    fitted = (rows.where(chosen) if total > fit_rows else rows).select("id", "v").toArrow()
+    if not fitted.num_rows:
         return None
+    sample, ids = _matrix(fitted.column("v").combine_chunks()), fitted.column("id").to_numpy()
     rng = np.random.default_rng(seed)
     width = sample.shape[1] + 1
     rotation = np.linalg.qr(rng.standard_normal((width, width)))[0]
-    index = Index(np.zeros((1, width)), rotation, math.sqrt(largest), 1, 1.0)
+    none = np.zeros(0, np.int64), np.zeros((0, width)), np.zeros(0, np.int64)
+    index = Index(np.zeros((1, width)), rotation, math.sqrt(largest), 1, 1.0, *none)
     points = index.rotated(sample)
+    # A repeated id counts once, with its best score, so it bounds once.
+    seen = rng.permutation(np.unique(ids, return_index=True)[1])[:SEEN]
     count = int(min(1024, max(1, math.sqrt(total) / 2), max(1, len(points) / 16)))
     centroids = points[rng.choice(len(points), count, replace=False)]
     for _ in range(8):
@@ -96,8 +122,9 @@ def fit_index(
         np.add.at(sums, nearest, points)
         sizes = np.bincount(nearest, minlength=count)
         centroids = np.where(sizes[:, None] > 0, sums / np.maximum(1, sizes)[:, None], centroids)
-    index = Index(centroids, rotation, index.largest, 1, 1.0)
+    index = Index(centroids, rotation, index.largest, 1, 1.0, *none)
     homes = index.lists(points, 1)[:, 0]
+    seen = ids[seen], points[seen], homes[seen]
     asked = rng.choice(len(points), min(400, len(points)), replace=False)
     turned = index.rotated(sample[asked], queries=True)
     far = _distances(turned, points)
@@ -108,37 +135,44 @@ def fit_index(
     np.put_along_axis(place, order, np.arange(count)[None, :].repeat(len(asked), 0), axis=1)
     rank = np.sort(np.take_along_axis(place, homes[nearest], axis=1).ravel())
     probes = int(rank[min(len(rank) - 1, math.ceil(target * len(rank)) - 1)]) + 1
-    return Index(centroids, rotation, index.largest, probes, float((rank < probes).mean()))
+    return Index(centroids, rotation, index.largest, probes, float((rank < probes).mean()), *seen)
+
+
+def _matrix(vectors: pa.Array) -> np.ndarray:
+    """The rows of an array of lists of one length."""
+    flat = vectors.flatten().to_numpy(zero_copy_only=False)
+    return flat.reshape(len(vectors), -1)
 
 
 def scan(
     index: Index, ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray,
-    queries: np.ndarray, k: int, columns: int = 16, confidence: float = 2.1,
+    queries: np.ndarray, limit: np.ndarray, k: int, columns: int = 16, confidence: float = 2.1,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Query numbers, candidate numbers and scores of the ``k`` nearest found of each query."""
+    """Query numbers, candidate numbers and scores of the ``k`` nearest found of each query within
+    its ``limit``."""
     points, turned = index.rotated(vectors), index.rotated(queries, queries=True)
     width = points.shape[1]
     own = query_ids[:, None] == ids[None, :]
-    first = min(len(ids), 4 * k)
-    far = _distances(turned, points[:first])
-    far[own[:, :first]] = np.inf
-    limit = np.full(len(query_ids), np.inf)
-    if first >= k:
-        limit = np.partition(far, k - 1, axis=1)[:, k - 1]
-
-    def near(partial, limits, read):  # the partial distance, scaled up, with its slack
+    # What rounding may add to a distance that comes from products.
+    rounding = 1e-12 + 1e-14 * width * (index.largest**2 + (turned**2).sum(axis=1))
+
+    def near(partial, limits, error, read):  # the partial distance, scaled up, with its slack
         slack = (1 + confidence / math.sqrt(read)) ** 2 if read < width else 1 + 1e-9
-        return partial * (width / read) <= limits * slack + 1e-12
+        return partial * (width / read) <= limits * slack + error
 
-    read = min(columns, width)
-    partial = _distances(turned[:, :read], points[:, :read])
-    q, x = np.nonzero(near(partial, limit[:, None], read) & ~own)
+    partial, alive, read = np.zeros(own.shape), ~own, 0
+    while read < width and (not read or alive.mean() > MANY):
+        block = slice(read, min(read + columns, width))
+        partial += _distances(turned[:, block], points[:, block])
+        read = block.stop
+        alive &= near(partial, limit[:, None], rounding[:, None], read)
+    q, x = np.nonzero(alive)
     partial = partial[q, x]
     while read < width and len(q):
         block = slice(read, min(read + columns, width))
         partial = partial + ((turned[q, block] - points[x, block]) ** 2).sum(axis=1)
         read = block.stop
-        kept = near(partial, limit[q], read)
+        kept = near(partial, limit[q], rounding[q], read)
         q, x, partial = q[kept], x[kept], partial[kept]
     score = (queries[q] * vectors[x]).sum(axis=1)
     order = np.lexsort((ids[x], -score, q))
@@ -174,20 +208,27 @@ def search(
 
     def deal(count: int, queries: bool):
         def run(batch):
-            points = np.array(batch.column("v").to_pylist())
-            lists = index.lists(index.rotated(points, queries), count)
+            points = _matrix(batch.column("v"))
+            turned = index.rotated(points, queries)
+            lists = index.lists(turned, count)
             at = np.repeat(np.arange(len(points)), lists.shape[1])
-            return {
+            made = {
                 "list": lists.ravel(), "id": batch.column("id").take(at),
                 "v": batch.column("v").take(at),
             }
+            if queries:
+                ids = batch.column("id").to_numpy()
+                # Of twice as many, so that some may be abandoned by mistake.
+                made["within"] = index.bounds(turned, ids, lists, 2 * k)[at]
+            return made
 
         return run
 
     dealt = "`list` int, id long, v array<double>"
     rows = rows.withColumn("id", F.col("id").cast("long"))
     homes = stage(map_batches(rows, dealt, deal(1, False)), "ann-lists")
-    asked = stage(map_batches(rows.where(is_query), dealt, deal(index.probes, True)), "ann-probes")
+    bounded = f"{dealt}, within double"
+    asked = stage(map_batches(rows.where(is_query), bounded, deal(index.probes, True)), "ann-probes")
     parts = _salted(homes.groupBy("list").count(), BLOCK)
     query_parts = _salted(asked.groupBy("list").count(), QUERY_BLOCK)
 
@@ -209,7 +250,8 @@ def search(
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
         ids, query_ids = candidates["id"].to_numpy(), queries["id"].to_numpy()
         q, x, score = scan(
-            index, ids, np.stack(candidates["v"]), query_ids, np.stack(queries["v"]), k
+            index, ids, np.stack(candidates["v"]), query_ids, np.stack(queries["v"]),
+            queries["within"].to_numpy(), k,
         )
         return pd.DataFrame({"query_id": query_ids[q], "vec_id": ids[x], "score": score})
 
