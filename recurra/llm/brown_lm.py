@@ -24,6 +24,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import chain, compress, repeat
 
 import numpy as np
 import pandas as pd
@@ -37,7 +38,7 @@ from recurra.session import stage
 #: Words that tasks hold in a dictionary, and for so many words the clustered ones and classes.
 HEAD, EXCHANGED, CLASSES = 200_000, 4096, 64
 ROUNDS, LEAST = 6, 0.01
-BLOCK = 64  # words whose neighbours are summed and exchanged in one group
+CELLS = 1 << 16  # counts of neighbours by class that are summed and exchanged in one group
 END = 0  # the number of the end of a text, and its class
 
 
@@ -60,12 +61,10 @@ def word_counts(texts: DataFrame, text: str = "text") -> DataFrame:
 
 
 class _Numbers(dict):
+    """Words by their place, from 1 on."""
+
     def __init__(self, words: list[bytes]):
         super().__init__((w, i + 1) for i, w in enumerate(words))
-        self.other = len(words) + 1
-
-    def __missing__(self, word: bytes) -> int:
-        return self.other
 
 
 def _numbered(docs: DataFrame, words, key: str, text: str) -> DataFrame:
@@ -75,15 +74,16 @@ def _numbered(docs: DataFrame, words, key: str, text: str) -> DataFrame:
 
     def number(batch):
         known = words.value
-        ids, tail = [], []
-        for t in texts_of(batch, text):
-            own = tokens(t)
-            numbers = np.fromiter(map(known.__getitem__, own), np.int32, len(own))
-            tail.append([own[i] for i in np.flatnonzero(numbers == known.other)])
-            ids.append(np.append(numbers, np.int32(END)))
+        other = len(known) + 1
+        own = [tokens(t) for t in texts_of(batch, text)]
+        sizes = np.fromiter(map(len, own), np.int64, len(own))
+        flat = list(chain.from_iterable(own))
+        numbers = np.fromiter(map(known.get, flat, repeat(other)), np.int32, len(flat))
+        unknown = numbers == other
         return {
-            "key": batch.column(key), "held_out": batch.column("held_out"), "ids": ids,
-            "tail": tail,
+            "key": batch.column(key), "held_out": batch.column("held_out"),
+            "ids": _lists(np.insert(numbers, sizes.cumsum(), END), sizes + 1),
+            "tail": _lists(pa.array(compress(flat, unknown), pa.binary()), _sums(unknown, sizes)),
         }
 
     made = map_batches(
@@ -93,6 +93,19 @@ def _numbered(docs: DataFrame, words, key: str, text: str) -> DataFrame:
     return made.withColumn("row", F.monotonically_increasing_id())
 
 
+def _lists(flat: np.ndarray | pa.Array, sizes: np.ndarray) -> pa.Array:
+    """Lists of these sizes, one after the other."""
+    offsets = np.concatenate([[0], sizes.cumsum()]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+
+
+def _sums(marks: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """How many marks are set in each of the runs of these sizes."""
+    total = np.concatenate([[0], marks.cumsum()])
+    ends = sizes.cumsum()
+    return total[ends] - total[ends - sizes]
+
+
 def _rest(vocabulary: DataFrame, last: int, word: bytes, first: int) -> DataFrame:
     """Rows (number, word, c) of the words seen twice or more that come after ``word``, which is
     seen ``last`` times, numbered from ``first`` on in the order of the others."""
@@ -105,22 +118,28 @@ def _numbered_on(numbered: DataFrame, rest: DataFrame, other: int, now_other: in
     """``numbered``, where ``other`` stood for all words of the tails, with the numbers that
     ``rest`` has for some of them; ``now_other`` stands for those left."""
     found = (
-        numbered.select("row", F.explode(F.array_distinct("tail")).alias("word"))
+        numbered.select("row", F.posexplode("tail").alias("at", "word"))
         .join(small(rest.select("word", F.col("number").cast("int"))), "word").groupBy("row")
-        .agg(F.collect_list(F.struct("word", "number")).alias("found"))
+        .agg(F.collect_list(F.struct("at", "number")).alias("found"))
     )
     both = numbered.join(found, "row", "left")
 
     def number(batch):
-        ids, tails = [], []
-        columns = (batch.column(c) for c in ("ids", "tail", "found"))
-        for old, tail, known in zip(*columns):
-            now, tail = old.values.to_numpy().copy(), tail.as_py()
-            of = {x["word"]: x["number"] for x in known.as_py() or ()}
-            now[now == other] = [of.get(w, now_other) for w in tail]
-            ids.append(now)
-            tails.append([w for w in tail if w not in of])
-        return {c: batch.column(c) for c in ("row", "key", "held_out")} | {"ids": ids, "tail": tails}
+        ids, tail, known = (batch.column(c) for c in ("ids", "tail", "found"))
+        in_ids, in_tail, in_known = (
+            x.value_lengths().fill_null(0).to_numpy().astype(np.int64) for x in (ids, tail, known)
+        )
+        # Tails in a row have the words that ``other`` stands for in the numbers in a row.
+        at, given = (x.to_numpy(zero_copy_only=False) for x in known.flatten().flatten())
+        numbers = np.full(in_tail.sum(), now_other, np.int32)
+        numbers[np.repeat(in_tail.cumsum() - in_tail, in_known) + at] = given
+        now = ids.flatten().to_numpy().copy()
+        now[now == other] = numbers
+        left = numbers == now_other
+        return {c: batch.column(c) for c in ("row", "key", "held_out")} | {
+            "ids": _lists(now, in_ids),
+            "tail": _lists(tail.flatten().filter(pa.array(left)), _sums(left, in_tail)),
+        }
 
     kind = numbered.schema["key"].dataType.simpleString()
     return map_batches(
@@ -269,8 +288,9 @@ def _exchange_all(
     width = 2 * classes
     dense = min(head, EXCHANGED) * width  # cells of the words that are in most batches
 
-    size = BLOCK * width
-    place = np.min_scalar_type(size)
+    block_words = max(1, CELLS // width)
+    size = block_words * width
+    place = np.min_scalar_type(size - 1)
 
     def packed(cell: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
         """A row for each block: its cells and counts as bytes, a small part of a row per cell."""
@@ -303,10 +323,10 @@ def _exchange_all(
         for cells, n in zip(block["cells"], block["n"]):
             cells = np.frombuffer(cells, place)
             near[cells] += np.frombuffer(n, f"u{len(n) // len(cells)}")
-        near = near.reshape(BLOCK, width)
+        near = near.reshape(block_words, width)
         words = np.flatnonzero(near.any(axis=1))
         best = likely_classes(near[words, :classes], near[words, classes:], table)
-        return pd.DataFrame({"w": words + block["block"].iloc[0] * BLOCK, "k": best})
+        return pd.DataFrame({"w": words + block["block"].iloc[0] * block_words, "k": best})
 
     blocks = training.select("ids").mapInArrow(
         neighbours, "block long, cells binary, n binary"
