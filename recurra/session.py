@@ -17,6 +17,8 @@ def build_session(app: str = "recurra", master: str | None = None, **conf: str)
         "spark.sql.session.timeZone": "UTC",
         # Call-site tracking costs a round trip per expression while plans are built.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
+        # Plans name the whole path of what they read, however deep its folder is.
+        "spark.sql.maxMetadataStringLength": "1000",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
