@@ -113,7 +113,7 @@ def fit_index(
     index = Index(np.zeros((1, width)), rotation, math.sqrt(largest), 1, 1.0, *none)
     points = index.rotated(sample)
     # A repeated id counts once, with its best score, so it bounds once.
-    seen = rng.permutation(np.unique(ids, return_index=True)[1])[:SEEN]
+    seen = np.random.default_rng(seed).permutation(np.unique(ids, return_index=True)[1])[:SEEN]
     count = int(min(1024, max(1, math.sqrt(total) / 2), max(1, len(points) / 16)))
     centroids = points[rng.choice(len(points), count, replace=False)]
     for _ in range(8):
