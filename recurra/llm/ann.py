@@ -25,8 +25,9 @@ from recurra.session import stage
 FIT_ROWS = 20_000
 #: Candidates and queries that meet in one task, at most about.
 BLOCK, QUERY_BLOCK = 4096, 512
-#: Vectors of the sample, each of another id, that bound each query's k-th distance.
-SEEN = 4096
+#: Vectors of the sample, each of another id, that bound each query's k-th distance: one of so many
+#: rows, so that about as many rows a query lie within the bound whatever the size, up to SEEN.
+SEEN_SHARE, SEEN = 8, 8192
 #: Share of pairs still near from which a block of columns is read for all pairs at once.
 MANY = 0.05
 
@@ -113,7 +114,8 @@ def fit_index(
     index = Index(np.zeros((1, width)), rotation, math.sqrt(largest), 1, 1.0, *none)
     points = index.rotated(sample)
     # A repeated id counts once, with its best score, so it bounds once.
-    seen = np.random.default_rng(seed).permutation(np.unique(ids, return_index=True)[1])[:SEEN]
+    seen = np.random.default_rng(seed).permutation(np.unique(ids, return_index=True)[1])
+    seen = seen[: min(SEEN, math.ceil(total / SEEN_SHARE))]
     count = int(min(1024, max(1, math.sqrt(total) / 2), max(1, len(points) / 16)))
     centroids = points[rng.choice(len(points), count, replace=False)]
     for _ in range(8):
