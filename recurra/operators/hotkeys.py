@@ -69,7 +69,7 @@ def find_hot_keys(df: DataFrame, key: Sequence[str], rows: int | None = None) ->
     top = sizes.agg(F.sum("__rows").alias("total"), F.max("__rows").alias("top")).first()
     total, largest = top["total"] or 0, top["top"] or 0
     shuffled = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    partitions = partitions_for(total, shuffled) if total > TASK_ROWS else None
+    partitions = max(shuffled, -(-total // TASK_ROWS)) if total > TASK_ROWS else None
     if rows is None:
         named = spark.conf.get(HOT_KEY_ROWS, None)
         share = total // (2 * shuffled)
@@ -89,11 +89,6 @@ def by_user(df: DataFrame, hot: HotKeys | None) -> DataFrame:
     return hot.dealt(df) if dealt else df.repartition("user_id")
 
 
-def partitions_for(rows: int, least: int, task_rows: int | None = None) -> int:
-    """Partitions for so many rows: ``least`` of them, or as many as keep a task's rows bounded."""
-    return max(least, -(-rows // (task_rows or TASK_ROWS)))
-
-
 def lookup(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner",
            hot: HotKeys | None = None) -> DataFrame:
     """Join a fact to a dimension that is unique on ``key``, safe for hot fact keys.

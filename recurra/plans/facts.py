@@ -11,7 +11,7 @@ from recurra.functions.calendar import date_sk, index_of, month_end, month_index
 from recurra.functions.pricing import monthly_mrr
 from recurra.operators.asof import resolve_plan_sk, resolve_versions
 from recurra.operators.hotkeys import HotKeys, by_user, lookup
-from recurra.operators.numbering import in_ranges, number_rows, number_within
+from recurra.operators.numbering import number_rows
 from recurra.operators.ordered import Earlier, Later, ordered
 from recurra.schemas import FACT_EVENTS, FACT_SNAPSHOT, MONEY, RAW_EVENT, enforce_schema
 from recurra.session import stage
@@ -87,8 +87,7 @@ def states_of_months(
     events: DataFrame, first: int, last: int, users: DataFrame | None = None,
     hot: HotKeys | None = None, opening: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Monthly states of the months from index ``first`` to ``last``, in ranges of the user, and
-    each user's state after.
+    """Monthly states of the months from index ``first`` to ``last``, and each user's state after.
 
     ``opening`` is what an earlier call has returned second for the months before; then only
     later events are needed, and just users that are active or have events are looked at.
@@ -109,7 +108,7 @@ def states_of_months(
     ).select("user_id", "state.*")
     if opening is not None:
         closing = closing.unionByName(opening.join(closing.select("user_id"), "user_id", "left_anti"))
-    return _recorded(moved, users, first, last, hot, in_order=True), closing
+    return _recorded(moved, users, first, last, hot), closing
 
 
 def _known_users(events: DataFrame, users: DataFrame | None, hot: HotKeys | None) -> DataFrame:
@@ -137,9 +136,9 @@ def _moved(events: DataFrame, first: int, last: int, users: DataFrame | None,
 
 
 def _recorded(moved: DataFrame, users: DataFrame | None, first: int, last: int,
-              hot: HotKeys | None, in_order: bool = False) -> DataFrame:
-    """Monthly states from those after months with events; ``in_order`` in ranges of the user."""
-    months = _spread(moved, users, first, last, hot, in_order).where(F.col("month") >= first)
+              hot: HotKeys | None) -> DataFrame:
+    """Monthly states from those after months with events."""
+    months = _spread(moved, users, first, last, hot).where(F.col("month") >= first)
     month, state, quiet = F.col("month"), F.col("state"), F.col("quiet")
 
     def only_in_month(name: str):
@@ -168,26 +167,22 @@ def monthly_snapshot(events: DataFrame, users: DataFrame, start_year: int = 2023
                      end_year: int = 2025, hot: HotKeys | None = None) -> DataFrame:
     """The snapshot fact: monthly states with the user version at month end, numbered by
     month and user."""
-    first, last = index_of(start_year, 1), index_of(end_year, 12)
-    moved = _moved(events, first, last, users, hot)
-    return number_states(_recorded(moved, users, first, last, hot, in_order=True))
+    return number_states(monthly_states(events, start_year, end_year, users, hot))
 
 
 def number_states(states: DataFrame, first: int = 1) -> DataFrame:
-    """The snapshot from states in ranges of the user, numbered by month and user."""
-    return enforce_schema(
-        number_within(states, "snapshot_month_sk", "user_id", "snapshot_sk", first), FACT_SNAPSHOT
-    )
+    """The snapshot from states, numbered by month and user."""
+    numbered = number_rows(states, ["snapshot_month_sk", "user_id"], "snapshot_sk", first)
+    return enforce_schema(numbered, FACT_SNAPSHOT)
 
 
 def _spread(moved: DataFrame, users: DataFrame | None, first: int, last: int,
-            hot: HotKeys | None, in_order: bool) -> DataFrame:
+            hot: HotKeys | None) -> DataFrame:
     """One row per user and month to record, with the state and user version it has.
 
     Months with events and months in which a version starts are the break points of a
     user. State and version are filled forward over those few rows only; the months in
-    between come out of the final explode, so that they are never shuffled. For results
-    ``in_order`` the break points are put in ranges of the user, not what comes of them.
+    between come out of the final explode, so that they are never shuffled or sorted.
     """
     state = [c for c in moved.columns if c not in ("user_id", "ix")]
     rows = moved.select("user_id", "ix", F.struct(*state).alias("own"))
@@ -214,8 +209,6 @@ def _spread(moved: DataFrame, users: DataFrame | None, first: int, last: int,
         .when(~F.col("has_events") & active & (months > 0), months - 1)
     )
     breaks = filled.withColumn("steps", steps).where(F.col("steps").isNotNull())
-    if in_order:
-        breaks = in_ranges(stage(breaks.drop("own", "next_ix"), "breaks"), ["user_id"])
     spread = (
         breaks.withColumn("step", F.explode(F.sequence(F.lit(0), F.col("steps").cast("int"))))
         .withColumns({
