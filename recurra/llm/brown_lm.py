@@ -29,6 +29,7 @@ from itertools import chain, compress, repeat
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from recurra.llm.common import map_batches, small, texts_of
@@ -67,10 +68,49 @@ class _Numbers(dict):
         super().__init__((w, i + 1) for i, w in enumerate(words))
 
 
-def _numbered(docs: DataFrame, words, key: str, text: str) -> DataFrame:
+#: Numbers of a text as bytes, the lower and the higher 16 bits apart: the higher ones are mostly
+#: zeros, which compress away, and Spark moves bytes without looking at each number.
+PACKED = "struct<low: binary, high: binary>"
+
+
+def _packed(numbers: np.ndarray, sizes: np.ndarray) -> pa.StructArray:
+    """``numbers``, in runs of these sizes, as ``PACKED``."""
+    offsets = pa.py_buffer(np.concatenate([[0], 2 * sizes.cumsum()]).astype(np.int32))
+    planes = (numbers.astype("<u2"), (numbers >> 16).astype("<u2"))
+    return pa.StructArray.from_arrays([
+        pa.Array.from_buffers(pa.binary(), len(sizes), [None, offsets, pa.py_buffer(x.tobytes())])
+        for x in planes
+    ], names=["low", "high"])
+
+
+def _halves(column: pa.Array) -> np.ndarray:
+    """The 16-bit numbers of all rows of a column of bytes, one after the other, not copied."""
+    _, offsets, data = column.buffers()
+    if not len(column) or data is None:
+        return np.zeros(0, "<u2")
+    kind = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    first, last = np.frombuffer(offsets, kind)[[column.offset, column.offset + len(column)]]
+    return np.frombuffer(data, "<u2", (last - first) // 2, first)
+
+
+def _ids(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of a batch in a row, and how many each text has; they come as lists or packed."""
+    if not pa.types.is_struct(column.type):
+        return column.flatten().to_numpy(zero_copy_only=False), _lengths(column)
+    low, high = (_halves(column.field(x)) for x in ("low", "high"))
+    numbers = low.astype(np.int32) | (high.astype(np.int32) << 16)
+    return numbers, pc.binary_length(column.field("low")).to_numpy().astype(np.int64) // 2
+
+
+def _lengths(column: pa.Array) -> np.ndarray:
+    return column.value_lengths().fill_null(0).to_numpy().astype(np.int64)
+
+
+def _numbered(docs: DataFrame, words, key: str, text: str, packed: bool = False) -> DataFrame:
     """Rows (row, key, held_out, ids, tail): each text's numbers, the end last, and its words
     without a number in order."""
     kind = docs.schema[key].dataType.simpleString()
+    lists = _packed if packed else _lists
 
     def number(batch):
         known = words.value
@@ -82,13 +122,14 @@ def _numbered(docs: DataFrame, words, key: str, text: str) -> DataFrame:
         unknown = numbers == other
         return {
             "key": batch.column(key), "held_out": batch.column("held_out"),
-            "ids": _lists(np.insert(numbers, sizes.cumsum(), END), sizes + 1),
+            "ids": lists(np.insert(numbers, sizes.cumsum(), END), sizes + 1),
             "tail": _lists(pa.array(compress(flat, unknown), pa.binary()), _sums(unknown, sizes)),
         }
 
     made = map_batches(
         docs.select(key, "held_out", text),
-        f"key {kind}, held_out boolean, ids array<int>, tail array<binary>", number,
+        f"key {kind}, held_out boolean, ids {PACKED if packed else 'array<int>'},"
+        " tail array<binary>", number,
     )
     return made.withColumn("row", F.monotonically_increasing_id())
 
@@ -115,42 +156,42 @@ def _rest(vocabulary: DataFrame, last: int, word: bytes, first: int) -> DataFram
 
 
 def _numbered_on(numbered: DataFrame, rest: DataFrame, other: int, now_other: int) -> DataFrame:
-    """``numbered``, where ``other`` stood for all words of the tails, with the numbers that
-    ``rest`` has for some of them; ``now_other`` stands for those left."""
+    """``numbered`` (packed), where ``other`` stood for all words of the tails, with the numbers
+    that ``rest`` has for some of them; ``now_other`` stands for those left. The words left are
+    named where they are held out; elsewhere nulls tell how many there are."""
     found = (
         numbered.select("row", F.posexplode("tail").alias("at", "word"))
         .join(small(rest.select("word", F.col("number").cast("int"))), "word").groupBy("row")
         .agg(F.collect_list(F.struct("at", "number")).alias("found"))
     )
-    both = numbered.join(found, "row", "left")
+    unnamed = F.array_repeat(F.lit(None).cast("binary"), F.size("tail"))
+    sent = numbered.withColumn("tail", F.when(F.col("held_out"), F.col("tail")).otherwise(unnamed))
+    both = sent.join(found, "row", "left")
 
     def number(batch):
-        ids, tail, known = (batch.column(c) for c in ("ids", "tail", "found"))
-        in_ids, in_tail, in_known = (
-            x.value_lengths().fill_null(0).to_numpy().astype(np.int64) for x in (ids, tail, known)
-        )
+        tail, known = (batch.column(c) for c in ("tail", "found"))
+        ids, in_ids = _ids(batch.column("ids"))
+        in_tail, in_known = _lengths(tail), _lengths(known)
         # Tails in a row have the words that ``other`` stands for in the numbers in a row.
         at, given = (x.to_numpy(zero_copy_only=False) for x in known.flatten().flatten())
         numbers = np.full(in_tail.sum(), now_other, np.int32)
         numbers[np.repeat(in_tail.cumsum() - in_tail, in_known) + at] = given
-        now = ids.flatten().to_numpy().copy()
-        now[now == other] = numbers
+        ids[ids == other] = numbers
         left = numbers == now_other
         return {c: batch.column(c) for c in ("row", "key", "held_out")} | {
-            "ids": _lists(now, in_ids),
+            "ids": _packed(ids, in_ids),
             "tail": _lists(tail.flatten().filter(pa.array(left)), _sums(left, in_tail)),
         }
 
     kind = numbered.schema["key"].dataType.simpleString()
     return map_batches(
-        both, f"key {kind}, held_out boolean, ids array<int>, tail array<binary>, `row` long",
-        number,
+        both, f"key {kind}, held_out boolean, ids {PACKED}, tail array<binary>, `row` long", number
     )
 
 
 def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     """All numbers of a batch in a row, and the number before each (the end before a text)."""
-    ids = batch.column("ids").flatten().to_numpy(zero_copy_only=False)
+    ids, _ = _ids(batch.column("ids"))
     return ids, np.concatenate([[END], ids[:-1]])
 
 
@@ -436,7 +477,7 @@ def score(
     )
     words, counts = most["word"].to_pylist(), most["c"].to_numpy()
     numbers = spark.sparkContext.broadcast(_Numbers(words))
-    numbered = stage(_numbered(source, numbers, key, text), "lm-numbered")
+    numbered = stage(_numbered(source, numbers, key, text, packed=True), "lm-numbered")
     numbers.destroy()
     if len(words) == head:
         rest = stage(_rest(vocabulary, int(counts[-1]), words[-1], head + 1), "lm-rest")
@@ -451,8 +492,8 @@ def score(
     model = fit(numbered, vocabulary, counts, ends, **fitting)
 
     def per_text(batch):
-        now, before = _flat(batch)
-        sizes = np.diff(batch.column("ids").offsets.to_numpy())
+        now, sizes = _ids(batch.column("ids"))
+        before = np.concatenate([[END], now[:-1]])
         starts = np.concatenate([[0], sizes.cumsum()[:-1]]).astype(np.int64)
         home = model.home
         logs = model.step[home[before], home[now]] + model.emission[now]
@@ -460,7 +501,7 @@ def score(
         return {
             "row": batch.column("row"), "key": batch.column("key"),
             "held_out": batch.column("held_out"), "singles": batch.column("singles"),
-            "n_tokens": sizes.astype(np.int64),
+            "n_tokens": sizes,
             "known": np.add.reduceat((model.count[now] > 0).astype(np.int64), starts),
             "plain": np.add.reduceat(plain, starts), "logs": np.add.reduceat(logs, starts),
         }

@@ -330,6 +330,30 @@ def test_exchange_of_all_words_counts_all_neighbours(spark):
     assert [got[w] for w in range(1, head)] == list(wanted)
 
 
+def test_lm_numbers_travel_as_bytes():
+    numbers, sizes = np.array([3, 70_000, 0, 0, 2**20 + 7, 1, 0], np.int32), np.array([3, 1, 3])
+    packed = brown_lm._packed(numbers, sizes)
+    for at, n in ((0, 3), (0, 0), (1, 2), (2, 1)):
+        ids, own = brown_lm._ids(packed.slice(at, n))
+        before = sizes[:at].sum()
+        assert list(own) == list(sizes[at : at + n])
+        assert list(ids) == list(numbers[before : before + sizes[at : at + n].sum()])
+
+
+def test_lm_words_learnt_from_are_sent_by_their_number_alone(spark):
+    """Words left without a number are named where they are held out; elsewhere they are counted."""
+    rows = [(1, False, "a b c d"), (2, True, "a d e"), (3, False, ""), (4, False, "b z")]
+    source = spark.createDataFrame(rows, "doc_id long, held_out boolean, text string")
+    words = spark.sparkContext.broadcast(brown_lm._Numbers([b"a"]))
+    numbered = brown_lm._numbered(source, words, "doc_id", "text", packed=True)
+    rest = spark.createDataFrame([(bytearray(b"b"), 2)], "word binary, number long")
+    got = {r.key: r for r in brown_lm._numbered_on(numbered, rest, 2, 3).collect()}
+    ids = {k: list(np.frombuffer(r.ids.low, "<u2")) for k, r in got.items()}
+    assert ids == {1: [1, 2, 3, 3, 0], 2: [1, 3, 3, 0], 3: [0], 4: [2, 3, 0]}
+    assert {k: r.tail and [w and bytes(w) for w in r.tail] for k, r in got.items()} == {
+        1: [None, None], 2: [b"d", b"e"], 3: [], 4: [None]}
+
+
 @pytest.mark.parametrize("head", [200_000, 30])
 def test_lm_score_is_recomputed_from_the_classes(spark, monkeypatch, head):
     """Token by token from the fitted tables: words seen twice have numbers, by count and bytes."""
