@@ -3,7 +3,7 @@
 The library's BPE model works on characters, so each byte stands for one printable character.
 From the ranks of a vocabulary every split of a token into two tokens becomes a merge of that
 token's rank, which is the rule by which ranks are applied. A text is cut by the vocabulary's
-pattern, the distinct matches of a batch are encoded by the library, and a worker keeps them.
+pattern, the distinct matches of a batch are encoded by the library, and a task keeps them.
 """
 
 from __future__ import annotations
@@ -19,9 +19,12 @@ from pyspark.sql import DataFrame
 
 from recurra.llm.common import map_batches, texts_of
 
-#: Encoded matches that a worker keeps; beyond it starts afresh.
+#: Encoded matches that a task keeps; beyond it starts afresh.
 KEPT = 400_000
 
+#: Texts cut at once, and matches given to the library at once: what is held besides those kept.
+TEXTS, MATCHES = 250, 5_000
+
 
 def byte_characters() -> list[str]:
     """The character that stands for each byte: itself if printable, else one from 256 on."""
@@ -70,8 +73,11 @@ class ByteBPE:
         if len(self.known) + len(new) > KEPT:
             self.known.clear()
             new = list(distinct)
-        for match, made in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[match] = np.array(made.ids, "<u4").tobytes()
+        for at in range(0, len(new), MATCHES):
+            some = new[at : at + MATCHES]
+            encoded = self.library.encode_batch_fast(some, add_special_tokens=False)
+            for match, made in zip(some, encoded):
+                self.known[match] = np.array(made.ids, "<u4").tobytes()
         return [np.frombuffer(b"".join(map(self.known.__getitem__, ms)), "<u4") for ms in found]
 
     def decode(self, ids) -> bytes:
@@ -99,6 +105,12 @@ def _byte_bpe(path: str, pattern: str) -> ByteBPE:
     return ByteBPE(path, pattern)
 
 
+def _forget(path: str, pattern: str) -> None:
+    """Drop the matches kept for a task; the vocabulary, which is small, stays with the worker."""
+    if _byte_bpe.cache_info().currsize:  # a task without rows loads none
+        _byte_bpe(path, pattern).known.clear()
+
+
 def encode_texts(
     docs: DataFrame, ranks: str, pattern: str, key: str = "doc_id", text: str = "text",
     offsets: bool = False,
@@ -128,7 +140,9 @@ def encode_texts(
             out["offsets"] = [bpe.offsets(x).tolist() for x in ids]
         return out
 
-    return map_batches(docs.select(key, text), schema, encode)
+    return map_batches(
+        docs.select(key, text), schema, encode, TEXTS, lambda: _forget(ranks, pattern)
+    )
 
 
 def decode_ids(
@@ -172,4 +186,6 @@ def encode_digests(
         }
 
     schema = f"`{key}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return map_batches(docs.select(key, text), schema, digest)
+    return map_batches(
+        docs.select(key, text), schema, digest, TEXTS, lambda: _forget(ranks, pattern)
+    )

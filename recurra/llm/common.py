@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -22,11 +23,16 @@ def map_batches(
     schema: str,
     per_batch: Callable[[pa.RecordBatch], dict | Iterator[dict]],
     rows: int = CHUNK_ROWS,
+    at_end: Callable[[], object] | None = None,
 ) -> DataFrame:
-    """``mapInArrow`` for a function from a batch to columns (a dict of lists or arrays)."""
+    """``mapInArrow`` for a function from a batch to columns (a dict of lists or arrays).
+
+    ``at_end`` runs at the end of each task, to drop what the function has kept: workers outlive
+    their tasks, and what they hold on to adds to what later tasks of the executor need.
+    """
     target = to_arrow_schema(StructType.fromDDL(schema))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, rows):
                 made = per_batch(whole.slice(at, rows))
@@ -37,9 +43,25 @@ def map_batches(
                     ]
                     yield pa.RecordBatch.from_arrays(arrays, schema=target)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from convert(batches)
+        finally:
+            if at_end:
+                at_end()
+            give_back()
+
     return df.mapInArrow(run, schema)
 
 
+def give_back() -> None:
+    """Return what this process has freed to the system, where its C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """The texts of a batch; null counts as empty."""
     return [x or "" for x in batch.column(name).to_pylist()]

@@ -3,6 +3,7 @@ import hashlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 import tiktoken
@@ -111,6 +112,22 @@ def test_byte_bpe_of_odd_rows(spark, reference):
     assert byte_bpe.encode_digests(docs.limit(0), RANKS, PATTERN).collect() == []
 
 
+def test_byte_bpe_leaves_no_matches_in_its_workers(spark):
+    docs = spark.range(0, 4000, 1, 8).selectExpr("id AS doc_id", "concat('word', id) AS text")
+    expected = [len(byte_bpe._byte_bpe(RANKS, PATTERN).encode([f"word{i}"])[0]) for i in range(4000)]
+    byte_bpe._byte_bpe.cache_clear()
+    got = byte_bpe.encode_digests(docs, RANKS, PATTERN).orderBy("doc_id").collect()
+    assert [r.n_tokens for r in got] == expected
+
+    def kept(batches):
+        for batch in batches:
+            known = len(byte_bpe._byte_bpe(RANKS, PATTERN).known)
+            yield pa.RecordBatch.from_pydict({"kept": pa.array([known] * batch.num_rows, pa.int64())})
+
+    # Workers are used again: these tasks see what those before have left.
+    assert {r.kept for r in spark.range(0, 8, 1, 8).mapInArrow(kept, "kept long").collect()} == {0}
+
+
 def test_byte_bpe_texts_come_back(spark):
     docs = odd.documents(spark)
     encoded = byte_bpe.encode_texts(docs, RANKS, PATTERN, offsets=True)
