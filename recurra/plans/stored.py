@@ -86,7 +86,7 @@ def append_once(spark: SparkSession, rows: DataFrame, root: str, name: str, key:
     """Append a batch to a stored table unless it is there already; tells if it was not.
 
     Rows whose key the table holds are left out, so a batch of which a lost job has written some
-    files is completed by running it again. The name of the batch is written last; a batch with
+    files is completed by running it again; if the table holds all, nothing is made or written. The name of the batch is written last; a batch with
     that name is then done with at once. ``make(new, stored)`` turns the new rows into rows of
     the table, such as by giving them keys and numbers; ``time_sliced`` says that it puts them in
     stretches of time, as numbering does.
@@ -97,8 +97,9 @@ def append_once(spark: SparkSession, rows: DataFrame, root: str, name: str, key:
     stored = read_table(spark, root, name)
     # Written before the table grows: what is new must not depend on what is being added.
     new = stage(absent_rows(rows, stored, key, time), "absent")
-    made = make(new, stored) if make else new
-    write_table(made, root, name, append=True, time_sliced=time_sliced)
+    if not new.isEmpty():
+        made = make(new, stored) if make else new
+        write_table(made, root, name, append=True, time_sliced=time_sliced)
     spark.createDataFrame([(batch,)], "batch string").coalesce(1).write.mode("append").parquet(done)
     return True
 

@@ -207,6 +207,24 @@ def test_a_batch_is_appended_once_even_after_a_lost_job(spark, inputs, users, tm
     assert append_once(spark, events.limit(0), root, EVENTS, *keys, "empty", make)
 
 
+def test_nothing_is_made_of_a_batch_that_is_there_already(spark, tmp_path):
+    from recurra.plans.dimensions import date_dimension
+
+    days, made = date_dimension(spark, "2023-12-01", "2024-01-31"), []
+    write_table(days.limit(0), str(tmp_path), "dim_date")
+
+    def make(new, stored):
+        made.append(new.count())
+        return new
+
+    for batch in ("first", "again"):
+        assert append_once(
+            spark, days, str(tmp_path), "dim_date", ["date_sk"], "calendar_date", batch, make)
+        stored = read_table(spark, str(tmp_path), "dim_date")
+        assert stored.count() == stored.select("date_sk").distinct().count() == 62
+    assert made == [62]
+
+
 def test_days_are_appended_to_a_stored_calendar(spark, tmp_path):
     from recurra.plans.dimensions import date_dimension
 
