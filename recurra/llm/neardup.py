@@ -20,7 +20,7 @@ import re
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from recurra.llm.common import map_batches, small, texts_of
 from recurra.llm.components import components
@@ -163,7 +163,7 @@ def _plausible(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFram
     """The pairs (a, b) whose signatures do not rule out the similarity."""
     least = _least_agreement(threshold)
     signed = pairs
-    for side in "ab":
+    for side in "ba":
         signed = signed.join(
             nodes.select(F.col("node").alias(side), F.col("signature").alias(f"s{side}")), side
         )
@@ -221,13 +221,18 @@ def _members(nodes: DataFrame) -> DataFrame:
 
 def _star_pairs(members: DataFrame) -> DataFrame:
     """Each member with the centre of its bucket: the node with most company in all buckets."""
-    company = members.groupBy("node").agg(F.sum("size").alias("company"))
-    centres = members.join(company, "node").groupBy("bucket").agg(
-        F.max(F.struct("company", "node")).alias("top")
+    # By node, of which there is a row per band at most, so that pairs lie by b from here on.
+    by_node = members.repartition("node")
+    company = F.sum("size").over(Window.partitionBy("node"))
+    centres = stage(
+        by_node.withColumn("company", company).groupBy("bucket").agg(
+            F.max(F.struct("company", "node")).alias("top")
+        ).select("bucket", F.col("top.node").alias("a")),
+        "neardup-centres",
     )
     return (
-        members.join(centres.select("bucket", F.col("top.node").alias("a")), "bucket")
-        .where("node != a").select("a", F.col("node").alias("b")).distinct()
+        by_node.join(small(centres), "bucket").where("node != a")
+        .select("a", F.col("node").alias("b")).distinct()
     )
 
 
@@ -239,7 +244,7 @@ def _rest_links(
     members: DataFrame, groups: DataFrame, nodes: DataFrame, docs: DataFrame, text: str,
     threshold: float,
 ) -> DataFrame:
-    """Links between members of one bucket in different groups, as a written table.
+    """Links (a, b) between groups that have members of one bucket, as a written table.
 
     Large buckets are cut into blocks and each pair of blocks meets in one task; small buckets
     share tasks. Pairs are compared where they meet, so only links leave a task.
@@ -290,21 +295,25 @@ def _rest_links(
 def _links(
     left: pd.DataFrame, right: pd.DataFrame, band: int, least: float, threshold: float
 ) -> list[tuple]:
-    """Links that join different groups, among the pairs that agree enough and meet in no band
+    """Links of different groups, by name, among the pairs that agree enough and meet in no band
     before this one; the likeliest are compared first, and groups once joined are not again."""
     if not len(left) or not len(right):
         return []
+    # Members of one group follow each other, and meet none of their own.
+    left = left.sort_values("group", kind="stable")
     x, y = _unpack(left["signature"]), _unpack(right["signature"])
     names = pd.factorize(np.concatenate([left["group"], right["group"]]))[0]
     found = []
     for at in range(0, len(x), 64):
-        equal = x[at : at + 64, None, :] == y[None]
+        own, other = names[at : min(at + 64, len(x))], names[len(x) :]
+        near = np.flatnonzero(other != own[0]) if own[0] == own[-1] else np.arange(len(y))
+        equal = x[at : at + 64, None, :] == y[None, near]
         bands = equal[..., : band * ROWS].reshape(*equal.shape[:2], band, ROWS)
         same = equal.sum(axis=2, dtype=np.int16)
-        apart = names[at : at + len(equal), None] != names[None, len(x) :]
+        apart = own[:, None] != other[None, near]
         apart &= (same >= least) & ~bands.all(axis=3).any(axis=2)
         i, j = np.nonzero(apart)
-        found.append(np.stack([same[i, j], i + at, j], axis=1))
+        found.append(np.stack([same[i, j], i + at, near[j]], axis=1))
     pairs = np.concatenate(found)
     joined = list(range(names.max() + 1))
 
@@ -320,7 +329,7 @@ def _links(
             bags[row.node] = weighted(row.text or "")
         return bags[row.node]
 
-    rows = [list(side[["node", "text"]].itertuples()) for side in (left, right)]
+    rows = [list(side[["node", "group", "text"]].itertuples()) for side in (left, right)]
     links = []
     for _, i, j in pairs[np.argsort(-pairs[:, 0], kind="stable")]:
         p, q = top(names[i]), top(names[len(x) + j])
@@ -328,7 +337,7 @@ def _links(
             a, b = rows[0][i], rows[1][j]
             if overlap(bag(a), bag(b)) >= threshold:
                 joined[p] = q
-                links.append((a.node, b.node))
+                links.append((a.group, b.group))
     return links
 
 
@@ -348,7 +357,19 @@ def find_groups(
     links = _verified(_plausible(_star_pairs(members), nodes, threshold), docs, text, threshold)
     groups = components(links)
     rest = _rest_links(members, groups, nodes, docs, text, threshold)
-    return groups if rest.isEmpty() else components(links.union(rest))
+    return groups if rest.isEmpty() else _joined(groups, rest)
+
+
+def _joined(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """``groups`` joined by ``links`` (a, b) between them; a node without a group is its own.
+
+    Groups are named by their least node, so that of the joined ones is the least name.
+    """
+    joined = components(links).toDF("group", "whole")
+    alone = joined.select(F.col("group").alias("node"), "group")
+    return groups.union(alone).distinct().join(small(joined), "group", "left").select(
+        "node", F.coalesce("whole", "group").alias("group")
+    )
 
 
 def near_duplicates(

@@ -126,6 +126,23 @@ def test_components_of_a_long_chain_and_a_star(spark):
     assert components(frame.limit(0)).collect() == []
 
 
+def test_links_that_are_stars_are_written_once(spark, monkeypatch):
+    written, real = [], neardup.stage
+    monkeypatch.setattr("recurra.llm.components.stage", lambda df, label: written.append(label) or real(df, label))
+    links = [(c, c + i) for c in (0, 100) for i in range(1, 30)]
+    frame = spark.createDataFrame([*links, *links, (5, 5), (None, 3)], "a long, b long")
+    got = {r.node: r.group for r in components(frame).collect()}
+    assert got == {c + i: c for c in (0, 100) for i in range(30)}
+    assert len(written) == 1
+
+
+def test_groups_are_joined_by_links_between_them(spark):
+    groups = spark.createDataFrame([(1, 1), (4, 1), (2, 2), (6, 2), (3, 3), (9, 3)], "node long, group long")
+    links = spark.createDataFrame([(2, 1), (7, 2), (8, 5)], "a long, b long")
+    got = sorted(tuple(r) for r in neardup._joined(groups, links).collect())
+    assert got == [(1, 1), (2, 1), (3, 3), (4, 1), (5, 5), (6, 1), (7, 1), (8, 5), (9, 3)]
+
+
 def leaks(rows, items, threshold=0.8):
     """Best similarity of any window as long as the item, windows cut at the text's end too."""
     cut = lambda t: [w for w in re.split(r"[^\w]+|_", (t or "").lower()) if w]
