@@ -196,13 +196,18 @@ def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _summed(df: DataFrame, size: int, cells) -> DataFrame:
-    """Rows (cell, n): counts of the cells that ``cells`` gives for a batch, over all rows."""
+    """Rows (cell, n): counts of the cells that ``cells`` gives for a batch, alone or with how
+    often each counts, over all rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.int64)
         for batch in batches:
             if batch.num_rows:
-                total += np.bincount(cells(batch), minlength=size)
+                found = cells(batch)
+                if isinstance(found, tuple):
+                    np.add.at(total, *found)
+                else:
+                    total += np.bincount(found, minlength=size)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"cell": at, "n": total[at]})
 
@@ -216,19 +221,60 @@ def _array(df: DataFrame, size: int) -> np.ndarray:
     return out
 
 
+def _short(n: np.ndarray) -> np.ndarray:
+    """Counts in the fewest bytes that hold each."""
+    return n.astype(np.min_scalar_type(int(n.max())))
+
+
+#: Cells of a block and their counts, as bytes.
+BLOCKS = "block long, cells binary, n binary"
+
+
+def _blocks(cell: np.ndarray, n: np.ndarray, size: int) -> pa.RecordBatch:
+    """Counts of cells in rising order as a row for each block of ``size`` cells, which takes a
+    small part of a row per cell."""
+    block, cell = cell // size, (cell % size).astype(np.min_scalar_type(size - 1))
+    at = [*np.flatnonzero(np.diff(block, prepend=-1)), len(block)]
+    parts = [(cell[i:j].tobytes(), _short(n[i:j]).tobytes()) for i, j in zip(at, at[1:])]
+    return pa.RecordBatch.from_pydict({
+        "block": block[at[:-1]].astype(np.int64),
+        "cells": pa.array([x for x, _ in parts], pa.binary()),
+        "n": pa.array([x for _, x in parts], pa.binary()),
+    })
+
+
+def _block_sums(block: pd.DataFrame, size: int) -> np.ndarray:
+    """The counts of all cells of a block, over its rows."""
+    place = np.min_scalar_type(size - 1)
+    total = np.zeros(size)
+    for cells, n in zip(block["cells"], block["n"]):
+        cells = np.frombuffer(cells, place)
+        total[cells] += np.frombuffer(n, f"u{len(n) // len(cells)}")
+    return total
+
+
 def _bigrams(numbered: DataFrame, limit: int) -> DataFrame:
     """Rows (a, b, n) of neighbours of which one is below ``limit``; it stands for all others."""
+    width = limit + 1
+    size = max(1, CELLS // width) * width
 
     def pairs(batch):
         now, before = _flat(batch)
         near = (now < limit) | (before < limit)
         now, before = (np.minimum(x[near], limit).astype(np.int64) for x in (now, before))
-        cell, n = np.unique(before * (limit + 1) + now, return_counts=True)
-        a, b = np.divmod(cell, limit + 1)
-        return {"a": a.astype(np.int32), "b": b.astype(np.int32), "n": n}
+        found = _blocks(*np.unique(before * width + now, return_counts=True), size)
+        return {c: found.column(c) for c in found.schema.names}
+
+    def total(block: pd.DataFrame) -> pd.DataFrame:
+        n = _block_sums(block, size)
+        at = np.flatnonzero(n)
+        a, b = np.divmod(at + block["block"].iloc[0] * size, width)
+        return pd.DataFrame({
+            "a": a.astype(np.int32), "b": b.astype(np.int32), "n": n[at].astype(np.int64)
+        })
 
-    made = map_batches(numbered.select("ids"), "a int, b int, n long", pairs, rows=10_000)
-    return made.groupBy("a", "b").agg(F.sum("n").alias("n"))
+    made = map_batches(numbered.select("ids"), BLOCKS, pairs, rows=10_000)
+    return made.groupBy("block").applyInPandas(total, "a int, b int, n long")
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
@@ -275,27 +321,33 @@ def likelihood(table: np.ndarray) -> float:
     return float(_xlogx(table).sum() - sums)
 
 
+def _by_class(home: np.ndarray, width: int):
+    """From rows (a, b, n) the cells (side, word, class of its neighbour) of the words but the
+    last, and n for each: a is before b, and b after a. The classes are fewer than ``width``."""
+    words = len(home) - 1
+
+    def cells(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        a, b, n = (batch.column(c).to_numpy() for c in ("a", "b", "n"))
+        own_a, own_b = a < words, b < words
+        return np.concatenate([
+            b[own_b].astype(np.int64) * width + home[a[own_b]],
+            (words + a[own_a].astype(np.int64)) * width + home[b[own_a]],
+        ]), np.concatenate([n[own_b], n[own_a]])
+
+    return cells
+
+
 def exchange(bigrams: DataFrame, words: int, classes: int, rounds: int) -> np.ndarray:
     """Classes of the numbers below ``words``; class 0 holds the end of a text alone, and
     ``classes`` is the open class, which all other numbers stay in."""
-    spark = bigrams.sparkSession
     home = np.zeros(words, np.int64)
     home[1:] = 1 + np.arange(words - 1) % (classes - 1)
+    width = classes + 1
     for _ in range(rounds):
-        named = F.broadcast(  # ``words`` rows and the open class
-            spark.createDataFrame(
-                [(i, int(c)) for i, c in enumerate([*home, classes])], "w int, k int"
-            )
-        )
-
-        def sums(own: str, near: str) -> np.ndarray:
-            here = bigrams.where(F.col(own) < words)
-            cells = here.join(named, here[near] == named["w"]).groupBy(
-                (F.col(own).cast("long") * (classes + 1) + F.col("k")).alias("cell")
-            ).agg(F.sum("n").alias("n"))
-            return _array(cells, words * (classes + 1)).reshape(words, classes + 1)
-
-        before, after = sums("b", "a"), sums("a", "b")
+        before, after = _array(
+            _summed(bigrams, 2 * words * width, _by_class(np.append(home, classes), width)),
+            2 * words * width,
+        ).reshape(2, words, width)
         table = np.zeros((classes + 1, classes + 1))
         np.add.at(table, home, after)
         np.add.at(table[classes], home, before[:, classes])
@@ -314,11 +366,6 @@ def exchange(bigrams: DataFrame, words: int, classes: int, rounds: int) -> np.nd
     return home
 
 
-def _short(n: np.ndarray) -> np.ndarray:
-    """Counts in the fewest bytes that hold each."""
-    return n.astype(np.min_scalar_type(int(n.max())))
-
-
 def _exchange_all(
     training: DataFrame, home: np.ndarray, table: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -331,18 +378,6 @@ def _exchange_all(
 
     block_words = max(1, CELLS // width)
     size = block_words * width
-    place = np.min_scalar_type(size - 1)
-
-    def packed(cell: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        """A row for each block: its cells and counts as bytes, a small part of a row per cell."""
-        block, cell = cell // size, (cell % size).astype(place)
-        at = [*np.flatnonzero(np.diff(block, prepend=-1)), len(block)]
-        parts = [(cell[i:j].tobytes(), _short(n[i:j]).tobytes()) for i, j in zip(at, at[1:])]
-        return pa.RecordBatch.from_pydict({
-            "block": block[at[:-1]].astype(np.int64),
-            "cells": pa.array([x for x, _ in parts], pa.binary()),
-            "n": pa.array([x for _, x in parts], pa.binary()),
-        })
 
     def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(dense, np.int64)
@@ -355,22 +390,18 @@ def _exchange_all(
             ])
             few = cell >= dense
             total += np.bincount(cell[~few], minlength=dense)
-            yield packed(*np.unique(cell[few], return_counts=True))
+            yield _blocks(*np.unique(cell[few], return_counts=True), size)
         at = np.flatnonzero(total)
-        yield packed(at, total[at])
+        yield _blocks(at, total[at], size)
 
     def choose(block: pd.DataFrame) -> pd.DataFrame:
-        near = np.zeros(size)
-        for cells, n in zip(block["cells"], block["n"]):
-            cells = np.frombuffer(cells, place)
-            near[cells] += np.frombuffer(n, f"u{len(n) // len(cells)}")
-        near = near.reshape(block_words, width)
+        near = _block_sums(block, size).reshape(block_words, width)
         words = np.flatnonzero(near.any(axis=1))
         best = likely_classes(near[words, :classes], near[words, classes:], table)
         return pd.DataFrame({"w": words + block["block"].iloc[0] * block_words, "k": best})
 
     blocks = training.select("ids").mapInArrow(
-        neighbours, "block long, cells binary, n binary"
+        neighbours, BLOCKS
     ).groupBy("block")
     found = blocks.applyInPandas(choose, "w long, k int").toArrow()
     return found["w"].to_numpy(), found["k"].to_numpy()

@@ -294,6 +294,30 @@ def test_exchange_counts_neighbours_that_are_not_clustered(spark):
     assert got == {(0, 1): 8, (1, 3): 8, (3, 2): 8, (2, 0): 8}
 
 
+def test_neighbours_move_in_blocks_and_are_summed_by_class(spark):
+    rng = random.Random(4)
+    rows = [(i, " ".join(f"w{int(rng.expovariate(0.02))}" for _ in range(40))) for i in range(300)]
+    numbered, _, _, _ = numbered_words(spark, rows)
+    bigrams = brown_lm._bigrams(numbered, 30)
+    # A row for each block is shuffled, not one for each pair, and no round joins the pairs.
+    plan = bigrams._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(block" in plan and "hashpartitioning(a" not in plan
+    wanted, near = Counter(), np.zeros((2, 30, 6))
+    home = np.array([0, *(rng.randrange(1, 5) for _ in range(29)), 5])
+    for r in numbered.select("ids").collect():
+        for a, b in zip([0, *r.ids], r.ids):
+            a, b = min(a, 30), min(b, 30)
+            if min(a, b) < 30:
+                wanted[a, b] += 1
+            if b < 30:
+                near[0, b, home[a]] += 1
+            if a < 30:
+                near[1, a, home[b]] += 1
+    assert {(r.a, r.b): r.n for r in bigrams.collect()} == wanted
+    summed = brown_lm._summed(bigrams, 2 * 30 * 6, brown_lm._by_class(home, 6))
+    assert (brown_lm._array(summed, 2 * 30 * 6).reshape(2, 30, 6) == near).all()
+
+
 def test_words_next_to_no_clustered_one_have_classes_by_their_neighbours(spark):
     """Rare words that are never next to a frequent one do not share a class with any."""
     rng = random.Random(8)
